@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.llm.common import table
 from siltwork.llm.langid import predict_languages
+from siltwork.llm.mixing import SCHEDULE_SQL, mixing_schedule
 from siltwork.llm.packing import pack
 from siltwork.llm.simhash import near_duplicates
 
@@ -17,6 +18,10 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_schedule(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,8 +32,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_langid": op5_langid,
+    "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_mixing": SCHEDULE_SQL,
+}
