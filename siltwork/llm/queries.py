@@ -11,9 +11,14 @@ from siltwork.llm.common import table
 from siltwork.llm.langid import predict_languages
 from siltwork.llm.mixing import SCHEDULE_SQL, mixing_schedule
 from siltwork.llm.packing import pack
+from siltwork.llm.pii import personal_data
 from siltwork.llm.simhash import near_duplicates
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -31,6 +36,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
