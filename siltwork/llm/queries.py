@@ -13,12 +13,17 @@ from siltwork.llm.mixing import SCHEDULE_SQL, mixing_schedule
 from siltwork.llm.packing import pack
 from siltwork.llm.pii import personal_data
 from siltwork.llm.simhash import near_duplicates
+from siltwork.llm.toxicity import toxicity_scores
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -37,6 +42,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_toxicity": op3_toxicity,
     "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
