@@ -1,11 +1,12 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear classifier over the hashed words of a text, and the words' first four and six bytes, is trained in numpy from confirmed toxic documents (P) and
+A linear classifier over the hashed words of a text, and the words' first four to eight bytes, is trained in numpy from confirmed toxic documents (P) and
 unlabelled text (U, drawn from all documents of the learning folds, whatever their label). With the class prior
 pi, the risk is estimated as ``pi * E_P[l(+)] + max(0, E_U[l(-)] - pi * E_P[l(-)])``: U's loss as negatives less
-the part that hidden positives must have in it. Where a mini-batch's corrected negative part falls below zero, the
-step goes against it instead, so the model can't win by remembering U. Only features that are clearly more
-frequent in P than in U take part, so that a long text gathers no noise. With logistic loss the
+the part that hidden positives must have in it. Where the corrected negative part falls below zero, the step goes against
+it instead, so the model can't win by remembering U. Each step is over all drawn rows: in small batches the
+correction's noise would hold the margins down. Only features that mostly toxic documents have, by their shares in
+P and U and the prior, take part, so that a long text gathers no noise. With logistic loss the
 model's probability is that of the true class, so 0.5 is the threshold.
 
 The prior is the toxic share of the labelled rows of the learning folds; without labels of both kinds all scores
@@ -32,10 +33,11 @@ from siltwork.llm.langid import byte_columns
 POSITIVE_ROWS, UNLABELLED_ROWS = 3000, 9000
 #: Words are hashed to so many places.
 BUCKETS = 1 << 18
-BEGINNINGS = (4, 6)
-EPOCHS, BATCH, RATE, SHRINK = 30, 500, 0.1, 1e-3
-#: Positive rows that must share a feature, and standard errors by which its share must exceed that in U.
-LEAST_ROWS, LEAST_Z = 3, 4.0
+BEGINNINGS = (4, 5, 6, 7, 8)
+STEPS, RATE, SHRINK = 400, 0.1, 2e-2
+#: Positive rows (and their part) that must share a feature, standard errors by which its share must exceed that in U, and the least
+#: share of toxic documents among those that have it, by the prior.
+LEAST_ROWS, LEAST_PART, LEAST_Z, LEAST_SHARE = 3, 0.005, 6.0, 0.5
 MEMORY_WORDS = 600_000
 _NOT_WORD = re.compile(rb"[\x00-\x26\x28-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -84,20 +86,14 @@ def _margin(rows: tuple[np.ndarray, np.ndarray], w: np.ndarray, b: float) -> np.
     return b + sums[ends[1:]] - sums[ends[:-1]]
 
 
-def _take(rows: tuple[np.ndarray, np.ndarray], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    places, ends = rows
-    sizes = ends[which + 1] - ends[which]
-    cum = sizes.cumsum()
-    return places[np.repeat(ends[which] - (cum - sizes), sizes) + np.arange(sizes.sum())], np.concatenate([[0], cum])
-
-
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, epochs: int = EPOCHS, seed: int = 3) -> Classifier:
-    """Mini-batch Adam on the non-negative risk."""
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *, steps: int = STEPS) -> Classifier:
+    """Adam on the non-negative risk."""
     packed = [(np.concatenate([*x, np.zeros(0, np.int32)]), np.concatenate([[0], np.cumsum([len(y) for y in x])]).astype(np.int64)) for x in (positive, unlabelled)]
     # Features no more frequent in P than in U tell nothing; their weights stay zero.
     rows, of = [max(len(x), 1) for x in (positive, unlabelled)], [np.bincount(x[0], minlength=BUCKETS) for x in packed]
     share = (of[1] + 1) / (rows[1] + 1)
-    known = np.flatnonzero((of[0] >= LEAST_ROWS) & (of[0] / rows[0] - share >= LEAST_Z * np.sqrt(share * (1 - share) / rows[0])))
+    clear = of[0] / rows[0] - share >= LEAST_Z * np.sqrt(share * (1 - share) / rows[0])
+    known = np.flatnonzero((of[0] >= np.maximum(LEAST_ROWS, LEAST_PART * rows[0])) & clear & (prior * of[0] / rows[0] >= LEAST_SHARE * share))
     index = np.full(BUCKETS, -1, np.int64)
     index[known] = np.arange(len(known))
 
@@ -107,32 +103,28 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
         return places[keep], np.concatenate([[0], keep.cumsum()])[ends]
 
     pos, unl = map(narrowed, packed)
-    rng, n = np.random.default_rng(seed), len(known)
+    n, np_, nu = len(known), rows[0], rows[1]
     w, b = np.zeros(n), float(np.log(prior / (1 - prior)))
-    m, v, step = np.zeros(n + 1), np.zeros(n + 1), 0
-    batches = max(1, len(unlabelled) // BATCH)
-    for epoch in range(epochs):
-        rate = RATE * (1 - epoch / epochs)
-        for p_rows, u_rows in zip(np.array_split(rng.permutation(len(positive)), batches), np.array_split(rng.permutation(len(unlabelled)), batches), strict=True):
-            p, u = _take(pos, p_rows), _take(unl, u_rows)
-            sp, su = (1 / (1 + np.exp(-np.clip(_margin(x, w, b), -30, 30))) for x in (p, u))
-            np_, nu = max(len(sp), 1), max(len(su), 1)
-            negative = np.logaddexp(0, _margin(u, w, b)).sum() / nu - prior * np.logaddexp(0, _margin(p, w, b)).sum() / np_
-            # Derivatives by the margin: l(+) has s - 1, l(-) has s.
-            if negative >= 0:
-                gp, gu = prior * (sp - 1) / np_ - prior * sp / np_, su / nu
-            else:
-                gp, gu = prior * sp / np_, -su / nu
-            g = np.zeros(n + 1)
-            for (places, ends), d in ((p, gp), (u, gu)):
-                g[:n] += np.bincount(places, weights=np.repeat(d, np.diff(ends)), minlength=n)[:n]
-                g[n] += d.sum()
-            step += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-6)
-            w -= move[:n]
-            b -= move[n]
-            w = np.sign(w) * np.maximum(np.abs(w) - rate * SHRINK, 0)
+    m, v = np.zeros(n + 1), np.zeros(n + 1)
+    for step in range(1, steps + 1):
+        rate = RATE * (1 - (step - 1) / steps)
+        fp, fu = _margin(pos, w, b), _margin(unl, w, b)
+        sp, su = (1 / (1 + np.exp(-np.clip(f, -30, 30))) for f in (fp, fu))
+        negative = np.logaddexp(0, fu).sum() / nu - prior * np.logaddexp(0, fp).sum() / np_
+        # Derivatives by the margin: l(+) has s - 1, l(-) has s.
+        if negative >= 0:
+            gp, gu = prior * (sp - 1) / np_ - prior * sp / np_, su / nu
+        else:
+            gp, gu = prior * sp / np_, -su / nu
+        g = np.zeros(n + 1)
+        for (places, ends), d in ((pos, gp), (unl, gu)):
+            g[:n] += np.bincount(places, weights=np.repeat(d, np.diff(ends)), minlength=n)[:n]
+            g[n] += d.sum()
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-6)
+        w -= move[:n]
+        b -= move[n]
+        w = np.sign(w) * np.maximum(np.abs(w) - rate * SHRINK, 0)
     out = np.zeros(BUCKETS)
     out[known] = w
     return Classifier(out, b)
