@@ -37,10 +37,10 @@ _LOWER[65:91] += 32
 
 
 def byte_columns(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of all values one after another, offsets) of a binary column; null is empty."""
+    """(bytes of all values one after another, offsets) of a binary or string column; null is empty."""
     if column.null_count:
-        column = column.fill_null(b"")
-    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+        column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
+    kind = np.int64 if pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type) else np.int32
     offsets = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = column.buffers()[2]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)

@@ -14,12 +14,17 @@ from siltwork.llm.packing import pack
 from siltwork.llm.pii import personal_data
 from siltwork.llm.simhash import near_duplicates
 from siltwork.llm.toxicity import toxicity_scores
+from siltwork.llm.webp import media_digest
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op2_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +47,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_webp": op2_webp,
     "op3_toxicity": op3_toxicity,
     "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
