@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.llm.common import table
 from siltwork.llm.langid import predict_languages
+from siltwork.llm.lblm import language_model_scores
 from siltwork.llm.mixing import SCHEDULE_SQL, mixing_schedule
 from siltwork.llm.packing import pack
 from siltwork.llm.pii import personal_data
@@ -41,6 +42,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_lblm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
     "op8_simhash": op8_simhash,
+    "op9_lblm": op9_lblm,
     "op10_packing": op10_packing,
 }
 
