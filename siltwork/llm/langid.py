@@ -167,11 +167,15 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str
     return ContextTrees(langs, [gram[names == x] for x in langs], [n[names == x] for x in langs], max_contexts) if langs else None
 
 
-def identify(docs: DataFrame, model: ContextTrees | None, *, text: str = "text") -> DataFrame:
-    """docs with lang_pred, score (the share of the best language, from the code lengths) and bits_per_byte."""
+#: Columns that identify() adds.
+FOUND = ("lang_pred", "score", "bits_per_byte")
+
+
+def identify(docs: DataFrame, model: ContextTrees | None, *, text: str = "text", names: tuple[str, str, str] = FOUND) -> DataFrame:
+    """docs with lang_pred, score (the share of the best language, from the code lengths) and bits_per_byte, by these ``names``."""
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    frame = docs.withColumns({"_letters": letters, "_bytes": F.col(text).cast("binary")})
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte")).schema
+    frame = docs.withColumns({"_langid_letters": letters, "_langid_bytes": F.col(text).cast("binary")})
+    schema = docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(0.0).alias(names[2])).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +191,7 @@ def identify(docs: DataFrame, model: ContextTrees | None, *, text: str = "text")
                 pred[ok] = np.array(trees.langs, dtype=object)[best[ok]]
                 score[ok] = (1 / np.exp2(np.minimum(least[:, None] - bits, 0)).sum(1))[ok]
                 rate[ok] = (least / np.maximum(np.diff(offsets), 1))[ok]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(pred, pa.string()), pa.array(score), pa.array(rate)], names=[*batch.schema.names[: n - 2], "lang_pred", "score", "bits_per_byte"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(pred, pa.string()), pa.array(score), pa.array(rate)], names=[*batch.schema.names[: n - 2], *names])
 
     return frame.mapInArrow(run, schema)
 
@@ -204,6 +208,6 @@ def keep_known_language(docs: DataFrame) -> DataFrame:
 
     A text that no tree can shorten, at 8 bits a byte or more, is in none of the languages and goes too.
     """
-    columns = docs.columns
-    found = identify(docs.select(*columns), train(docs))
-    return found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") < 8)).select(*columns)
+    names = tuple(f"_langid_{x}" for x in FOUND)
+    found = identify(docs, train(docs), names=names)
+    return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[2]) < 8)).select(*docs.columns)

@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import json
 import math
+import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -39,8 +41,9 @@ END_ID = 1
 #: Queues at most; the smallest sources beyond share the last one, in order.
 MAX_QUEUES = 256
 #: Words whose ids a Python worker remembers before it starts anew.
-MEMORY_WORDS = 600_000
+MEMORY_WORDS = 400_000
 
+_PLAIN = re.compile(r"[!-~\xa1-\xff]+")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 _TOKENIZERS: dict[str, WordIds] = {}
 
@@ -66,7 +69,9 @@ class WordIds(dict):
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         self.by_word = steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"] and not cuts[1]["add_prefix_space"]
         self.cut = regex.compile(cuts[0]["pattern"]["Regex"]) if self.by_word else None
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [x["content"] for x in spec["added_tokens"]]
+        self.special_start = os.path.commonprefix(self.special)
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         others = iter(range(256, 512))
         self.letter = [chr(b) if b in plain else chr(next(others)) for b in range(256)]
@@ -88,16 +93,21 @@ class WordIds(dict):
 
     def _ids(self, word: str) -> list[int]:
         low = word.lower()
-        if any("\x7f" <= c <= "\xa0" or c < " " or c > "\xff" for c in low) or any(x in word for x in self.special):
+        if not _PLAIN.fullmatch(low) or (self.special_start in word and any(x in word for x in self.special)):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
+        if low.isalpha():
+            return self._piece(low)
         out: list[int] = []
-        for piece in self.cut.findall(low):
-            got = self.known.get(piece)
-            if got is None:
-                got = self.known[piece] = [t.id for t in self.tokenizer.model.tokenize(piece if piece.isascii() else "".join(self.letter[b] for b in piece.encode()))]
-            out += got
+        for piece in (low[:-1], low[-1]) if low[-1] in ".," and low[:-1].isalpha() else self.cut.findall(low):
+            out += self._piece(piece)
         return out
 
+    def _piece(self, piece: str) -> list[int]:
+        got = self.known.get(piece)
+        if got is None:
+            got = self.known[piece] = [t.id for t in self.tokenizer.model.tokenize(piece if piece.isascii() else "".join([self.letter[b] for b in piece.encode()]))]
+        return got
+
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text."""
         if not self.by_word:
@@ -123,10 +133,11 @@ def word_ids(path: str) -> WordIds:
 
 
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, source, part, place (tokens of its source before it in its part), n, ids (four bytes each)."""
+    """doc_id, source, part, place (tokens of its source before it in its part), n, ids (two bytes each, or four for a large vocabulary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, coder = TaskContext.get().partitionId(), {}, word_ids(path)
+        kind = coder.kind
         for whole in batches:
             for lo in range(0, len(whole), 1000):
                 batch = whole.slice(lo, 1000)
@@ -134,7 +145,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 data = data.tobytes()
                 sources, place, n, ids = batch.column(1).to_pylist(), [], [], []
                 for source, found in zip(sources, coder.encode([data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]), strict=True):
-                    ids.append(found.astype("<u4").tobytes() + end_id.to_bytes(4, "little"))
+                    ids.append(found.astype(kind).tobytes() + end_id.to_bytes(kind.itemsize, "little"))
                     n.append(len(found) + 1)
                     place.append(before.get(source, 0))
                     before[source] = place[-1] + n[-1]
@@ -255,6 +266,8 @@ def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, w
     queue = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)]), F.col("source")), F.lit(len(names))) if names else F.lit(0)
     in_queue = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
     bases = parts.withColumn("queue", queue).withColumn("base", F.coalesce(F.sum("n").over(in_queue), F.lit(0))).drop("n")
+    # Written first: Spark then knows its size, and moves the tokens only if it is too large to broadcast.
+    bases = stored(bases)
     rows = tokens.join(bases, ["source", "part"]).select("doc_id", "source", "queue", (F.col("base") + F.col("place")).alias("start"), "n", "ids")
     shared = docs.sparkSession.sparkContext.broadcast(dealer)
 
@@ -266,8 +279,9 @@ def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, w
                 n = batch.column(4).to_numpy()
                 doc, start, length, sequence, offset = deal.pieces(batch.column(2).to_numpy().astype(np.int64), batch.column(3).to_numpy(), n)
                 data, offsets = byte_columns(batch.column(5))
-                view = memoryview(np.ascontiguousarray(data))
-                begin = offsets[doc] + 4 * start
+                size = len(data) // int(n.sum())
+                view = memoryview(data.view(f"<u{size}").astype("<u4")).cast("B")
+                begin = 4 * (offsets[doc] // size + start)
                 crc = [zlib.crc32(view[a:b]) for a, b in zip(begin.tolist(), (begin + 4 * length).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(n[doc]), pa.array(sequence), pa.array(offset), batch.column(1).take(pa.array(doc))], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 

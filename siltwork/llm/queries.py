@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from siltwork.llm.ann import nearest
 from siltwork.llm.common import table
+from siltwork.llm.fixity import AUDIT_SQL, archive_audit
 from siltwork.llm.langid import predict_languages
 from siltwork.llm.lblm import language_model_scores
 from siltwork.llm.mixing import SCHEDULE_SQL, mixing_schedule
@@ -30,6 +32,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_audit(table(spark, sf_dir, "pages"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -38,6 +44,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_schedule(table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,13 +64,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_webp": op2_webp,
     "op3_toxicity": op3_toxicity,
+    "op4_fixity": op4_fixity,
     "op5_langid": op5_langid,
     "op6_mixing": op6_mixing,
+    "op7_ann": op7_ann,
     "op8_simhash": op8_simhash,
     "op9_lblm": op9_lblm,
     "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_fixity": AUDIT_SQL,
     "op6_mixing": SCHEDULE_SQL,
 }

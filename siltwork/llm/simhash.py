@@ -40,6 +40,8 @@ GENERATOR = 0b110001110101
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Bytes of shingle bits that are summed at once.
 _SLICE = 1 << 15
+#: Fingerprints that one task makes keys of, at most on average.
+KEYED_ROWS = 50_000
 #: Pairs that are compared at once.
 _BLOCK = 1 << 20
 #: Buckets up to so many fingerprints are compared at once, by distance in the sorted order.
@@ -204,7 +206,9 @@ def fingerprint_links(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     """(a, b): links between different fingerprints that join up all within ``bits`` (up to 4) of each other."""
     if bits > MAX_BITS:
         raise ValueError(f"the keys find links of {MAX_BITS} bits at most")
-    keys = fps.select("fp").distinct().mapInArrow(_keyed, "key long, fp long")
+    # A fingerprint becomes some 85 rows, so the few megabytes of a usual partition are dealt out further first.
+    parts = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-fps.count() // KEYED_ROWS))
+    keys = fps.select("fp").distinct().repartition(parts, "fp").mapInArrow(_keyed, "key long, fp long")
     return keys.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(bits), "a long, b long")
 
 
@@ -227,7 +231,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The document of each component that has the smallest doc_id; of repeated rows of it, one. A null id is the smallest."""
     smallest = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     rows = stored(fingerprints(docs.select(smallest.alias("doc_id"), "text")))
-    stay = with_components(rows).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_copies")).withColumnRenamed("doc_id", "_id")
-    found = docs.join(stored(stay), smallest == F.col("_id"))
-    once = found.where(F.col("_copies") == 1).select(*docs.columns)
-    return once.union(found.where(F.col("_copies") > 1).dropDuplicates(["_id"]).select(*docs.columns))
+    stay = with_components(rows).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_dedup_copies")).withColumnRenamed("doc_id", "_dedup_id")
+    found = docs.join(stored(stay), smallest == F.col("_dedup_id"))
+    once = found.where(F.col("_dedup_copies") == 1).select(*docs.columns)
+    return once.union(found.where(F.col("_dedup_copies") > 1).dropDuplicates(["_dedup_id"]).select(*docs.columns))
