@@ -130,13 +130,12 @@ def windows_filled(df: DataFrame, column: str, window_minutes: int, group_by: Se
 def is_data_fresh_per_time_window(df: DataFrame, column: str, window_minutes: int, min_records_per_window: int, lookback_windows: int | None = None, curr_timestamp: Any = None) -> DataFrame:
     """(window_start, n) of windows from the first to the last (or the last few before now) with too few rows, empty ones included."""
     filled = windows_filled(df, column, window_minutes)
-    step = F.expr(f"interval {window_minutes} minutes")
-    last = F.max("window_start") if curr_timestamp is None else F.max(F.window(F.lit(curr_timestamp).cast("timestamp"), f"{window_minutes} minutes").start)
-    first = F.min("window_start") if lookback_windows is None else last - F.expr(f"interval {window_minutes * (lookback_windows - 1)} minutes")
+    step, size = F.expr(f"interval {window_minutes} minutes"), 60 * window_minutes
+    last = F.max("window_start")
     if curr_timestamp is not None:
-        now = F.lit(curr_timestamp).cast("timestamp")
-        last = F.max(F.timestamp_seconds(F.floor(F.unix_timestamp(now) / (60 * window_minutes)) * 60 * window_minutes))
-        first = F.min("window_start") if lookback_windows is None else last - F.expr(f"interval {window_minutes * (lookback_windows - 1)} minutes")
+        now = F.unix_timestamp(F.lit(curr_timestamp).cast("timestamp"))
+        last = F.max(F.timestamp_seconds(F.floor(now / size) * size))
+    first = F.min("window_start") if lookback_windows is None else last - F.expr(f"interval {window_minutes * (lookback_windows - 1)} minutes")
     spine = filled.agg(F.sequence(first, last, step).alias("s")).select(F.explode("s").alias("window_start"))
     counted = spine.join(filled, "window_start", "left").select("window_start", F.coalesce("n", F.lit(0)).alias("n"))
     return counted.where(F.col("n") < min_records_per_window)
