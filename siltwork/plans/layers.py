@@ -27,8 +27,8 @@ class Entity:
 ORDERS = Entity("orders", ("order_id",), ("order_id", "customer_name", "status", "amount"), ("order_id", "customer_name", "status", "amount", "total_tax_amount"), {"total_tax_amount": "CAST(amount AS DOUBLE) * 1.18"})
 
 
-def history_feed(before: DataFrame, after: DataFrame, entity: Entity, ts: str) -> DataFrame:
-    """What one run changed in the history: versions that it closed, and versions that it opened."""
+def history_feed(after: DataFrame, ts: str) -> DataFrame:
+    """What the run at ``ts`` changed in the history: versions that it closed, and versions that it opened."""
     touched = (F.col(scd2.TO) == scd2.moment(ts)) | (F.col(scd2.FROM) == scd2.moment(ts))
     return after.where(touched)
 
@@ -42,10 +42,8 @@ def silver_merge(target: DataFrame, feed: DataFrame, entity: Entity, ts: str, ru
     """(Silver after the merge, the gate). Rows that are no longer current are deletes, and no check applies to them."""
     source = silver_source(feed, entity)
     gate = quality_gate(source, scoped(rules, scd2.CURRENT))
-    good = conform.silver_rows(gate.good, entity.business, ts).withColumn("_current", F.lit(True))
-    gone = conform.silver_rows(source.where(~F.col(scd2.CURRENT)), entity.business, ts).withColumn("_current", F.lit(False))
-    rows = good if not rules else good
-    merged = merge.apply_changes(target, rows.join(gone.select(*entity.keys), list(entity.keys), "left_anti").unionByName(gone), entity.keys, "NOT _current")
+    rows = conform.silver_rows(gate.good, [*entity.business, scd2.CURRENT], ts)
+    merged = merge.apply_changes(target, rows, entity.keys, ~F.col(scd2.CURRENT))
     return merged, gate
 
 
@@ -71,5 +69,5 @@ class Layers:
         version = tables.write_version(scd2.apply(before, feed, entity.keys, entity.business, ts), self.bronze, partition_by=[scd2.CURRENT])
         after, _ = tables.read_snapshot(spark, self.bronze, version)
         silver, _ = tables.read_snapshot(spark, self.silver)
-        merged, _ = silver_merge(silver, history_feed(before, after, entity, ts), entity, ts, rules)
+        merged, _ = silver_merge(silver, history_feed(after, ts), entity, ts, rules)
         return {"bronze": version, "silver": tables.write_version(merged, self.silver)}

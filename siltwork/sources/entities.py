@@ -45,23 +45,18 @@ def query(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **{n: frame(spark, sf_dir, n) for n in names_in(text)})
 
 
-def plain_sql(text: str) -> str:
-    """The text as one statement over the tables, entities as WITH parts."""
-    parts: dict[str, str] = {}
+def plain_sql(text: str, parts: dict[str, str] | None = None) -> str:
+    """The text as one statement over the tables, entities (and further named parts) as WITH parts."""
+    known = SQL if parts is None else parts
+    needed: dict[str, str] = {}
+    named = lambda m: f"e_{m[1]}" if m[1] in known else m[1]
 
     def need(t: str) -> None:
         for n in names_in(t):
-            if n in SQL and n not in parts:
-                need(SQL[n])
-                parts[n] = re.sub(r"\{(\w+)\}", _named, SQL[n])
+            if n in known and n not in needed:
+                need(known[n])
+                needed[n] = re.sub(r"\{(\w+)\}", named, known[n])
 
     need(text)
-    body = re.sub(r"\{(\w+)\}", _named, text).strip()
-    if not parts:
-        return body
-    with_ = ", ".join(f"e_{n} AS ({t})" for n, t in parts.items())
-    return f"WITH {with_}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {with_} {body}"
-
-
-def _named(m: re.Match[str]) -> str:
-    return f"e_{m[1]}" if m[1] in SQL else m[1]
+    body = re.sub(r"\{(\w+)\}", named, text).strip()
+    return f"WITH {', '.join(f'e_{n} AS ({t})' for n, t in needed.items())} {body}" if needed else body
