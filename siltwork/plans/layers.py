@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.operators import changes, conform, merge, scd2
@@ -62,12 +62,16 @@ class Layers:
     bronze: str
     silver: str
 
-    def run(self, spark, entity: Entity, from_version: int | None, to_version: int, ts: str, rules: Sequence[Rule] = ()) -> dict[str, int]:
+    def history(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """A version of Bronze; the flag by which it is partitioned comes back from the folders' names as text."""
+        return tables.read_snapshot(spark, self.bronze, version)[0].withColumn(scd2.CURRENT, F.col(scd2.CURRENT).cast("boolean"))
+
+    def run(self, spark: SparkSession, entity: Entity, from_version: int | None, to_version: int, ts: str, rules: Sequence[Rule] = ()) -> dict[str, int]:
         """One bounded run: the feed's range into Bronze, Bronze's changes into Silver, each as a new version."""
         feed = changes.read_changes(spark.read.parquet(self.staging), from_version, to_version)
-        before, _ = tables.read_snapshot(spark, self.bronze)
+        before = self.history(spark)
         version = tables.write_version(scd2.apply(before, feed, entity.keys, entity.business, ts), self.bronze, partition_by=[scd2.CURRENT])
-        after, _ = tables.read_snapshot(spark, self.bronze, version)
+        after = self.history(spark, version)
         silver, _ = tables.read_snapshot(spark, self.silver)
         merged, _ = silver_merge(silver, history_feed(after, ts), entity, ts, rules)
         return {"bronze": version, "silver": tables.write_version(merged, self.silver)}
