@@ -161,7 +161,7 @@ def score(docs: DataFrame, model: Classifier | None) -> DataFrame:
             if model is not None:
                 for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                     margins[i] = model.intercept + table[word_places(data[a:b], hashed)].sum()
-            p = 1 / (1 + np.exp(-np.maximum(margins, -700)))
+            p = np.zeros(len(batch)) if model is None else 1 / (1 + np.exp(-np.maximum(margins, -700)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*batch.schema.names[:n], "score", "predicted"])
 
     return docs.withColumn("_bytes", F.col("text").cast("binary")).mapInArrow(run, schema)
