@@ -79,26 +79,44 @@ def code_lengths(counts: np.ndarray, limit: int = 15) -> np.ndarray:
         weights = [w // 2 + 1 for w in weights]
 
 
+def _reversed_bits() -> np.ndarray:
+    out = np.zeros(1 << 15, np.int64)
+    for bit in range(15):
+        out |= (np.arange(1 << 15) >> bit & 1) << (14 - bit)
+    return out
+
+
+_REVERSED = _reversed_bits()
+
+
 def canonical(lengths: np.ndarray) -> np.ndarray:
     """The code of each symbol, its first bit lowest."""
-    codes, code = np.zeros(len(lengths), np.int64), 0
-    order = np.argsort(lengths, kind="stable")
-    order = order[lengths[order] > 0]
-    last = 0
-    for s in order.tolist():
-        code <<= int(lengths[s]) - last
-        last = int(lengths[s])
-        codes[s] = int(format(code, f"0{last}b")[::-1], 2)
-        code += 1
+    n = np.bincount(lengths, minlength=16)
+    n[0] = 0
+    first, code = [0] * 16, 0
+    for size in range(1, 16):
+        code = (code + int(n[size - 1])) << 1
+        first[size] = code
+    order = np.argsort(lengths, kind="stable")[len(lengths) - int(n.sum()) :]
+    size = lengths[order]
+    codes = np.zeros(len(lengths), np.int64)
+    codes[order] = _REVERSED[np.array(first)[size] + np.arange(len(order)) - (n.cumsum() - n)[size]] >> (15 - size)
     return codes
 
 
 class Prefix:
     """A decoding table: the next ``width`` bits give (symbol, length)."""
 
+    @classmethod
+    def lone(cls, symbol: int) -> Prefix:
+        """The code of one symbol, which takes no bits."""
+        out = cls.__new__(cls)
+        out.single, out.width = symbol, 0
+        return out
+
     def __init__(self, lengths: np.ndarray):
         used = np.flatnonzero(lengths)
-        self.lengths, self.single = lengths, int(used[0]) if len(used) == 1 else (0 if not len(used) else -1)
+        self.single = int(used[0]) if len(used) == 1 else (0 if not len(used) else -1)
         self.width = int(lengths.max()) if len(used) > 1 else 0
         if self.single < 0:
             if (1 << self.width) != int((1 << (self.width - lengths[used])).sum()):
@@ -143,9 +161,9 @@ def _read_prefix(bits: Bits, size: int) -> Prefix:
     if bits.take(1):  # simple: one or two symbols
         n = bits.take(1) + 1
         first = bits.take(8 if bits.take(1) else 1)
-        lengths[first] = 1
-        if n == 2:
-            lengths[bits.take(8)] = 1
+        if n == 1:
+            return Prefix.lone(first)
+        lengths[[first, bits.take(8)]] = 1
         return Prefix(lengths)
     order = np.zeros(19, np.int64)
     for k in range(4 + bits.take(4)):
@@ -217,13 +235,17 @@ def _decode_single(bits: Bits, green: Prefix, distance: Prefix, width: int, tota
     at, mask, symbol, length, wide = bits.at, green.mask, green.symbol, green.length, (1 << peek) - 1
     have = 0
     while have < total:
-        if total - have > peek:
+        # A window completes at most ``peek`` symbols, so that many look-ups can't go too far.
+        for _ in range((total - have) // peek):
             k = words[at >> 3] >> (at & 7) & wide
-            if chunk := chunks[k]:
-                out += chunk
-                have += len(chunk)
-                at += used[k]
-                continue
+            step = used[k]
+            if not step:
+                break
+            out += chunks[k]
+            at += step
+        have = len(out)
+        if have == total:
+            break
         k = words[at >> 3] >> (at & 7) & mask
         s = symbol[k]
         at += length[k]
