@@ -27,7 +27,7 @@ BLOCK = 16
 #: Slots in a period of the schedule.
 PERIOD = 1000
 #: Rows of one source that one range of the hash holds, about.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 4096
 NO_SOURCE = "\0"
 
 
@@ -81,22 +81,21 @@ def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block
     key = F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))
     rows = docs.withColumns({"_mix_source": key, "_mix_hash": _hash(F.col("doc_id"))})
     counts = kept(rows.groupBy(F.col("_mix_source").alias("source")).agg(F.count("*").alias("n")))
-    sources, largest = counts.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
-    period = max(period, 2 * sources)
+    period = max(period, 2 * counts.count())
     share = shares(counts, weights, period)
     plan = kept(schedule(share, period))
-    # Ranges of the hash, so many that the largest source's have about range_rows rows.
-    ranges = max(1, -(-largest // range_rows))
-    rows = rows.withColumn("_mix_range", F.expr(f"shiftright(shiftright(_mix_hash, 30) * {ranges}L, 30)"))
+    slots = plan.select(F.col("source").alias("_mix_source"), F.col("share").alias("_mix_share"), F.col("nth").alias("_mix_in"), F.col("slot").alias("_mix_slot"))
+    # A row for each source, as many as the period at most, whatever the documents.
+    of = slots.where("_mix_in = 0").select("_mix_source", "_mix_share").join(counts.withColumnRenamed("source", "_mix_source"), "_mix_source")
+    of = F.broadcast(of.select("_mix_source", "_mix_share", F.expr(f"(n + {range_rows - 1}) div {range_rows}").alias("_mix_ranges")))
+    # Each source is cut into ranges of the hash of about range_rows rows.
+    rows = rows.join(of, "_mix_source").withColumn("_mix_range", F.expr("shiftright(shiftright(_mix_hash, 30) * _mix_ranges, 30)"))
     sizes = rows.groupBy("_mix_source", "_mix_range").agg(F.count("*").alias("_mix_n"))
     before = Window.partitionBy("_mix_source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_mix_source", "_mix_range", F.coalesce(F.sum("_mix_n").over(before), F.lit(0)).alias("_mix_before"))
     nth = F.row_number().over(Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_hash", "doc_id")) - 1
     ranked = rows.join(sizes, ["_mix_source", "_mix_range"]).withColumn("_mix_rank", F.col("_mix_before") + nth)
-    slots = plan.select(F.col("source").alias("_mix_source"), F.col("share").alias("_mix_share"), F.col("nth").alias("_mix_in"), F.col("slot").alias("_mix_slot"))
-    # A row for each slot of one period: as many as the period, whatever the documents.
-    of = F.broadcast(slots.where("_mix_in = 0").select("_mix_source", "_mix_share"))
-    ranked = ranked.join(of, "_mix_source").withColumn("_mix_block", F.expr(f"_mix_rank div {block}L"))
+    ranked = ranked.withColumn("_mix_block", F.expr(f"_mix_rank div {block}L"))
     ranked = ranked.withColumn("_mix_in", F.expr("_mix_block % _mix_share")).join(F.broadcast(slots.drop("_mix_share")), ["_mix_source", "_mix_in"])
     mix = F.expr(f"""named_struct(
         'block', _mix_block, 'place', _mix_rank % {block}L, 'slot', (_mix_block div _mix_share) * {period} + _mix_slot,
