@@ -28,6 +28,8 @@ BLOCK = 16
 PERIOD = 1000
 #: Rows of one source that one range of the hash holds, about.
 RANGE_ROWS = 4096
+#: Sources up to which their shares and slots are broadcast; more are joined by a shuffle, if Spark finds them large.
+BROADCAST_SOURCES = 10_000
 NO_SOURCE = "\0"
 
 
@@ -81,13 +83,15 @@ def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block
     key = F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))
     rows = docs.withColumns({"_mix_source": key, "_mix_hash": _hash(F.col("doc_id"))})
     counts = kept(rows.groupBy(F.col("_mix_source").alias("source")).agg(F.count("*").alias("n")))
-    period = max(period, 2 * counts.count())
+    sources = counts.count()
+    period = max(period, 2 * sources)
+    small = F.broadcast if sources <= BROADCAST_SOURCES else lambda df: df
     share = shares(counts, weights, period)
     plan = kept(schedule(share, period))
     slots = plan.select(F.col("source").alias("_mix_source"), F.col("share").alias("_mix_share"), F.col("nth").alias("_mix_in"), F.col("slot").alias("_mix_slot"))
-    # A row for each source, as many as the period at most, whatever the documents.
+    # A row for each source, whatever the documents.
     of = slots.where("_mix_in = 0").select("_mix_source", "_mix_share").join(counts.withColumnRenamed("source", "_mix_source"), "_mix_source")
-    of = F.broadcast(of.select("_mix_source", "_mix_share", F.expr(f"(n + {range_rows - 1}) div {range_rows}").alias("_mix_ranges")))
+    of = small(of.select("_mix_source", "_mix_share", F.expr(f"(n + {range_rows - 1}) div {range_rows}").alias("_mix_ranges")))
     # Each source is cut into ranges of the hash of about range_rows rows.
     rows = rows.join(of, "_mix_source").withColumn("_mix_range", F.expr("shiftright(shiftright(_mix_hash, 30) * _mix_ranges, 30)"))
     sizes = rows.groupBy("_mix_source", "_mix_range").agg(F.count("*").alias("_mix_n"))
@@ -96,7 +100,7 @@ def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block
     nth = F.row_number().over(Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_hash", "doc_id")) - 1
     ranked = rows.join(sizes, ["_mix_source", "_mix_range"]).withColumn("_mix_rank", F.col("_mix_before") + nth)
     ranked = ranked.withColumn("_mix_block", F.expr(f"_mix_rank div {block}L"))
-    ranked = ranked.withColumn("_mix_in", F.expr("_mix_block % _mix_share")).join(F.broadcast(slots.drop("_mix_share")), ["_mix_source", "_mix_in"])
+    ranked = ranked.withColumn("_mix_in", F.expr("_mix_block % _mix_share")).join(small(slots.drop("_mix_share")), ["_mix_source", "_mix_in"])
     mix = F.expr(f"""named_struct(
         'block', _mix_block, 'place', _mix_rank % {block}L, 'slot', (_mix_block div _mix_share) * {period} + _mix_slot,
         'release', (_mix_block * {period}) div _mix_share, 'deadline', ((_mix_block + 1) * {period} + _mix_share - 1) div _mix_share)""")

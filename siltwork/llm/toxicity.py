@@ -138,10 +138,11 @@ def train(docs: DataFrame, labels: DataFrame, *, positive_rows: int = POSITIVE_R
     drawn = lambda df, salt, n: df.select("doc_id").where(F.col("doc_id").isNotNull()).orderBy(F.xxhash64(F.lit(salt), "doc_id"), "doc_id").limit(n)
     wanted = drawn(labels.where("toxic = 1").join(docs.select("doc_id"), "doc_id", "left_semi"), "toxic", positive_rows).withColumn("toxic", F.lit(1))
     wanted = wanted.union(drawn(docs, "unlabelled", unlabelled_rows).withColumn("toxic", F.lit(0)))
-    rows = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("toxic", F.col("text").cast("binary").alias("text"))
-    got = rows.mapInArrow(_places, "toxic int, places binary").toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(wanted.distinct()), "doc_id").select("toxic", F.col("text").cast("binary").alias("text"))
+    # The limit bounds the sample where a drawn key has many rows.
+    got = rows.mapInArrow(_places, "toxic int, places binary").limit(2 * (positive_rows + unlabelled_rows)).toArrow()
     found = {0: [], 1: []}
-    for toxic, places in zip(got.column("toxic").to_pylist(), got.column("places").to_pylist(), strict=True):
+    for toxic, places in sorted(zip(got.column("toxic").to_pylist(), got.column("places").to_pylist(), strict=True)):  # in an order that runs share
         found[toxic].append(np.frombuffer(places, "<i4"))
     return fit(found[1], found[0], counts[0] / (counts[0] + counts[1]))
 
