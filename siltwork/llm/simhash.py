@@ -232,6 +232,7 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     smallest = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     rows = stored(fingerprints(docs.select(smallest.alias("doc_id"), "text")))
     stay = with_components(rows).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_dedup_copies")).withColumnRenamed("doc_id", "_dedup_id")
-    found = docs.join(stored(stay), smallest == F.col("_dedup_id"))
+    # The ids that stay grow with the corpus: they are hashed in the partitions of a shuffle, never broadcast.
+    found = docs.join(stored(stay).hint("shuffle_hash"), smallest == F.col("_dedup_id"))
     once = found.where(F.col("_dedup_copies") == 1).select(*docs.columns)
     return once.union(found.where(F.col("_dedup_copies") > 1).dropDuplicates(["_dedup_id"]).select(*docs.columns))
