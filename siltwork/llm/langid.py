@@ -123,14 +123,14 @@ class ContextTrees:
         out = np.zeros((len(offsets) - 1, len(self.langs)))
         if not len(data):
             return out
-        symbols, starts, a = self.symbol.astype(np.int32)[_LOWER][data], offsets[:-1], self.size
+        symbols, starts, a = self.symbol.astype(np.uint16)[_LOWER][data], offsets[:-1], self.size
         pad = int(self.symbol[10])
         full = np.flatnonzero(offsets[1:] > starts)
         for lo in range(0, len(data), _CHUNK):
             hi = min(lo + _CHUNK, len(data))
             a_, b_ = np.searchsorted(starts, [lo - 3, hi])
             near = starts[max(a_ - 1, 0) : b_]
-            context = _before(symbols, near, lo, hi, 3, pad)
+            context = _before(symbols, near, lo, hi, 3, pad).astype(np.int32)
             for back in (2, 1):
                 context *= a
                 context += _before(symbols, near, lo, hi, back, pad)
@@ -174,24 +174,24 @@ FOUND = ("lang_pred", "score", "bits_per_byte")
 def identify(docs: DataFrame, model: ContextTrees | None, *, text: str = "text", names: tuple[str, str, str] = FOUND) -> DataFrame:
     """docs with lang_pred, score (the share of the best language, from the code lengths) and bits_per_byte, by these ``names``."""
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    frame = docs.withColumns({"_langid_letters": letters, "_langid_bytes": F.col(text).cast("binary")})
+    frame, at = docs.withColumn("_langid_letters", letters), docs.columns.index(text)
     schema = docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(0.0).alias(names[2])).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         for batch in batches:
-            n = batch.num_columns
-            ok = np.array(batch.column(n - 2).to_pylist(), dtype=bool)
+            n = batch.num_columns - 1
+            ok = np.array(batch.column(n).to_pylist(), dtype=bool)
             pred, score, rate = np.full(len(ok), UNDETERMINED, dtype=object), np.zeros(len(ok)), np.zeros(len(ok))
             if trees is not None and ok.any():
-                data, offsets = byte_columns(batch.column(n - 1))
+                data, offsets = byte_columns(batch.column(at))
                 bits = trees.code_lengths(data, offsets)
                 best, least = bits.argmin(1), bits.min(1)
                 pred[ok] = np.array(trees.langs, dtype=object)[best[ok]]
                 score[ok] = (1 / np.exp2(np.minimum(least[:, None] - bits, 0)).sum(1))[ok]
                 rate[ok] = (least / np.maximum(np.diff(offsets), 1))[ok]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: n - 2], pa.array(pred, pa.string()), pa.array(score), pa.array(rate)], names=[*batch.schema.names[: n - 2], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(pred, pa.string()), pa.array(score), pa.array(rate)], names=[*batch.schema.names[:n], *names])
 
     return frame.mapInArrow(run, schema)
 
