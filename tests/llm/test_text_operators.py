@@ -339,6 +339,16 @@ def test_the_model_is_normalised_and_learns():
     assert (full[np.arange(4), np.arange(4)].argmax(-1) == (np.arange(4) + 1) % 4).all()
 
 
+def test_every_window_teaches(spark):
+    text = "c a b " * 3000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+    vocab = lblm.vocabulary(lblm.token_counts(docs))
+    one, two, norm = lblm.train(docs, vocab).tables()
+    for u, v, w in ("abc", "bca", "cab"):
+        u, v, w = (vocab.words[x.encode()] for x in (u, v, w))
+        assert one[v, w] + two[u, w] - norm[v, u] > np.log(0.5)
+
+
 def test_scores_of_odd_rows(odd):
     got = lblm.language_model_scores(odd).toPandas()
     assert len(got) == 9 and np.isfinite(got.score).all() and set(got[got.doc_id.isin([2, 3, 5])].n_tokens) == {1}
