@@ -78,15 +78,33 @@ def schedule(share: DataFrame, period: int = PERIOD) -> DataFrame:
     return rows.select("source", "share", "nth", "slot", F.expr(f"(nth * {period}) div share").alias("release"), F.expr(f"((nth + 1) * {period} + share - 1) div share").alias("deadline"))
 
 
-def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """docs with a struct _mix: block (its number in its source), place (row in the block), slot, release, deadline."""
-    key = F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))
-    rows = docs.withColumns({"_mix_source": key, "_mix_hash": _hash(F.col("doc_id"))})
-    counts = kept(rows.groupBy(F.col("_mix_source").alias("source")).agg(F.count("*").alias("n")))
+def _source() -> Column:
+    return F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE))
+
+
+def _shares_of(docs: DataFrame, weights: dict[str, float] | None, period: int) -> tuple[DataFrame, int, int, DataFrame]:
+    """(rows of each source, sources, the period that holds them, their shares of it)."""
+    counts = kept(docs.groupBy(_source().alias("source")).agg(F.count("*").alias("n")))
     sources = counts.count()
     period = max(period, 2 * sources)
+    return counts, sources, period, shares(counts, weights, period)
+
+
+def targets(docs: DataFrame, *, weights: dict[str, float] | None = None, period: int = PERIOD) -> dict[str, int]:
+    """Each source's share by which docs are scheduled, for what deals them later; a null source is NO_SOURCE."""
+    return {r["source"]: r["share"] for r in _shares_of(docs, weights, period)[3].collect()}
+
+
+def source_order() -> list[Column]:
+    """Keys that sort each source's documents in their scheduled order, from doc_id alone: files need not keep it."""
+    return [_hash(F.col("doc_id")), F.col("doc_id")]
+
+
+def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """docs with a struct _mix: block (its number in its source), place (row in the block), slot, release, deadline."""
+    rows = docs.withColumns({"_mix_source": _source(), "_mix_hash": _hash(F.col("doc_id"))})
+    counts, sources, period, share = _shares_of(docs, weights, period)
     small = F.broadcast if sources <= BROADCAST_SOURCES else lambda df: df
-    share = shares(counts, weights, period)
     plan = kept(schedule(share, period))
     slots = plan.select(F.col("source").alias("_mix_source"), F.col("share").alias("_mix_share"), F.col("nth").alias("_mix_in"), F.col("slot").alias("_mix_slot"))
     # A row for each source, whatever the documents.

@@ -30,7 +30,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltwork.llm.common import stored
@@ -252,8 +252,13 @@ class Dealer:
         return tuple(x[there] for x in (doc, lo - start[doc], hi - lo, self.first[p] + k, offset))
 
 
-def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """One row per piece of a document. weights: a source's target share of each window's tokens; others get 1."""
+def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, order: list[Column] | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+    """One row per piece of a document. weights: a source's target share of each window's tokens; others get 1.
+
+    order: keys by which each source's documents queue, at the price of a shuffle; without it, as they are read.
+    """
+    if order:
+        docs = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     tokens = stored(tokenized(docs, path, end_id))
     parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
     sums = parts.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()
@@ -261,7 +266,12 @@ def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, w
     per = {r["source"]: r["n"] for r in sums}
     rest = parts.where(~F.col("source").isin(names)).agg(F.sum("n")).first()[0] or 0 if len(names) == MAX_QUEUES - 1 else 0
     totals = [*(per[x] for x in names), rest]
-    target = tempered(totals) if weights is None else [max(1, int(weights.get(x, 1))) for x in [*names, "\0rest"]]
+    if weights is None:
+        target = tempered(totals)
+    else:
+        # The shared queue's target is the sum of its sources'.
+        others = [r["source"] for r in parts.where(~F.col("source").isin(names)).select("source").distinct().collect()] if rest else []
+        target = [*(max(1, int(weights.get(x, 1))) for x in names), max(1, sum(max(1, int(weights.get(x, 1))) for x in others))]
     dealer = Dealer(plan(totals, target, window)) if sum(totals) else None
     queue = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)]), F.col("source")), F.lit(len(names))) if names else F.lit(0)
     in_queue = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siltwork.llm import ann, fixity, webp
+from siltwork.llm import ann, fixity, mixing, packing, webp
 
 # --- media ------------------------------------------------------------------------------------------------------
 
@@ -162,3 +162,16 @@ def test_stages_follow_one_another(spark, sf_dir):
     assert kept < {r.doc_id for r in before.select("doc_id").collect()}
     packed = corpus_pipeline.run(spark, sf_dir)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept
+
+
+def test_packed_windows_follow_the_mixing(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    placed = mixing.mixing_schedule(docs).toPandas().sort_values(["slot", "place"])
+    got = corpus_pipeline.packing(spark, docs.orderBy(F.desc("doc_id")), sf_dir).toPandas().sort_values(["sequence_id", "offset"])
+    first = got[got.start == 0]
+    for source, rows in placed.groupby("source"):
+        assert first[first.source == source].doc_id.tolist() == rows.doc_id.tolist()
+    share = mixing.targets(docs)
+    window = got[got.sequence_id == 0].groupby("source").length.sum()
+    for source, n in window.items():
+        assert abs(n - packing.WINDOW * share[source] / sum(share.values())) <= 1
