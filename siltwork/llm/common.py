@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,22 @@ def fold(key: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def unused(taken: Iterable[str], name: str) -> str:
+    """The name, with as many underscores after it as it takes to clash with no column; case does not tell names apart."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none (tests)."""
+    """The folder that driver and executors share, by spark.checkpoint.dir; one of our own only on a local master (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = spark.sparkContext.getCheckpointDir()
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="siltwork-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(at)

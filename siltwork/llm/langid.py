@@ -6,11 +6,13 @@ q/(n+q) for q distinct successors among n), at last to the uniform distribution
 the statistics are frozen, so a text's code length is the exact sum of its bytes' code lengths, and a byte's
 code length depends on three bytes before it only. That lets numpy price whole Arrow batches by table lookups.
 
-Texts are priced as UTF-8 with A-Z lower-cased; three newlines stand before each text. Bytes unseen in every
-language's training share one symbol: they escape in every context, so the merge changes no code length.
+Texts are priced as UTF-8 with A-Z lower-cased; three newlines stand before each text. A tree holds what its
+language's texts have shown and no more, so neither contexts nor languages have a limit: the model grows with the
+distinct four-byte strings of the documents that teach, some 600 a language.
 
 Nulls: a null text, or one with no letter, is ``und`` with score 0. Rows without lang teach nothing. Repeated
-rows count as often as they occur. An empty table gives no rows; with nothing to learn from, all is ``und``.
+rows teach as often as they occur, if they do. An empty table gives no rows; with nothing to learn from, all is
+``und``. Other columns stay, whatever their names; ``identify`` refuses a table that has a name it is to add.
 """
 
 from __future__ import annotations
@@ -22,16 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltwork.llm.common import fold
+from siltwork.llm.common import fold, unused
 
 UNDETERMINED = "und"
 #: Documents per language from which the trees are counted, on average: a hash of doc_id draws them.
 TRAIN_DOCS = 600
-#: Contexts of three bytes that the trees keep, the most frequent ones; the others are priced by two bytes.
-MAX_CONTEXTS = 8192
-#: Languages that are told apart, the most frequent ones.
-MAX_LANGUAGES = 64
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
+_EMPTY = np.uint32(0xFFFFFFFF)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -75,96 +74,133 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes.astype(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "gram", "n"])
 
 
-class ContextTrees:
-    """Frozen statistics of all languages as one table of code lengths: a row for each context and next symbol."""
-
-    def __init__(self, langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray], max_contexts: int = MAX_CONTEXTS):
-        self.langs = langs
-        seen = np.unique(np.concatenate([(g >> (8 * k)) & 255 for g in grams for k in range(4)] + [np.array([10])]))
-        self.size = a = len(seen) + 1  # the last symbol stands for all unseen bytes
-        self.symbol = np.full(256, a - 1, np.int64)
-        self.symbol[seen] = np.arange(a - 1)
-        coded = [np.stack([self.symbol[(g >> (8 * k)) & 255] for k in range(4)]) for g in grams]  # next, then 1 to 3 before
-        spread = 257 - a  # bytes behind the last symbol
-        uniform = np.full((1, a), 1 / 256)
-        uniform[0, -1] *= spread / max(spread, 1)
-        # Which contexts of three bytes are kept is decided over all languages.
-        total = np.zeros(a**3, np.int64)
-        for s, n in zip(coded, counts, strict=True):
-            np.add.at(total, (s[3] * a + s[2]) * a + s[1], n)
-        third = np.flatnonzero(total)
-        third = np.sort(third[np.argsort(-total[third], kind="stable")[:max_contexts]])
-        second, first = np.arange(a * a), np.arange(a)
-        #: Row of the longest kept context: contexts of three, then all of two (one and none are priced into them).
-        self.state = np.tile((len(third) + second).astype(np.int32), a)
-        self.state[third] = np.arange(len(third), dtype=np.int32)
-        self.bits = np.empty(((len(third) + a * a), a, len(langs)), np.float32)
-        at = np.full(a**3, -1, np.int64)
-        at[third] = np.arange(len(third))
-        for k, (s, n) in enumerate(zip(coded, counts, strict=True)):
-            p0 = self._mix(np.zeros_like(s[0]), s[0], n, 1, uniform[np.zeros(1, int)])
-            p1 = self._mix(s[1], s[0], n, a, p0[np.zeros(a, int)])
-            p2 = self._mix(s[2] * a + s[1], s[0], n, a * a, p1[second % a])
-            row = at[(s[3] * a + s[2]) * a + s[1]]
-            p3 = self._mix(row[row >= 0], s[0][row >= 0], n[row >= 0], len(third), p2[third % (a * a)])
-            self.bits[: len(third), :, k] = -np.log2(p3)
-            self.bits[len(third) :, :, k] = -np.log2(p2)
-        self.bits = self.bits.reshape(-1, len(langs))
-
-    def _mix(self, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, contexts: int, shorter: np.ndarray) -> np.ndarray:
-        """Probabilities of each context's next symbol, by escape from the shorter context's."""
-        c = np.bincount(context * self.size + symbol, weights=n, minlength=contexts * self.size).reshape(contexts, self.size)
+class Lookup:
+    """Values of whole numbers below 2 ** 32, open addressing in numpy; NaN for a number that has none."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        keys = keys.astype(np.uint32)
+        some = keys != _EMPTY  # four bytes 255 are in no UTF-8 text
+        keys, values = keys[some], values[some]
+        bits = max(4, (3 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint32(32 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, _EMPTY, np.uint32), np.full(1 << bits, np.nan, np.float32)
+        at, rest = self._places(keys), np.arange(len(keys))
+        while len(rest):
+            free = rest[self.keys[at[rest]] == _EMPTY]
+            places, first = np.unique(at[free], return_index=True)
+            self.keys[places], self.values[places] = keys[free[first]], values[free[first]]
+            rest = rest[self.keys[at[rest]] != keys[rest]]
+            at[rest] = at[rest] + 1 & self.mask
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint32(2654435769) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self._places(keys)
+        there = self.keys[at]
+        out = self.values[at]
+        rest = np.flatnonzero(there != keys)
+        out[rest] = np.nan
+        rest = rest[there[rest] != _EMPTY]
+        at = at[rest]
+        while len(rest):
+            at = at + 1 & self.mask
+            there = self.keys[at]
+            hit = there == keys[rest]
+            out[rest[hit]] = self.values[at[hit]]
+            more = ~hit & (there != _EMPTY)
+            rest, at = rest[more], at[more]
+        return out
+
+
+class ContextTree:
+    """Frozen statistics of one language. Its size is that of what was seen: strings of four and three bytes and their contexts."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        n, g = counts.astype(np.float64), grams.astype(np.int64)
+        symbol, first = g & 255, g & 0xFFFF
+        c0 = np.bincount(symbol, weights=n, minlength=256)
+        p0 = self._mixed(c0[None], np.full(256, 1 / 256))
+        #: Bits of the next byte after one byte: one and no bytes of context are mixed in a full table.
+        self.one = -np.log2(self._mixed(np.bincount(first, weights=n, minlength=1 << 16).reshape(256, 256), p0)).ravel().astype(np.float32)
+        third, at = np.unique(g & 0xFFFFFF, return_inverse=True)
+        c, context = np.bincount(at, weights=n), third >> 8
+        total, kinds = np.bincount(context, weights=c, minlength=1 << 16), np.bincount(context, minlength=1 << 16)
+        self.three = Lookup(third, -np.log2(c / (total + kinds)[context]))
+        self.escape_two = -np.log2(np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)).astype(np.float32)
+        contexts, at = np.unique(g >> 8, return_inverse=True)
+        total, kinds = np.bincount(at, weights=n), np.bincount(at)
+        self.four = Lookup(g, -np.log2(n / (total + kinds)[at]))
+        self.escape_three = Lookup(contexts, -np.log2(kinds / (total + kinds)))
+
+    @staticmethod
+    def _mixed(c: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+        """Probabilities of each context's next byte, by escape from the shorter context's."""
         total, kinds = c.sum(1, keepdims=True), (c > 0).sum(1, keepdims=True)
         escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
         return np.where(c > 0, c / np.maximum(total + kinds, 1), escape * shorter)
 
+    def bits(self, codes: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each four bytes after the three before it."""
+        out = self.four(codes)
+        rest = np.flatnonzero(np.isnan(out))
+        if len(rest):
+            c = codes[rest]
+            short, escape = self.three(c & np.uint32(0xFFFFFF)), self.escape_three(c >> np.uint32(8))
+            new = np.flatnonzero(np.isnan(short))
+            short[new] = self.escape_two[c[new] >> np.uint32(8) & np.uint32(0xFFFF)] + self.one[c[new] & np.uint32(0xFFFF)]
+            out[rest] = short + np.where(np.isnan(escape), 0, escape)
+        return out
+
+
+class ContextTrees:
+    """The trees of all languages."""
+
+    def __init__(self, langs: list[str], grams: list[np.ndarray], counts: list[np.ndarray]):
+        self.langs, self.trees = langs, [ContextTree(g, n) for g, n in zip(grams, counts, strict=True)]
+
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text (rows) under each language (columns); bounded memory whatever the texts' lengths."""
         out = np.zeros((len(offsets) - 1, len(self.langs)))
         if not len(data):
             return out
-        symbols, starts, a = self.symbol.astype(np.uint16)[_LOWER][data], offsets[:-1], self.size
-        pad = int(self.symbol[10])
+        starts = offsets[:-1]
         full = np.flatnonzero(offsets[1:] > starts)
         for lo in range(0, len(data), _CHUNK):
             hi = min(lo + _CHUNK, len(data))
-            a_, b_ = np.searchsorted(starts, [lo - 3, hi])
-            near = starts[max(a_ - 1, 0) : b_]
-            context = _before(symbols, near, lo, hi, 3, pad).astype(np.int32)
-            for back in (2, 1):
-                context *= a
-                context += _before(symbols, near, lo, hi, back, pad)
-            rows = self.state[context]
-            rows *= a
-            rows += symbols[lo:hi]
-            bits = self.bits[rows]
+            part = _LOWER[data[max(lo - 3, 0) : hi]]
+            a, b = np.searchsorted(starts, [lo - 3, hi])
+            near, shift = starts[max(a - 1, 0) : b], max(lo - 3, 0)
+            codes = part[lo - shift :].astype(np.uint32)
+            for back in (1, 2, 3):
+                codes |= _before(part, near - shift, lo - shift, hi - shift, back, 10).astype(np.uint32) << np.uint32(8 * back)
             here = full[(offsets[full + 1] > lo) & (starts[full] < hi)]
             cuts = np.maximum(starts[here] - lo, 0)
-            for k in range(bits.shape[1]):
-                out[here, k] += np.add.reduceat(bits[:, k].astype(np.float64), cuts)
+            for k, tree in enumerate(self.trees):
+                out[here, k] += np.add.reduceat(tree.bits(codes), cuts, dtype=np.float64)
         return out
 
 
-def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS, max_contexts: int = MAX_CONTEXTS) -> ContextTrees | None:
+def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang", train_docs: int = TRAIN_DOCS) -> ContextTrees | None:
     """Context trees from the rows of docs that have text and lang; None if there are none.
 
-    Of each language about ``train_docs`` documents teach, drawn by a hash of their key, with their whole texts.
-    Executors count; the driver gets the counts of distinct four-byte strings only.
+    Of each language about ``train_docs`` documents teach, drawn by a hash of their key and text, with their whole
+    texts. Executors count; the driver gets a row for each language, and the counts of distinct four-byte strings.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = [(r[0], r[1]) for r in rows.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
+    sizes = [(r[0], r[1]) for r in rows.groupBy(F.col(lang).alias("lang")).count().orderBy("lang").collect()]
     if not sizes:
         return None
     unit = 1 << 30
     share = F.create_map(*[F.lit(x) for name, n in sizes for x in (name, min(unit, -(-unit * train_docs // n)))])
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key)), F.lit(unit))
-    sample = rows.where(draw < F.coalesce(share[F.col(lang)], F.lit(0)))
+    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key), F.col(text)), F.lit(unit))
+    sample = rows.where(draw < share[F.col(lang)])
     grams = sample.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text")).mapInArrow(_count, "lang string, gram long, n long")
     got = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     names = np.array(got.column("lang").to_pylist(), dtype=object)
     gram, n = got.column("gram").to_numpy(), got.column("n").to_numpy()
     langs = sorted(set(names))
-    return ContextTrees(langs, [gram[names == x] for x in langs], [n[names == x] for x in langs], max_contexts) if langs else None
+    return ContextTrees(langs, [gram[names == x] for x in langs], [n[names == x] for x in langs]) if langs else None
 
 
 #: Columns that identify() adds.
@@ -173,8 +209,10 @@ FOUND = ("lang_pred", "score", "bits_per_byte")
 
 def identify(docs: DataFrame, model: ContextTrees | None, *, text: str = "text", names: tuple[str, str, str] = FOUND) -> DataFrame:
     """docs with lang_pred, score (the share of the best language, from the code lengths) and bits_per_byte, by these ``names``."""
+    if any(unused(docs.columns, x) != x for x in names):
+        raise ValueError(f"the table has a column of the names {', '.join(names)}: pass others")
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    frame, at = docs.withColumn("_langid_letters", letters), docs.columns.index(text)
+    frame, at = docs.select("*", letters.alias(unused(docs.columns, "_letters"))), docs.columns.index(text)
     schema = docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(0.0).alias(names[2])).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -208,6 +246,6 @@ def keep_known_language(docs: DataFrame) -> DataFrame:
 
     A text that no tree can shorten, at 8 bits a byte or more, is in none of the languages and goes too.
     """
-    names = tuple(f"_langid_{x}" for x in FOUND)
+    names = tuple(unused(docs.columns, x) for x in FOUND)
     found = identify(docs, train(docs), names=names)
     return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[2]) < 8)).select(*docs.columns)
