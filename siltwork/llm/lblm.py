@@ -1,8 +1,9 @@
 """Language-model scoring by a log-bilinear neural model.
 
 The model predicts a token from the two before it: ``s(w | u, v) = (c1 * r_u + c2 * r_v) . q_w + b_w``, with vectors
-for context and target words and a weight vector for each place. Its words are the most frequent of the corpus, the
-end of a text, and one class for all others, in which a word has its add-one share of the class's tokens.
+for context and target words and a weight vector for each place. Its symbols are the most frequent words of the
+corpus, the end of a text, and classes of all other words by a hash of their endings: any word, however rare or new,
+has its class's vectors as context and target, and in its class its add-one share of the class's tokens.
 
 It is trained in numpy by noise-contrastive estimation: each true token against words drawn from the corpus'
 unigrams, a batch sharing its noise words, so that a step is a few matrix products. Each partition trains on windows
@@ -10,14 +11,15 @@ of all its texts from common parameters; the parameters are then averaged by row
 windows, and the next round starts from the mean. So each document of the learning folds teaches, and what is
 gathered grows with the corpus.
 
-Scores are normalised exactly: as the score is a sum over the two places, the normaliser of all pairs of context
+Scores are normalised exactly, over the symbols and in each class: as the score is a sum over the two places, the normaliser of all pairs of context
 words is one product of two matrices of exponentials, and a token's log-probability is three table look-ups.
 
 Counts are exact and cover all learning texts. The most frequent words' counts, a bounded number, go to the
 executors; the others meet the texts' rarer words in a join, once for each different one of a text.
 
 A null text is empty, its end the only token. Repeated rows count and are scored as often as they occur; a null
-doc_id falls into the fold of the empty text. Without learning texts each token has base probability 1.
+doc_id falls into the fold of the empty text. Without learning texts each token has base probability 1. Only doc_id
+and text are read, whatever other columns are called; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +40,8 @@ from pyspark.sql import functions as F
 from siltwork.llm.common import fold, stored
 from siltwork.llm.langid import byte_columns
 
-#: Words of the model with vectors of their own, besides the end and the class of all others.
-MODEL_WORDS = 1022
+#: Words of the model with vectors of their own, besides the end; the classes of all other words, and the bytes of a word's ending that tell its class.
+MODEL_WORDS, CLASSES, ENDING = 1022, 1024, 3
 #: Words whose counts every executor has.
 FREQUENT_WORDS = 60_000
 DIMENSIONS = 24
@@ -47,8 +50,10 @@ ROUNDS = 2
 BATCH, NOISE, RATE = 2048, 128, 0.08
 #: Windows that a partition holds before it takes steps, about.
 HELD = 1 << 16
-#: Rows of the matrices that are averaged together.
-ROWS = 64
+#: Rows of the matrices that are averaged together, and the groups of partitions whose means are taken first.
+ROWS, GROUPS = 64, 256
+#: Words whose symbols a task remembers before it starts anew.
+MEMORY_WORDS = 500_000
 _SPILL_WORDS = 400_000
 END = b"\n"
 
@@ -125,14 +130,12 @@ class Parameters:
         return one, two, np.log(np.maximum(z, 1e-30)) + top1 + top2.T
 
 
-def _sums(index: np.ndarray, grad: np.ndarray, like: np.ndarray) -> np.ndarray:
-    """The gradients of each row of a matrix summed; by sorting, which is many times faster than np.add.at."""
-    out = np.zeros_like(like)
+def _sums(index: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, the gradients of each summed); by sorting, which is many times faster than np.add.at."""
     order = np.argsort(index, kind="stable")
     rows = index[order]
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    out[rows[first]] = np.add.reduceat(grad[order], first, axis=0)
-    return out
+    return rows[first], np.add.reduceat(grad[order], first, axis=0)
 
 
 def nce_step(p: Parameters, square: Parameters, before: np.ndarray, before2: np.ndarray, token: np.ndarray, noise: np.ndarray, log_kq: np.ndarray, rate: float = RATE) -> None:
@@ -153,43 +156,87 @@ def nce_step(p: Parameters, square: Parameters, before: np.ndarray, before2: np.
         ("context", np.concatenate([before, before2]), np.concatenate([g_q * p.place[0], g_q * p.place[1]])),
         ("bias", np.concatenate([token, noise]), np.concatenate([g_true, g_false.sum(0)])),
     ):
-        full = _sums(index, grad.astype(np.float32) / size, getattr(p, name))
-        total = getattr(square, name)
-        total += full * full
-        at = getattr(p, name)
-        at -= rate * full / (np.sqrt(total) + 1e-6)
+        rows, full = _sums(index, grad.astype(np.float32) / size)
+        total = getattr(square, name)[rows] + full * full
+        getattr(square, name)[rows] = total
+        getattr(p, name)[rows] -= rate * full / (np.sqrt(total) + 1e-6)
     place = np.stack([(g_q * u).sum(0), (g_q * v).sum(0)]).astype(np.float32) / size
     square.place += place * place
     p.place -= rate * place / (np.sqrt(square.place) + 1e-6)
 
 
+def word_class(word: bytes, classes: int) -> int:
+    return crc32(word[-ENDING:]) % classes
+
+
 @dataclass
 class Vocabulary:
-    """The model's words by number (then END, then the class of all others) and the counts of the frequent words."""
+    """The model's words by number (END the last), the counts of the frequent words, and of each class the tokens and different words."""
 
     words: dict[bytes, int]
     counts: dict[bytes, int]
     unigram: np.ndarray
     tokens: int
     distinct: int
-    other_tokens: int
-    other_distinct: int
+    class_tokens: np.ndarray
+    class_distinct: np.ndarray
+
+    def symbol(self, word: bytes) -> int:
+        found = self.words.get(word)
+        return len(self.words) + word_class(word, len(self.class_tokens)) if found is None else found
+
+    def class_logs(self) -> np.ndarray:
+        """For each symbol: log10 of what counts are divided by in it, 0 for a word of the model."""
+        return np.concatenate([np.zeros(len(self.words)), np.log10(self.class_tokens + self.class_distinct + 1.0)])
+
+
+class _Symbols(dict):
+    """word -> symbol, remembered."""
 
-    @property
-    def other(self) -> int:
-        return len(self.words)
+    def __init__(self, vocab: Vocabulary):
+        super().__init__(vocab.words)
+        self.vocab = vocab
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > MEMORY_WORDS:
+            self.clear()
+            self.update(self.vocab.words)
+        n = self[word] = self.vocab.symbol(word)
+        return n
 
-def vocabulary(counts: DataFrame, model_words: int = MODEL_WORDS, frequent_words: int = FREQUENT_WORDS) -> Vocabulary:
-    """counts: (word, n), read twice. The driver gets the frequent words only, a bounded number."""
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+
+def vocabulary(counts: DataFrame, model_words: int = MODEL_WORDS, frequent_words: int = FREQUENT_WORDS, classes: int = CLASSES) -> Vocabulary:
+    """counts: (word, n), read twice. The driver gets the frequent words only, a bounded number, and a row for each class."""
+    of = F.pmod(F.crc32(F.substring("word", -ENDING, ENDING)), F.lit(classes)).cast("int")
+    sums = counts.groupBy(of.alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("k")).toArrow()
     top = counts.orderBy(F.desc("n"), "word").limit(frequent_words).toArrow()
     frequent = dict(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True))
     chosen = [w for w in frequent if w != END][:model_words] + [END]
     n = np.array([frequent.get(w, 0) for w in chosen], np.float64)
-    rest, rest_distinct = int(total - n.sum()), int(distinct - np.count_nonzero(n))
-    unigram = np.concatenate([n, [max(rest, 1)]]) + 1e-3
-    return Vocabulary({w: i for i, w in enumerate(chosen)}, frequent, unigram / unigram.sum(), total, distinct, rest, rest_distinct)
+    tokens, kinds = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
+    at = sums.column("class").to_numpy()
+    tokens[at], kinds[at] = sums.column("n").to_numpy(), sums.column("k").to_numpy()
+    total, distinct = int(tokens.sum()), int(kinds.sum())
+    for w in chosen:
+        if w in frequent:
+            tokens[word_class(w, classes)] -= frequent[w]
+            kinds[word_class(w, classes)] -= 1
+    unigram = np.concatenate([n, tokens]) + 0.5
+    return Vocabulary({w: i for i, w in enumerate(chosen)}, frequent, unigram / unigram.sum(), total, distinct, tokens, kinds)
+
+
+MODELS = "part long, group long, n long, rows binary"
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The mean of one part's slices, weighted with the windows that they learned from."""
+    total, n = 0.0, 0
+    for batch in table.to_batches():
+        for k, rows in zip(batch.column("n").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+            total = total + np.frombuffer(rows, "<f8") * k
+            n += k
+    one = table.slice(0, 1)
+    return pa.table({"part": one.column("part"), "group": one.column("group"), "n": pa.array([n], pa.int64()), "rows": pa.array([(total / n).tobytes()], pa.binary())})
 
 
 def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimensions: int = DIMENSIONS) -> Parameters:
@@ -202,7 +249,8 @@ def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimension
         start = spark.sparkContext.broadcast(p)
 
         def run(batches: Iterator[pa.RecordBatch], start=start, round_=round_) -> Iterator[pa.RecordBatch]:
-            known, other = words.value.words, words.value.other
+            symbols = _Symbols(words.value)
+            end, top = symbols[END], len(words.value.unigram) - 1
             model = Parameters.of_rows(start.value.rows())
             square = Parameters.of_rows(np.full_like(model.rows(), 1e-3))
             rng = np.random.default_rng([round_, TaskContext.get().partitionId()])
@@ -215,14 +263,13 @@ def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimension
                 n = len(rows) if last else len(rows) - len(rows) % BATCH
                 for lo in range(0, n, BATCH):
                     some = rows[lo : min(lo + BATCH, n)]
-                    noise = np.minimum(np.searchsorted(draw, rng.random(NOISE)), other)
+                    noise = np.minimum(np.searchsorted(draw, rng.random(NOISE)), top)
                     nce_step(model, square, some[:, 1], some[:, 0], some[:, 2], noise, log_kq)
                 held, waiting = [rows[n:]], len(rows) - n
 
             for batch in batches:
                 for text in _texts(batch.column(0)):
-                    ids = [end := known[END], end, *[known.get(w, other) for w in words_of(text)], end]
-                    ids = np.array(ids)
+                    ids = np.array([end, end, *map(symbols.__getitem__, words_of(text)), end])
                     at = np.arange(round_, len(ids) - 2, rounds)
                     if len(at):
                         held.append(np.stack([ids[at], ids[at + 1], ids[at + 2]], 1))
@@ -233,21 +280,16 @@ def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimension
             steps(True)
             if seen:
                 out = model.rows()
-                parts = range(0, len(out), ROWS)
-                yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([seen] * len(parts), pa.int64()), pa.array([out[k : k + ROWS].astype("<f4").tobytes() for k in parts], pa.binary())], names=["part", "n", "rows"])
-
-        def mean(key: tuple, table: pa.Table) -> pa.Table:
-            total, n = 0.0, 0
-            for batch in table.to_batches():
-                for k, rows in zip(batch.column("n").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                    total = total + np.frombuffer(rows, "<f4").astype(np.float64) * k
-                    n += k
-            return pa.table({"part": [key[0].as_py()], "rows": [(total / n).astype("<f4").tobytes()]}, schema=pa.schema([("part", pa.int64()), ("rows", pa.binary())]))
-
-        means = texts.mapInArrow(run, "part long, n long, rows binary").groupBy("part").applyInArrow(mean, "part long, rows binary").toArrow()
+                parts, group = range(0, len(out), ROWS), TaskContext.get().partitionId() % GROUPS
+                columns = [list(parts), [group] * len(parts), [seen] * len(parts), [out[k : k + ROWS].astype("<f8").tobytes() for k in parts]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["part", "group", "n", "rows"])
+
+        # Means of groups of partitions first, then of the groups: however many partitions, no task gathers the slices of all.
+        models = texts.mapInArrow(run, MODELS)
+        means = models.groupBy("part", "group").applyInArrow(_mean, MODELS).groupBy("part").applyInArrow(_mean, MODELS).toArrow()
         if means.num_rows:
             rows = b"".join(r for _, r in sorted(zip(means.column("part").to_pylist(), means.column("rows").to_pylist(), strict=True)))
-            p = Parameters.of_rows(np.frombuffer(rows, "<f4").reshape(-1, p.rows().shape[1]))
+            p = Parameters.of_rows(np.frombuffer(rows, "<f8").reshape(-1, p.rows().shape[1]))
     return p
 
 
@@ -267,7 +309,8 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Paramete
             _TABLES[name] = model.tables()
         one, two, norm = _TABLES[name]
         index = {w: i for i, w in enumerate(vocab.counts)}
-        number = np.array([*(vocab.words.get(w, vocab.other) for w in index), vocab.other])
+        number, classes = np.array([*map(vocab.symbol, index), 0]), len(vocab.class_tokens)
+        divided, few = vocab.class_logs(), len(vocab.words)
         log1 = np.log10(np.array([*vocab.counts.values(), 0], np.float64) + 1)
         end = vocab.words[END]
         key = TaskContext.get().partitionId() << 40
@@ -279,17 +322,18 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Paramete
                     words = words_of(text)
                     words.append(END)
                     at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
-                    ids = number[at]
+                    ids, new = number[at], np.flatnonzero(at < 0)
+                    strange = [words[k] for k in new.tolist()]
+                    ids[new] = [few + word_class(w, classes) for w in strange]
                     path = np.concatenate([[end, end], ids])
                     a, b = path[1:-1], path[:-2]
                     lm = float((one[a, ids] + two[b, ids] - norm[a, b]).sum(dtype=np.float64)) / np.log(10)
-                    outside, logs = ids == vocab.other, log1[at]
-                    unknown = Counter(words[k] for k in np.flatnonzero(at < 0).tolist())
-                    texts.append((key, len(words), len(words) - unknown.total(), float(logs.sum()), float(logs[outside].sum()), int(outside.sum()), lm))
+                    logs, unknown = log1[at], Counter(strange)
+                    texts.append((key, len(words), len(words) - len(strange), float(logs.sum()), lm + float((logs[ids >= few]).sum() - divided[ids].sum())))
                     rare += [(key, w, n) for w, n in unknown.items()]
                     key += 1
                 n, m = len(texts), len(rare)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
                 columns = [pa.array(c, k) for c, k in zip(zip(*texts, strict=True), kinds, strict=True)]
                 keys, words, times = zip(*rare, strict=True) if rare else ((), (), ())
                 both = [
@@ -298,9 +342,9 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Paramete
                     pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(times, pa.int64())]),
                     *(pa.concat_arrays([c, pa.nulls(m, c.type)]) for c in (batch.column(0), batch.column(1), *columns[1:])),
                 ]
-                yield pa.RecordBatch.from_arrays(both, names=["key", "word", "times", "doc_id", "held_out", "tokens", "known", "base", "in_other", "others", "lm"])
+                yield pa.RecordBatch.from_arrays(both, names=["key", "word", "times", "doc_id", "held_out", "tokens", "known", "base", "lm"])
 
-    kinds = "key long, word binary, times long, doc_id long, held_out boolean, tokens long, known long, base double, in_other double, others long, lm double"
+    kinds = "key long, word binary, times long, doc_id long, held_out boolean, tokens long, known long, base double, lm double"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", F.col("text").cast("binary").alias("text")).mapInArrow(run, kinds)
     # A row for each text, and one for each of its rarer words; written, as both are read apart and the keys must stay.
     rows = stored(rows)
@@ -308,8 +352,7 @@ def score(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, model: Paramete
     rare = rare.groupBy("key").agg(F.sum(F.log10(F.col("n") + 1) * F.col("times")).alias("rare"), F.sum("times").alias("rare_known"))
     each = rows.where(F.col("word").isNull()).drop("word", "times").join(rare, "key", "left").fillna(0, ["rare", "rare_known"])
     base = F.col("base") + F.col("rare") - F.col("tokens") * float(np.log10(vocab.tokens + vocab.distinct + 1))
-    others = F.col("in_other") + F.col("rare") - F.col("others") * float(np.log10(vocab.other_tokens + vocab.other_distinct + 1))
-    return each.select("doc_id", "held_out", F.col("tokens").alias("n_tokens"), (F.col("known") + F.col("rare_known")).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("lm") + others).alias("score"))
+    return each.select("doc_id", "held_out", F.col("tokens").alias("n_tokens"), (F.col("known") + F.col("rare_known")).alias("n_known"), F.lit(vocab.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("lm") + F.col("rare")).alias("score"))
 
 
 def language_model_scores(docs: DataFrame) -> DataFrame:
