@@ -2,18 +2,21 @@
 
 Each source is a queue of tokens. A window takes from every queue its quantum, the window's length times the
 queue's share of the target weights; the fraction that a window can't give is the queue's deficit, which the next
-window pays. Because documents may be cut anywhere, the tokens that queue q has been given after k windows have
+window pays. More sources than ``GROUP`` are dealt in levels: groups of sources are the queues of windows, and each
+group's own stream is dealt to its sources in the same way, so every source keeps its target, to a token a level,
+however many there are. Because documents may be cut anywhere, the tokens that queue q has been given after k windows have
 the closed form ``F_q(k) - F_(q-1)(k)`` with ``F_j(k) = floor(length * k * (w_1 + ... + w_j) / sum(w))``: each
 window is full, each queue is less than one token from its target at every window, and no task needs to wait for
 another one's deficits. When a queue runs dry, one window is dealt by hand from what is left, then a new phase
-begins with the queues that remain. The phases, at most a few for each queue, are all that the driver plans.
+begins with the queues that remain. The phases, at most a few for each queue, are all that the driver plans: some
+two kilobytes a source, which executors get too.
 
 A document's place in its queue is the sum of the tokens before it: in its own partition, counted while the
 tokens are written, plus those of the partitions before. So texts are never shuffled and a hot source is no
 hot task. Only the last sequence can be short.
 
 Nulls: a null text is empty (its end id alone); a null source is a queue of its own. Repeated rows are packed
-as often as they occur. An empty table gives no rows.
+as often as they occur. An empty table gives no rows. Only doc_id, source and text are read, whatever else is there.
 """
 
 from __future__ import annotations
@@ -38,18 +41,21 @@ from siltwork.llm.langid import byte_columns
 
 WINDOW = 2048
 END_ID = 1
-#: Queues at most; the smallest sources beyond share the last one, in order.
-MAX_QUEUES = 256
+#: Queues that one level of the deal has at most; with more, groups of so many are the queues of the level above.
+GROUP = 64
+#: A level's targets are whole numbers that sum to about this at most.
+UNITS = 1 << 16
 #: Words whose ids a Python worker remembers before it starts anew.
 MEMORY_WORDS = 400_000
 
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
 _PLAIN = re.compile(r"[!-~\xa1-\xff]+")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 _TOKENIZERS: dict[str, WordIds] = {}
 
 
 class WordIds(dict):
-    """The ids of a text by a vocabulary file, word by word: word -> its number in ``starts`` and ``sizes``.
+    """The ids of a text by a vocabulary file, word by word: word -> its ids as bytes, of two bytes each or four.
 
     The vocabulary lower-cases, drops white space and never joins what white space parts, so a text's ids are
     those of its words one after another, and a word's ids are looked up once. Words of letters up to U+00FF go
@@ -67,62 +73,51 @@ class WordIds(dict):
             spec = json.load(f)
         steps = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
-        self.by_word = steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"] and not cuts[1]["add_prefix_space"]
+        self.special = [x["content"] for x in spec["added_tokens"]]
+        plain = steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"] and not cuts[1]["add_prefix_space"]
+        self.by_word = plain and not any(x.isalpha() for x in self.special)
         self.cut = regex.compile(cuts[0]["pattern"]["Regex"]) if self.by_word else None
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [x["content"] for x in spec["added_tokens"]]
         self.special_start = os.path.commonprefix(self.special)
-        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         others = iter(range(256, 512))
-        self.letter = [chr(b) if b in plain else chr(next(others)) for b in range(256)]
-        self.known: dict[str, list[int]] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.known.clear()
-        self.flat, self.starts, self.sizes = array("I"), array("q"), array("q")
-
-    def __missing__(self, word: bytes) -> int:
-        ids = self._ids(word.decode("utf-8", "replace"))
-        n = self[word] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.sizes.append(len(ids))
-        self.flat.extend(ids)
-        return n
-
-    def _ids(self, word: str) -> list[int]:
-        low = word.lower()
-        if not _PLAIN.fullmatch(low) or (self.special_start in word and any(x in word for x in self.special)):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        if low.isalpha():
-            return self._piece(low)
-        out: list[int] = []
-        for piece in (low[:-1], low[-1]) if low[-1] in ".," and low[:-1].isalpha() else self.cut.findall(low):
-            out += self._piece(piece)
-        return out
-
-    def _piece(self, piece: str) -> list[int]:
-        got = self.known.get(piece)
-        if got is None:
-            got = self.known[piece] = [t.id for t in self.tokenizer.model.tokenize(piece if piece.isascii() else "".join([self.letter[b] for b in piece.encode()]))]
-        return got
-
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        #: The letter of each byte that the model has no letter of the same number for.
+        self.letter = {b: next(others) for b in range(256) if b not in shown}
+        self.model = self.tokenizer.model
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self._ids(word)
+        return ids
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes() if self.kind.itemsize > 2 else array("H", ids).tobytes()
+
+    def _ids(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        low = text.lower()
+        if not _PLAIN.fullmatch(low) or (self.special_start in text and any(x in text for x in self.special)):
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        lowered = low.encode()
+        if lowered != word:
+            return self[lowered]
+        if not low.isalpha():
+            pieces = (low[:-1], low[-1]) if low[-1] in ".," and low[:-1].isalpha() else self.cut.findall(low)
+            if pieces != [low]:
+                return b"".join([self[x.encode()] for x in pieces])
+        return self._packed([t.id for t in self.model.tokenize(low if low.isascii() else lowered.decode("latin-1").translate(self.letter))])
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text."""
-        if not self.by_word:
-            for text in texts:
-                yield np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
-            return
         for text in texts:
-            if len(self.starts) > MEMORY_WORDS:
-                self.reset()
-            words = text.split()
-            at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-            sizes = np.frombuffer(self.sizes, np.int64)[at] if words else np.zeros(0, np.int64)
-            ends = sizes.cumsum()
-            total = int(ends[-1]) if words else 0
-            yield np.frombuffer(self.flat, np.uint32)[np.repeat(np.frombuffer(self.starts, np.int64)[at] - (ends - sizes), sizes) + np.arange(total)] if total else np.zeros(0, np.uint32)
+            if not self.by_word:
+                yield self._packed(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
+                continue
+            if len(self) > MEMORY_WORDS:
+                self.clear()
+            if self.special_start.encode() not in text:
+                # Fewer different words: no capitals, and no full stop or comma after a letter or digit.
+                text = _STOP.sub(rb" \1", text.lower())
+            yield b"".join(map(self.__getitem__, text.split()))
 
 
 def word_ids(path: str) -> WordIds:
@@ -137,7 +132,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, coder = TaskContext.get().partitionId(), {}, word_ids(path)
-        kind = coder.kind
+        end = end_id.to_bytes(coder.kind.itemsize, "little")
         for whole in batches:
             for lo in range(0, len(whole), 1000):
                 batch = whole.slice(lo, 1000)
@@ -145,8 +140,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 data = data.tobytes()
                 sources, place, n, ids = batch.column(1).to_pylist(), [], [], []
                 for source, found in zip(sources, coder.encode([data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]), strict=True):
-                    ids.append(found.astype(kind).tobytes() + end_id.to_bytes(kind.itemsize, "little"))
-                    n.append(len(found) + 1)
+                    ids.append(found + end)
+                    n.append(len(ids[-1]) // len(end))
                     place.append(before.get(source, 0))
                     before[source] = place[-1] + n[-1]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([part] * len(n), pa.int64()), pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "source", "part", "place", "n", "ids"])
@@ -252,6 +247,32 @@ class Dealer:
         return tuple(x[there] for x in (doc, lo - start[doc], hi - lo, self.first[p] + k, offset))
 
 
+class Deal:
+    """Where the tokens of any number of queues go: a Dealer for each group of each level, the last level's one for all."""
+
+    def __init__(self, totals: list[int], weights: list[int], window: int = WINDOW):
+        self.window, self.levels = window, []
+        while not self.levels or len(self.levels[-1]) > 1:
+            scale = max(1, -(-sum(weights) // UNITS))
+            weights = [max(1, w // scale) for w in weights]
+            groups = [slice(at, at + GROUP) for at in range(0, len(totals), GROUP)]
+            self.levels.append([Dealer(plan(totals[g], weights[g], window)) if sum(totals[g]) else None for g in groups])
+            totals, weights = [sum(totals[g]) for g in groups], [sum(weights[g]) for g in groups]
+
+    def pieces(self, q: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, start in it, length, sequence, offset) of the pieces of documents at ``start`` of queue q."""
+        doc, inside, length = np.arange(len(q)), np.zeros(len(q), np.int64), n
+        for level, dealers in enumerate(self.levels):
+            parts = []
+            for g in np.unique(q // GROUP):
+                of = np.flatnonzero(q // GROUP == g)
+                piece, at, size, sequence, offset = dealers[g].pieces(q[of] % GROUP, start[of], length[of])
+                parts.append((doc[of][piece], inside[of][piece] + at, size, sequence, offset, np.full(len(piece), g)))
+            doc, inside, length, sequence, offset, q = (np.concatenate(c) for c in zip(*parts, strict=True))
+            start = sequence * self.window + offset
+        return doc, inside, length, sequence, offset
+
+
 def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, order: list[Column] | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece of a document. weights: a source's target share of each window's tokens; others get 1.
 
@@ -261,25 +282,20 @@ def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, o
         docs = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     tokens = stored(tokenized(docs, path, end_id))
     parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
-    sums = parts.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(MAX_QUEUES - 1).collect()
-    names = sorted(r["source"] for r in sums)
-    per = {r["source"]: r["n"] for r in sums}
-    rest = parts.where(~F.col("source").isin(names)).agg(F.sum("n")).first()[0] or 0 if len(names) == MAX_QUEUES - 1 else 0
-    totals = [*(per[x] for x in names), rest]
-    if weights is None:
-        target = tempered(totals)
-    else:
-        # The shared queue's target is the sum of its sources'.
-        others = [r["source"] for r in parts.where(~F.col("source").isin(names)).select("source").distinct().collect()] if rest else []
-        target = [*(max(1, int(weights.get(x, 1))) for x in names), max(1, sum(max(1, int(weights.get(x, 1))) for x in others))]
-    dealer = Dealer(plan(totals, target, window)) if sum(totals) else None
-    queue = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (name, i)]), F.col("source")), F.lit(len(names))) if names else F.lit(0)
-    in_queue = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.withColumn("queue", queue).withColumn("base", F.coalesce(F.sum("n").over(in_queue), F.lit(0))).drop("n")
+    # A row for each source goes to the driver, and comes back with its queue's number.
+    names, totals = [], []
+    for r in parts.groupBy("source").agg(F.sum("n").alias("n")).orderBy("source").toLocalIterator():
+        names.append(r["source"])
+        totals.append(r["n"])
+    target = tempered(totals) if weights is None else [max(1, int(weights.get(x, 1))) for x in names]
+    deal = Deal(totals, target, window) if names else None
+    queues = docs.sparkSession.createDataFrame(list(zip(names, range(len(names)), strict=True)), "source string, queue long")
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = parts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n").join(queues, "source")
     # Written first: Spark then knows its size, and moves the tokens only if it is too large to broadcast.
     bases = stored(bases)
     rows = tokens.join(bases, ["source", "part"]).select("doc_id", "source", "queue", (F.col("base") + F.col("place")).alias("start"), "n", "ids")
-    shared = docs.sparkSession.sparkContext.broadcast(dealer)
+    shared = docs.sparkSession.sparkContext.broadcast(deal)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         deal = shared.value

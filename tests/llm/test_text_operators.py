@@ -112,7 +112,7 @@ def test_redaction_keeps_rows_and_columns(odd):
 # --- language ---------------------------------------------------------------------------------------------------
 
 
-def brute_bits(trees_of, text, size):
+def brute_bits(trees_of, text):
     """Code length by walking the contexts, from counts of a training text of one language."""
     total = 0.0
     data = b"\n\n\n" + text
@@ -149,7 +149,7 @@ def test_code_lengths_are_those_of_the_contexts():
     texts = [b"abba", b"", "déjà là".encode(), b"zzz \xff\xfe a", b"cad"]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     got = model.code_lengths(np.frombuffer(b"".join(texts), np.uint8), offsets)
-    want = [[brute_bits(trees[lang], t, model.size) for lang in langs] for t in texts]
+    want = [[brute_bits(trees[lang], t) for lang in langs] for t in texts]
     assert np.allclose(got, want, rtol=1e-5)
 
 
@@ -320,7 +320,7 @@ def test_base_scores_and_normalisation(docs, local):
         assert np.isclose(row.base_score, sum(np.log10((counts.get(t, 0) + 1) / (n + v + 1)) for t in tokens))
         assert (row.n_tokens, row.n_known, row.train_tokens, row.held_out) == (len(tokens), sum(t in counts for t in tokens), n, fold(key, 7) == 2)
     held = got[got.held_out]
-    assert (got.score < 0).all() and held.score.sum() > held.base_score.sum() * 1.05
+    assert (got.score < 0).all() and held.score.sum() > held.base_score.sum()
 
 
 def test_the_model_is_normalised_and_learns():
@@ -339,6 +339,21 @@ def test_the_model_is_normalised_and_learns():
     assert (full[np.arange(4), np.arange(4)].argmax(-1) == (np.arange(4) + 1) % 4).all()
 
 
+def test_each_word_belongs_to_a_class_that_sums_to_one(spark):
+    words = [f"word{i}ing" for i in range(40)] + [f"thing{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, " ".join(words[: 2 + i])) for i in range(60)], "doc_id long, text string")
+    vocab = lblm.vocabulary(lblm.token_counts(docs), model_words=5, classes=7)
+    assert vocab.tokens == sum(2 + i for i in range(60)) + 60 and vocab.distinct == 62
+    of = collections.Counter()
+    for w, n in vocab.counts.items():
+        if w not in vocab.words:
+            of[vocab.symbol(w) - len(vocab.words)] += n
+    assert vocab.class_tokens.tolist() == [of[k] for k in range(7)] and vocab.class_distinct.sum() + 5 + 1 == 62
+    # In a class: each seen word's add-one share, and one share for any other word.
+    for k in range(7):
+        assert of[k] + vocab.class_distinct[k] + 1 == round(10 ** vocab.class_logs()[len(vocab.words) + k])
+
+
 def test_every_window_teaches(spark):
     text = "c a b " * 3000
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
@@ -426,3 +441,28 @@ def test_plans_give_every_token_once(seed):
             assert start == at
             at += n
         assert at == t
+
+
+def test_hundreds_of_sources_keep_their_targets():
+    rng = np.random.default_rng(1)
+    sources = 150
+    totals, weights = [20_000] * sources, [int(x) for x in rng.integers(1, 40, sources)]
+    deal = packing.Deal(totals, weights, 2048)
+    assert [len(level) for level in deal.levels] == [3, 1]
+    q, start = np.repeat(np.arange(sources), 4), np.tile(np.arange(4) * 5_000, sources)
+    doc, at, n, window, offset = deal.pieces(q, start, np.full(len(q), 5_000))
+    assert np.bincount(doc, weights=n).tolist() == [5_000] * len(q)
+    order = np.lexsort((offset, window))
+    assert (np.cumsum(n[order]) - n[order] == (window * 2048 + offset)[order]).all()  # each place once, without gaps
+    until = 300
+    had = np.bincount(q[doc], weights=np.where(window < until, n, 0), minlength=sources)
+    target = np.array(weights) / sum(weights) * 2048 * until
+    assert (np.abs(had - target) < 2048 / 8).all()  # a group's stream is at most one of its windows off
+
+
+def test_more_sources_than_a_level_holds(spark, tokenizer):
+    rows = [(i, f"document {i} of its source, with some words", f"s{i % 130}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).toPandas()
+    ids = ids_of(tokenizer, [r[0] for r in rows], [r[1] for r in rows])
+    assert check_packing(got, ids) == {k: len(v) for k, v in ids.items()}
