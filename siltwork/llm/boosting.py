@@ -11,16 +11,17 @@ class BoostedTrees:
     def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32, l2: float = 1.0):
         self.rounds, self.depth, self.rate, self.bins, self.l2 = rounds, depth, rate, bins, l2
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> BoostedTrees:
+        weight = np.ones(len(y)) if weight is None else weight
         self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(x.shape[1])]
         binned = self._binned(x)
-        share = min(max(y.mean(), 1e-3), 1 - 1e-3)
+        share = min(max(np.average(y, weights=weight), 1e-3), 1 - 1e-3)
         self.base = float(np.log(share / (1 - share)))
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         margin = np.full(len(y), self.base)
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-margin))
-            tree = self._tree(binned, p - y, np.maximum(p * (1 - p), 1e-6))
+            tree = self._tree(binned, weight * (p - y), weight * np.maximum(p * (1 - p), 1e-6))
             self.trees.append(tree)
             margin += self._leaf(tree, binned)
         return self
@@ -30,23 +31,27 @@ class BoostedTrees:
         return self.base + sum((self._leaf(t, binned) for t in self.trees), np.zeros(len(x)))
 
     def _binned(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], 1) if len(x) else np.zeros((0, len(self.cuts)), int)
+        return np.asfortranarray(np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], 1)) if len(x) else np.zeros((0, len(self.cuts)), int)
 
     def _tree(self, b: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        inner = (1 << self.depth) - 1
+        """Level by level: one histogram of a feature serves all nodes of a level."""
+        inner, bins = (1 << self.depth) - 1, self.bins + 1
         feature, cut, node = np.zeros(inner, int), np.full(inner, self.bins), np.zeros(len(b), int)
-        for at in range(inner):
-            rows = node == at
-            if rows.any():
-                best = 1e-9
-                total_g, total_h = g[rows].sum(), h[rows].sum()
-                for j in range(b.shape[1]):
-                    gl = np.bincount(b[rows, j], weights=g[rows], minlength=self.bins + 1).cumsum()
-                    hl = np.bincount(b[rows, j], weights=h[rows], minlength=self.bins + 1).cumsum()
-                    gain = gl**2 / (hl + self.l2) + (total_g - gl) ** 2 / (total_h - hl + self.l2) - total_g**2 / (total_h + self.l2)
-                    if gain.max() > best:
-                        best, feature[at], cut[at] = gain.max(), j, int(gain.argmax())
-                node[rows] = 2 * at + 1 + (b[rows, feature[at]] > cut[at])
+        for level in range(self.depth):
+            first, wide = (1 << level) - 1, 1 << level
+            best, at = np.full(wide, 1e-9), (node - first) * bins
+            total_g, total_h = (np.bincount(node - first, weights=w, minlength=wide)[:, None] for w in (g, h))
+            whole = total_g**2 / (total_h + self.l2)
+            for j in range(b.shape[1]):
+                if not len(self.cuts[j]):
+                    continue
+                gl, hl = (np.bincount(at + b[:, j], weights=w, minlength=wide * bins).reshape(wide, bins).cumsum(1) for w in (g, h))
+                gain = gl**2 / (hl + self.l2) + (total_g - gl) ** 2 / (total_h - hl + self.l2) - whole
+                top = gain.argmax(1)
+                gain = gain[np.arange(wide), top]
+                better = np.flatnonzero(gain > best)
+                best[better], feature[first + better], cut[first + better] = gain[better], j, top[better]
+            node = 2 * node + 1 + (b[np.arange(len(b)), feature[node]] > cut[node])
         leaf = node - inner
         n = 1 << self.depth
         value = -self.rate * np.bincount(leaf, weights=g, minlength=n) / (np.bincount(leaf, weights=h, minlength=n) + self.l2)
