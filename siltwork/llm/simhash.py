@@ -131,7 +131,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tree(fps: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that join up all fingerprints of one bucket that are joined by links within it.
+    """Links that join up all fingerprints of one bucket that are joined by links within it, each to the nearest that was reached.
 
     What is reached is taken out of the rest, so near copies of one another cost their number, not its square.
     """
@@ -143,11 +143,11 @@ def _tree(fps: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]
             while lo < len(front) and len(rest):
                 some = front[lo : lo + max(1, _BLOCK // len(rest))]
                 lo += len(some)
-                near = np.bitwise_count(some[:, None] ^ rest) <= bits
-                hit = near.any(0)
+                apart = np.bitwise_count(some[:, None] ^ rest)
+                hit = apart.min(0) <= bits
                 if hit.any():
                     reached.append(rest[hit])
-                    yield some[near.argmax(0)[hit]], reached[-1]
+                    yield some[apart.argmin(0)[hit]], reached[-1]
                     rest = rest[~hit]
             front = np.concatenate(reached) if reached else front[:0]
 
@@ -208,7 +208,11 @@ def fingerprint_links(fps: DataFrame, bits: int = MAX_BITS) -> DataFrame:
         raise ValueError(f"the keys find links of {MAX_BITS} bits at most")
     # A fingerprint becomes some 85 rows, so the few megabytes of a usual partition are dealt out further first.
     parts = max(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-fps.count() // KEYED_ROWS))
-    keys = fps.select("fp").distinct().repartition(parts, "fp").mapInArrow(_keyed, "key long, fp long")
+    return links_in_buckets(fps.select("fp").distinct().repartition(parts, "fp").mapInArrow(_keyed, "key long, fp long"), bits)
+
+
+def links_in_buckets(keys: DataFrame, bits: int) -> DataFrame:
+    """(a, b): of keys (key, fp), links within ``bits`` that join up what such links join in each bucket; a link may come from several."""
     return keys.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(bits), "a long, b long")
 
 
@@ -225,14 +229,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id."""
     rows = stored(fingerprints(docs))
     return with_components(rows).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The document of each component that has the smallest doc_id; of repeated rows of it, one. A null id is the smallest."""
-    smallest = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    rows = stored(fingerprints(docs.select(smallest.alias("doc_id"), "text")))
-    stay = with_components(rows).where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("_dedup_copies")).withColumnRenamed("doc_id", "_dedup_id")
-    # The ids that stay grow with the corpus: they are hashed in the partitions of a shuffle, never broadcast.
-    found = docs.join(stored(stay).hint("shuffle_hash"), smallest == F.col("_dedup_id"))
-    once = found.where(F.col("_dedup_copies") == 1).select(*docs.columns)
-    return once.union(found.where(F.col("_dedup_copies") > 1).dropDuplicates(["_dedup_id"]).select(*docs.columns))
