@@ -10,8 +10,13 @@ codes) is decoded through a table that maps the next bits to all symbols that th
 takes the general loop. Both read each symbol by its code.
 
 The encoder stores bytes as grey pixels: subtract-green leaves one prefix code a pixel, a line that has occurred
-before becomes a back-reference, and a tile of at most 16 different values becomes a bundled palette image. For
-the tests it also writes predictor, cross-colour and colour-cache streams.
+before becomes a back-reference, a predictor (left or above) goes before that where differences take fewer bits, and
+at most 16 different values become a bundled palette image. For the tests it also writes all predictors, cross-colour
+and colour-cache streams.
+
+A null or empty text is one row of padding. Repeated rows give equal media; a null doc_id stays. An empty table gives
+no rows. The digest reads doc_id and text only; ``with_media`` and ``with_pixels`` keep all columns and refuse a table
+that has the column they add.
 
 A payload longer than one image's rows is stored as several images, one container after another.
 """
@@ -29,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltwork.llm.common import unused
 from siltwork.llm.langid import byte_columns
 
 #: Bytes of one row of samples; payloads are padded to a multiple of it.
@@ -39,6 +45,12 @@ PAD = 255
 #: Fixed values of the format: the order of code-length codes, and the near distances (x, y) of distance codes 1 to 120.
 LENGTH_ORDER = (17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15)
 PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
+#: Longest code of a literal that the encoder writes: short ones keep the decoder's table small.
+GREEN_BITS = 11
+#: Bytes of a stream whose windows are looked up together.
+_BLOCK = 1 << 14
+#: Bits of a predictor tile's side.
+TILE = 9
 #: Shortest line that a back-reference replaces.
 _MATCH = 24
 
@@ -121,12 +133,12 @@ class Prefix:
         if self.single < 0:
             if (1 << self.width) != int((1 << (self.width - lengths[used])).sum()):
                 raise ValueError("the prefix code isn't complete")
-            codes, size = canonical(lengths), 1 << self.width
-            symbol, length = np.zeros(size, np.int64), np.zeros(size, np.int64)
-            for s in used.tolist():
-                n = int(lengths[s])
-                symbol[codes[s] :: 1 << n] = s
-                length[codes[s] :: 1 << n] = n
+            # In the order of lengths, codes read from their first bit fill the table from its start; each place's bits are then turned around.
+            order = used[np.argsort(lengths[used], kind="stable")]
+            n = lengths[order]
+            place = _REVERSED[: 1 << self.width] >> (15 - self.width)
+            symbol, length = (np.repeat(x, 1 << (self.width - n))[place] for x in (order, n))
+            size = 1 << self.width
             self.array = symbol, length
             self.symbol, self.length, self.mask = symbol.tolist(), length.tolist(), size - 1
 
@@ -207,65 +219,73 @@ def _distance(code: int, width: int) -> int:
     return max(1, x + y * width)
 
 
-def _symbols_of(prefix: Prefix, peek: int) -> tuple[list[bytes], list[int]]:
-    """For each window of ``peek`` bits: the literals that it completes, up to the first symbol that is none, and their bits."""
+def _symbols_of(prefix: Prefix, peek: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each window of ``peek`` bits: the literals that it completes, up to the first symbol that is none, their number and their bits."""
     symbol, length = prefix.array
     window = np.arange(1 << peek)
-    used, open_ = np.zeros(len(window), np.int64), np.ones(len(window), bool)
+    used, count, open_ = np.zeros(len(window), np.int64), np.zeros(len(window), np.int64), np.ones(len(window), bool)
     steps = []
     while open_.any():
         at = (window >> used) & prefix.mask
         n, s = length[at], symbol[at]
         open_ = open_ & (used + n <= peek) & (s < 256)
-        steps.append(np.where(open_, s, -1))
-        used = np.where(open_, used + n, used)
-    table = np.stack(steps, 1)
-    flat, k = table.astype(np.uint8).tobytes(), table.shape[1]
-    return [flat[i * k : i * k + n] for i, n in enumerate((table >= 0).sum(1).tolist())], used.tolist()
+        steps.append(s.astype(np.uint8))
+        used += n * open_
+        count += open_
+    return np.stack(steps, 1), count, used.astype(np.uint8)
 
 
 def _decode_single(bits: Bits, green: Prefix, distance: Prefix, width: int, total: int) -> np.ndarray:
-    """Green samples of a stream of which only green takes bits."""
-    out = bytearray()
-    data = np.frombuffer(bits.data, np.uint8).astype(np.uint32)
-    words = data[:-3] | data[1:-2] << np.uint32(8) | data[2:-1] << np.uint32(16) | data[3:] << np.uint32(24)
-    words = words.tolist() if len(words) < 1 << 18 else memoryview(words)
-    peek = 12 if total >= 20_000 else 10 if total >= 4_000 else 8
-    chunks, used = _symbols_of(green, peek)
-    at, mask, symbol, length, wide = bits.at, green.mask, green.symbol, green.length, (1 << peek) - 1
-    have = 0
-    while have < total:
-        # A window completes at most ``peek`` symbols, so that many look-ups can't go too far.
-        for _ in range((total - have) // peek):
-            k = words[at >> 3] >> (at & 7) & wide
-            step = used[k]
-            if not step:
-                break
-            out += chunks[k]
-            at += step
-        have = len(out)
-        if have == total:
+    """Green samples of the stream's last image, of which only green takes bits.
+
+    The windows at all bits of a block are looked up at once; those that follow one another are walked to the stream's
+    end, with back-references noted, then the literals of all of them are taken out together and the copies made.
+    """
+    data = np.frombuffer(bits.data, np.uint8)
+    peek = 11 if total >= 20_000 else 10 if total >= 2_000 else 8
+    table, count, used = _symbols_of(green, peek)
+    at, last = bits.at, 8 * (len(data) - 16)
+    passed, found, copies = 0, [], []  # windows, and (windows before it, length, distance; or a literal of a long code and 0)
+    while at < last:
+        base = at & ~7
+        part = data[base >> 3 : min((base >> 3) + _BLOCK, last >> 3) + 2].astype(np.uint32)
+        part = part[:-2] | part[1:-1] << np.uint32(8) | part[2:] << np.uint32(16)
+        windows = ((part[:, None] >> np.arange(8, dtype=np.uint32)) & np.uint32((1 << peek) - 1)).ravel()
+        steps, limit, walked = used[windows].tobytes(), len(windows), []
+        walk = walked.append
+        at -= base
+        while at < limit:
+            if step := steps[at]:
+                walk(at)
+                at += step
+                continue
+            bits.at = base + at
+            s = green.read(bits)
+            copies.append((passed + len(walked), s, 0) if s < 256 else (passed + len(walked), _extra(s - 256, bits), _distance(_extra(distance.read(bits), bits), width)))
+            at = bits.at - base
+        found.append(windows[walked])
+        passed += len(walked)
+        at += base
+    windows = np.concatenate(found) if found else np.zeros(0, np.int64)
+    n = count[windows]
+    ends = memoryview(np.concatenate([[0], n.cumsum()]))
+    literals = table[windows][np.arange(table.shape[1]) < n[:, None]].tobytes()
+    out, done = bytearray(), 0
+    for upto, n, d in copies:
+        out += literals[ends[done] : ends[upto]]
+        done, have = upto, len(out)
+        if have >= total:
             break
-        k = words[at >> 3] >> (at & 7) & mask
-        s = symbol[k]
-        at += length[k]
-        if s < 256:
-            out.append(s)
-            have += 1
+        if not d:
+            out.append(n)
             continue
-        bits.at = at
-        n = _extra(s - 256, bits)
-        d = _distance(_extra(distance.read(bits), bits), width)
-        at = bits.at
         if d > have or have + n > total:
             raise ValueError("a back-reference leaves the image")
-        if d >= n:
-            out += out[have - d : have - d + n]
-        else:
-            out += (bytes(out[have - d :]) * (n // d + 1))[:n]
-        have += n
-    bits.at = at
-    return np.frombuffer(bytes(out), np.uint8)
+        out += out[have - d : have - d + n] if d >= n else (bytes(out[have - d :]) * (n // d + 1))[:n]
+    out += literals[ends[done] :]
+    if len(out) < total:
+        raise ValueError("the stream is cut off")
+    return np.frombuffer(bytes(out[:total]), np.uint8)
 
 
 def _decode_pixels(bits: Bits, width: int, height: int, top: bool) -> np.ndarray:
@@ -282,7 +302,7 @@ def _decode_pixels(bits: Bits, width: int, height: int, top: bool) -> np.ndarray
         groups = max(meta) + 1
     codes = [[_read_prefix(bits, n) for n in (256 + 24 + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)] for _ in range(groups)]
     total = width * height
-    if meta is None and not cache_bits and codes[0][0].single < 0 and all(c.single >= 0 for c in codes[0][1:4]):
+    if top and meta is None and not cache_bits and codes[0][0].single < 0 and all(c.single >= 0 for c in codes[0][1:4]):
         green, red, blue, alpha, distance = codes[0]
         base = np.uint32(alpha.single << 24 | red.single << 16 | blue.single)
         return base | _decode_single(bits, green, distance, width, total).astype(np.uint32) << np.uint32(8)
@@ -331,7 +351,7 @@ def _argb(samples: np.ndarray) -> np.ndarray:
 def predict(mode: int, left: np.ndarray, top: np.ndarray, top_right: np.ndarray, top_left: np.ndarray) -> np.ndarray:
     """The prediction of pixels (samples as int16, alpha first) from their neighbours."""
     half = lambda a, b: (a + b) >> 1
-    if mode == 0:
+    if mode in (0, 14, 15):  # the last two are in no use, and decoders take them for the first
         out = np.zeros_like(left)
         out[..., 0] = 255
         return out
@@ -372,7 +392,7 @@ def _unpredict(argb: np.ndarray, modes: np.ndarray, shift: int) -> np.ndarray:
         while x < w:
             end = min(((x >> shift) + 1) << shift, w)
             mode = int(modes[y >> shift, x >> shift])
-            if mode in free or mode == 0:
+            if mode in free or mode in (0, 14, 15):
                 top, top_left = p[y - 1, x:end], p[y - 1, x - 1 : end - 1]
                 right = np.concatenate([p[y - 1, x + 1 : end + 1], p[y, :1]])[: end - x]
                 p[y, x:end] = (p[y, x:end] + predict(mode, top, top, right, top_left)) & 255
@@ -514,14 +534,18 @@ class Writer:
         return (out & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes()[: int(ends[-1] + 7 >> 3)]
 
 
+def _write_lone(w: Writer, symbol: int) -> None:
+    """The code of one symbol."""
+    w.put(1, 1)
+    w.put(0, 1)
+    w.put(int(symbol > 1), 1)
+    w.put(symbol, 8 if symbol > 1 else 1)
+
+
 def _write_prefix(w: Writer, lengths: np.ndarray) -> None:
     used = np.flatnonzero(lengths)
     if len(used) <= 1 and (not len(used) or used[0] < 256):
-        s = int(used[0]) if len(used) else 0
-        w.put(1, 1)
-        w.put(0, 1)
-        w.put(int(s > 1), 1)
-        w.put(s, 8 if s > 1 else 1)
+        _write_lone(w, int(used[0]) if len(used) else 0)
         return
     w.put(0, 1)
     top = int(used[-1]) + 1
@@ -597,10 +621,15 @@ def _write_single(w: Writer, green: bytes, red: int, blue: int, alpha: int, copi
         counts[256 + s] += 1
     if np.count_nonzero(counts) == 1 and copies:
         counts[0] += 1
-    g = code_lengths(counts)
-    d = code_lengths(np.bincount([s for s, _, _ in distances], minlength=40))
-    for code in (g, *(np.eye(1, 256, s, dtype=np.int64)[0] for s in (red, blue, alpha)), d):
-        _write_prefix(w, code)
+    g = code_lengths(counts, GREEN_BITS)
+    d = code_lengths(np.bincount([s for s, _, _ in distances], minlength=40)) if copies else None
+    _write_prefix(w, g)
+    for s in (red, blue, alpha):
+        _write_lone(w, s)
+    if copies:
+        _write_prefix(w, d)
+    else:
+        _write_lone(w, 0)
     if np.count_nonzero(g) == 1:
         return
     codes = canonical(g)
@@ -667,15 +696,46 @@ def encode_grey(data: bytes, width: int = ROW) -> bytes:
         w.put(0, 1)
         _write_single(w, green, 0, 0, 255, [])
         return _contained(w)
+    mode, green, copies = _chosen(data, width)
+    if mode:
+        w.put(1, 1)
+        w.put(PREDICTOR, 2)
+        w.put(TILE - 2, 3)
+        w.put(0, 1)
+        for symbol in (mode, 0, 0, 255, 0):
+            _write_lone(w, symbol)
     w.put(1, 1)
     w.put(SUBTRACT_GREEN, 2)
     w.put(0, 1)
     w.put(0, 1)
     w.put(0, 1)
-    _write_single(w, data, 0, 0, 255, _line_copies(data))
+    _write_single(w, green, 0, 0, 0 if mode else 255, copies)
     return _contained(w)
 
 
+def _chosen(data: bytes, width: int) -> tuple[int, bytes, list[tuple[int, int, int]]]:
+    """(predictor mode or 0, green samples, back-references): of plain samples with copied lines, and of the differences
+    from the pixel to the left or above, what takes the fewest bits by the entropies."""
+    plain, copies = np.frombuffer(data, np.uint8), _line_copies(data)
+    n = np.stack([np.bincount(x, minlength=256) for x in (plain, plain[1:] - plain[:-1], plain[width:] - plain[:-width])]).astype(np.float64)
+    total = np.maximum(n.sum(1), 1)
+    bits = total * np.log2(total) - (n * np.log2(np.maximum(n, 1))).sum(1)
+    bits[1:] += 100
+    # What the third way says of the first row is that of the second.
+    bits[2] += bits[1] * width / len(data)
+    if copies:
+        bits[0] = bits[0] * (1 - sum(n for _, n, _ in copies) / len(data)) + 30 * len(copies)
+    mode = int(bits.argmin())
+    if not mode:
+        return 0, data, copies
+    # The first row is predicted from the left, the first column from above, whatever the mode.
+    rows = plain.reshape(-1, width)
+    off = np.empty_like(rows)
+    off[0, 0], off[0, 1:], off[1:, 0] = rows[0, 0], rows[0, 1:] - rows[0, :-1], rows[1:, 0] - rows[:-1, 0]
+    off[1:, 1:] = rows[1:, 1:] - (rows[1:, :-1] if mode == 1 else rows[:-1, 1:])
+    return mode, off.tobytes(), []
+
+
 def _write_image(w: Writer, argb: np.ndarray, cache_bits: int, top: bool) -> None:
     """An entropy-coded image of literals and, with a cache, of cache codes."""
     w.put(int(cache_bits > 0), 1)
@@ -774,6 +834,8 @@ def feature_of(pixels: np.ndarray) -> str:
 def with_media(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """docs with the column media: the text's bytes, padded, as lossless images. A null text is empty."""
     names = docs.columns
+    if unused(names, "media") != "media":
+        raise ValueError("the table has a column media")
     schema = docs.select("*", F.lit(b"").alias("media")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -795,6 +857,8 @@ def _texts(column: pa.Array) -> Iterator[bytes]:
 def with_pixels(media: DataFrame, *, column: str = "media") -> DataFrame:
     """media with the column pixels: each image's decoded samples, red, green, blue and alpha by turns, rows first."""
     names = media.columns
+    if unused(names, "pixels") != "pixels":
+        raise ValueError("the table has a column pixels")
     schema = media.select("*", F.lit(b"").alias("pixels")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

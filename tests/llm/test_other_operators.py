@@ -21,8 +21,8 @@ def test_round_trips_through_every_transform(size):
     smooth = (np.add.outer(np.arange(h) * 3, np.arange(w) * 5)[..., None] + rng.integers(0, 4, (h, w, 4))).astype(np.uint8)
     blocks = ((h + 3) // 4, (w + 3) // 4)
     for pixels in (noise, smooth):
-        variants = [{}, {"cache_bits": 5}, {"subtract_green": True}, *({"modes": np.full(blocks, m)} for m in range(14))]
-        variants.append({"modes": rng.integers(0, 14, blocks), "cross": rng.integers(0, 2**24, blocks).astype(np.uint32) | np.uint32(0xFF000000), "subtract_green": True, "cache_bits": 3})
+        variants = [{}, {"cache_bits": 5}, {"subtract_green": True}, *({"modes": np.full(blocks, m)} for m in range(16))]
+        variants.append({"modes": rng.integers(0, 16, blocks), "cross": rng.integers(0, 2**24, blocks).astype(np.uint32) | np.uint32(0xFF000000), "subtract_green": True, "cache_bits": 3})
         for options in variants:
             assert (webp.decode(webp.encode_pixels(pixels, **options)) == pixels).all()
 
@@ -34,6 +34,35 @@ def test_payloads_come_back(payload):
     assert webp.samples(webp.store(padded)).tobytes() == padded
 
 
+def transforms(media):
+    """The kinds of the transforms of a stored image, from its bits."""
+    bits, kinds = webp.Bits(media[20:], 5), []
+    while bits.take(1):
+        kinds.append(bits.take(2))
+        if kinds[-1] == webp.PREDICTOR:
+            width = webp.ROW
+            shift = bits.take(3) + 2
+            webp._decode_pixels(bits, (width + (1 << shift) - 1) >> shift, 1, False)
+        elif kinds[-1] == webp.PALETTE:
+            break
+    return kinds
+
+
+def test_the_encoder_takes_the_transform_that_needs_the_fewest_bits():
+    rng = np.random.default_rng(3)
+    ramp = np.arange(20 * webp.ROW).astype(np.uint8).tobytes()
+    row = rng.integers(0, 256, webp.ROW).astype(np.uint8)
+    above = np.stack([row + np.uint8(3 * k) for k in range(20)]).tobytes()
+    text = b"words of some text with more than sixteen letters, " * 60
+    kinds = {}
+    for name, payload in {"ramp": ramp, "above": above, "text": webp.padded(text), "few": b"abab" * webp.ROW}.items():
+        media = webp.store(payload)
+        assert webp.samples(media).tobytes() == payload
+        kinds[name] = transforms(media)
+    assert kinds == {"ramp": [webp.PREDICTOR, webp.SUBTRACT_GREEN], "above": [webp.PREDICTOR, webp.SUBTRACT_GREEN], "text": [webp.SUBTRACT_GREEN], "few": [webp.PALETTE]}
+    assert len(webp.store(ramp)) < 1600  # a bit a pixel, where plain samples take eight
+
+
 def test_long_payloads_take_several_images():
     payload = np.random.default_rng(1).integers(0, 64, 2 * webp.ROW * webp.MAX_ROWS + webp.ROW, dtype=np.uint8).tobytes()
     media = webp.store(payload)
