@@ -15,6 +15,8 @@ def iso_codes(kind: str, code_format: str = "") -> tuple[str, ...]:
         every = list(util.Currency.getAvailableCurrencies().toArray())
         return tuple(sorted({f"{c.getNumericCode():03d}" if code_format == "numeric" else c.getCurrencyCode() for c in every}))
     if kind == "country":
+        if code_format == "numeric":
+            raise ValueError("there is no list of numeric country codes here: pass one as codes")
         two = list(util.Locale.getISOCountries())
         return tuple(sorted(two if code_format in ("", "alpha2", "alpha-2") else {util.Locale.of("", c).getISO3Country() for c in two}))
     two = list(util.Locale.getISOLanguages())

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 NULL_MARK = "\x1fNULL"
 
 
+def log_id(*columns: str) -> Column:
+    """The id of a log's row, from the columns that tell it apart."""
+    return F.xxhash64(F.concat_ws("|", *(F.col(c).cast("string") for c in columns)))
+
+
 def row_hash(columns: Iterable[str], exclude: Iterable[str] = (), sep: str = "|") -> Column:
     """MD5 of the columns as text, in the order of their names, NULL as NULL_MARK."""
     out = set(exclude)

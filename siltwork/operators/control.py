@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,21 @@ def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
     return spark.createDataFrame([(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema], SCHEMAS)
 
 
+def schema_snapshot(df: DataFrame) -> str:
+    """A frame's columns and types as JSON text, which a flag holds until the next run."""
+    return json.dumps({f.name: f.dataType.simpleString() for f in df.schema})
+
+
+def snapshot_rows(spark: SparkSession, table: str, snapshot: str) -> DataFrame:
+    """The rows of a held snapshot."""
+    return spark.createDataFrame([(table, c, t) for c, t in json.loads(snapshot).items()], SCHEMAS)
+
+
+def flag(spark: SparkSession, job: str, key: str, value: str, ts: str) -> DataFrame:
+    """One row of the flags."""
+    return spark.createDataFrame([(job, key, value)], "job_name string, key string, value string").withColumn("insertion_timestamp", F.lit(ts).cast("timestamp"))
+
+
 def schema_drift(before: DataFrame, live: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     """(table_name, column_name, change_type, old_type, new_type) between two tables of schemas, for all tables at once."""
     a = before.where(~F.col("column_name").isin(list(ignore))).withColumnRenamed("column_type", "old_type") if ignore else before.withColumnRenamed("column_type", "old_type")
@@ -66,6 +82,6 @@ def schema_drift(before: DataFrame, live: DataFrame, ignore: Sequence[str] = ())
 
 
 def schema_contract(config: DataFrame, live: DataFrame, *, ignore: Sequence[str] = (), halt_on: Sequence[str] = ("COLUMN_DROPPED", "TYPE_CHANGED")) -> tuple[DataFrame, list[str]]:
-    """Drift of live schemas from the declared ones, and why to halt (logged first by the caller)."""
+    """Drift of live schemas from the declared ones, and why to halt, a line for each column (logged first by the caller)."""
     drift = schema_drift(config, live, ignore)
-    return drift, [f"{r.table_name}.{r.column_name}: {r.change_type}" for r in drift.where(F.col("change_type").isin(list(halt_on))).orderBy("table_name", "column_name").limit(100).collect()]
+    return drift, [f"{r.table_name}.{r.column_name}: {r.change_type}" for r in drift.where(F.col("change_type").isin(list(halt_on))).orderBy("table_name", "column_name").toLocalIterator()]

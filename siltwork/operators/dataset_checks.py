@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltwork.functions.checks import differs
+from siltwork.sources.scratch import written
 
 DATASET_CHECKS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -59,9 +60,8 @@ def foreign_key(df: DataFrame, into: str, columns: Sequence[str], ref: DataFrame
 
 def _aggregated(df: DataFrame, into: str, column: str, aggr_type: str, group_by: Sequence[str] | None, fails: Callable[[Column], Column]) -> DataFrame:
     value = aggregate(aggr_type, column)
-    if not group_by:  # one row: a plain value for the plan, no join
-        bad = bool(df.agg(F.coalesce(fails(value), F.lit(False))).first()[0])
-        return df.withColumn(into, F.lit(bad))
+    if not group_by:  # one row: a value that the plan reads once, no join
+        return df.withColumn(into, df.agg(F.coalesce(fails(value), F.lit(False))).scalar())
     groups = df.groupBy(*group_by).agg(value.alias("_value"))
     return _marked(df, groups.where(fails(F.col("_value"))), list(group_by), into)
 
@@ -86,12 +86,55 @@ def is_aggr_not_equal(df: DataFrame, into: str, column: str, limit: float, aggr_
     return _aggregated(df, into, column, aggr_type, group_by, lambda v: ~differs(v, F.lit(limit), abs_tolerance, rel_tolerance))
 
 
+#: Values between the bounds of a median that are sorted at once.
+FEW_VALUES = 10_000
+
+
+def exact_median(values: DataFrame, column: str) -> float | None:
+    """The median of a column, nulls and NaN left out; exact, without one task that sees all values.
+
+    Each round sketches the quantiles of what lies between two bounds, counts what lies below them, and takes narrower
+    bounds, until few values are left between them: two rounds for millions of rows, three for trillions.
+    """
+    x = F.col(column).cast("double")
+    rows = values.select(x.alias("x")).where(x.isNotNull() & ~F.isnan(x))
+    n = rows.count()
+    if not n:
+        return None
+    ranks, low, high, below = ((n - 1) // 2, n // 2), None, None, 0
+    inside, left = rows, n
+    while left > FEW_VALUES:
+        at = [(ranks[0] - below) / left - 0.001, (ranks[1] - below) / left + 0.001]
+        a, b = inside.agg(F.percentile_approx("x", [max(at[0], 0.0), min(at[1], 1.0)], 10_000)).first()[0]
+        under, between = rows.agg(F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, b))).first()
+        if a == b or not under <= ranks[0] <= ranks[1] < under + between or between >= left:
+            if a == b and under <= ranks[0] <= ranks[1] < under + between:
+                return float(a)  # one value that occurs often
+            a, b = (low, high) if low is not None else rows.agg(F.min("x"), F.max("x")).first()
+            middle = a + (b - a) / 2  # the sketch did not narrow: halve
+            under, between = rows.agg(F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, middle))).first()
+            if ranks[1] < under + between:
+                b = middle
+            elif ranks[0] >= under + between:
+                under += between
+                a = rows.where(F.col("x") > middle).agg(F.min("x")).first()[0]
+                between = rows.agg(F.count_if(F.col("x").between(a, b))).first()[0]
+            else:  # the two middle values are on either side
+                return (rows.where(F.col("x") <= middle).agg(F.max("x")).first()[0] + rows.where(F.col("x") > middle).agg(F.min("x")).first()[0]) / 2
+            if a == b:
+                return float(a)
+        low, high, below, left = a, b, under, between
+        inside = rows.where(F.col("x").between(low, high))
+    found = sorted(r[0] for r in inside.collect())
+    return (found[ranks[0] - below] + found[ranks[1] - below]) / 2
+
+
 @check
-def has_no_outliers(df: DataFrame, into: str, column: str, threshold: float = 3.5, accuracy: int | None = None) -> DataFrame:
-    """Modified z-score ``0.6745 * |x - median| / MAD`` over the threshold. accuracy: percentile_approx at scale instead of the exact median."""
-    middle = (lambda c: F.median(c)) if accuracy is None else (lambda c: F.percentile_approx(c, 0.5, accuracy).cast("double"))
-    m = df.agg(middle(F.col(column))).first()[0]
-    mad = None if m is None else df.agg(middle(F.abs(F.col(column) - m))).first()[0]
+def has_no_outliers(df: DataFrame, into: str, column: str, threshold: float = 3.5) -> DataFrame:
+    """Modified z-score ``0.6745 * |x - median| / MAD`` over the threshold, by exact medians."""
+    values = written(df.select(F.col(column).cast("double").alias("x")), "outliers")
+    m = exact_median(values, "x")
+    mad = None if m is None else exact_median(values.select(F.abs(F.col("x") - m).alias("x")), "x")
     if not mad:
         return df.withColumn(into, F.lit(False))
     return df.withColumn(into, F.coalesce(0.6745 * F.abs(F.col(column) - m) / mad > threshold, F.lit(False)))
@@ -168,7 +211,7 @@ def sql_query(df: DataFrame, into: str, query: str, condition_column: str, merge
     found = df.sparkSession.sql(query.replace("{{ input_view }}", "{input_view}"), input_view=df)
     bad = found.where(~F.col(condition_column) if negate else F.col(condition_column))
     if not merge_columns:
-        return df.withColumn(into, F.lit(not bad.isEmpty()))
+        return df.withColumn(into, bad.agg(F.count("*") > 0).scalar())
     return _marked(df, bad.select(*merge_columns).distinct(), list(merge_columns), into)
 
 

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from siltwork.functions.checks import CHECKS, fails
 from siltwork.operators.dataset_checks import DATASET_CHECKS
+from siltwork.sources.scratch import written
 
 ERRORS = "_errors"
+#: Checks that look at the whole table before they mark a row.
+READ_AGAIN = ("has_no_outliers", "has_no_aggr_outliers", "sql_query")
 
 
 @dataclass(frozen=True)
@@ -81,9 +84,12 @@ def _known(df: DataFrame, rule: Rule) -> bool:
 def quality_gate(df: DataFrame, rules: Sequence[Rule], *, refs: Mapping[str, DataFrame] | None = None, run_id: str | None = None, run_ts: str | None = None) -> GateResult:
     """df through all rules. Row checks are one projection without a shuffle; a dataset check adds its own join.
 
-    refs: tables by the names that rules use as ref_table. Without rules all rows pass.
+    refs: tables by the names that rules use as ref_table. Without rules all rows pass. Rules that ask for figures of the
+    whole table read it several times, so with one of them the rows are written to the shared folder first.
     """
     columns, skipped, failed = list(df.columns), [], []
+    if any(r.function in READ_AGAIN and _known(df, r) for r in rules):
+        df = written(df, "gate")
     for n, r in enumerate(rules):
         if not _known(df, r):
             skipped.append(r.name)
@@ -124,6 +130,23 @@ def gate_counts(flagged: DataFrame, *by: str) -> DataFrame:
     return flagged.groupBy(*by).agg(F.count("*").alias("rows_checked"), F.count_if(~bad).alias("rows_passed"), F.count_if(bad).alias("rows_quarantined"))
 
 
+def gate_log(result: GateResult, rules: Sequence[Rule], *, layer: str, entity: str, label: str, ts: str, target: str | None = None, quarantine: str | None = None, run_id: str | None = None) -> DataFrame:
+    """One row about a gate's run, also when all rows passed: counts, failed rules with their rows, status. One pass over the rows."""
+    names = list(dict.fromkeys(r.name for r in rules))
+    bad = F.size(ERRORS) > 0
+    failed_names = F.transform(ERRORS, lambda e: e["name"])
+    per = [F.count_if(F.array_contains(failed_names, n)).alias(f"_rule_{i}") for i, n in enumerate(names)]
+    one = result.flagged.agg(F.count("*").alias("rows_checked"), F.count_if(~bad).alias("rows_passed"), F.count_if(bad).alias("rows_quarantined"), *per)
+    counts = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.col(f"_rule_{i}"))]) if names else F.create_map().cast("map<string,bigint>")
+    failed = F.map_filter(counts, lambda _, n: n > 0)
+    some = F.col("rows_quarantined") > 0
+    return one.select(
+        F.lit(ts).cast("timestamp").alias("event_timestamp"), F.lit(layer).alias("layer"), F.lit(entity).alias("entity"), F.lit(target).cast("string").alias("target_table"), F.lit(label).alias("label"),
+        F.when(some, "quarantined").otherwise("passed").alias("status"), "rows_checked", "rows_passed", "rows_quarantined", F.when(some, failed).alias("failed_rules"),
+        F.when(some, F.lit(quarantine).cast("string")).alias("quarantine_table"), F.lit(run_id).cast("string").alias("run_id"),
+    )
+
+
 def quarantine_dedup(quarantine: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Of the same bad record arriving again, the last."""
     last = F.max_by(F.struct(*[c for c in quarantine.columns if c not in keys]), "_dq_run_ts").alias("_r")

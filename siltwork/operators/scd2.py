@@ -12,6 +12,8 @@ from siltwork.operators.changes import CHANGE_TYPE, DELETE, latest_per_key
 
 FROM, TO, CURRENT, HASH, INGESTED = "_bronze_valid_from", "_bronze_valid_to", "_bronze_is_current", "_bronze_hash", "_bronze_ingested_at"
 NEW, CHANGED, DELETED, UNCHANGED = "NEW", "CHANGED", "DELETED", "UNCHANGED"
+#: What a run made of a row.
+KIND, KEPT, OPENED, CLOSED = "_kind", "kept", "opened", "closed"
 
 
 def moment(ts: str | Column) -> Column:
@@ -35,11 +37,11 @@ def current_rows(history: DataFrame) -> DataFrame:
 
 
 def classify(changes: DataFrame, history: DataFrame, keys: Sequence[str], business: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:
-    """The last change of each key with ``_action`` and its hash, against the current versions."""
+    """The last change of each key with ``_action`` and its hash, against the current versions. NULL keys match NULL keys."""
     latest = latest_per_key(changes, keys).withColumn(HASH, row_hash(business, exclude))
     now = current_rows(history).select(*[F.col(k).alias(f"_now_{k}") for k in keys], F.col(HASH).alias("_now_hash"))
     action = F.when(F.col(CHANGE_TYPE) == DELETE, DELETED).when(F.col("_now_hash").isNull(), NEW).when(F.col("_now_hash") != F.col(HASH), CHANGED).otherwise(UNCHANGED)
-    joined = latest.join(now, [latest[k] == now[f"_now_{k}"] for k in keys], "left")
+    joined = latest.join(now, [latest[k].eqNullSafe(now[f"_now_{k}"]) for k in keys], "left")
     return joined.withColumn("_action", action).drop("_now_hash", *[f"_now_{k}" for k in keys])
 
 
@@ -56,10 +58,26 @@ def close(history: DataFrame, close_keys: DataFrame, keys: Sequence[str], ts: st
 
 def apply(history: DataFrame, changes: DataFrame, keys: Sequence[str], business: Sequence[str], ts: str | Column, exclude: Sequence[str] = ()) -> DataFrame:
     """One run: closes what changed or went, opens what changed or is new, at one time. Applying it again changes nothing."""
-    actions = classify(changes, history, keys, business, exclude)
-    shut = close(history, actions.where(F.col("_action").isin(CHANGED, DELETED)), keys, ts)
-    opened = actions.where(F.col("_action").isin(CHANGED, NEW))
-    return shut.unionByName(bootstrap(opened, business, ts, exclude))
+    return run(current_rows(history), changes, keys, business, ts, exclude).drop(KIND).unionByName(history.where(~F.col(CURRENT)))
+
+
+def run(current: DataFrame, changes: DataFrame, keys: Sequence[str], business: Sequence[str], ts: str | Column, exclude: Sequence[str] = ()) -> DataFrame:
+    """The current rows after one run and the rows that it closed, with ``_kind``: kept, opened or closed.
+
+    One full outer join of the current rows with the last change of each key; a pair gives the closed and the opened row.
+    """
+    types = {f.name: f.dataType for f in current.schema}
+    opened = bootstrap(latest_per_key(changes, keys).withColumn("_type", F.col(CHANGE_TYPE)), [*business, "_type"], ts, [*exclude, "_type"])
+    row = lambda kind: F.struct(*[F.col(c).cast(types[c]).alias(c) for c in current.columns], F.lit(kind).alias(KIND))
+    now = current.select(row(KEPT).alias("_now"), *[F.col(k).alias(f"_now_{k}") for k in keys])
+    new = opened.select(row(OPENED).alias("_new"), "_type", *[F.col(k).alias(f"_new_{k}") for k in keys])
+    both = now.join(new, [now[f"_now_{k}"].eqNullSafe(new[f"_new_{k}"]) for k in keys], "full_outer")
+    gone = F.col("_type") == DELETE
+    differs = F.col("_now").isNotNull() & (gone | (F.col(f"_now.{HASH}") != F.col(f"_new.{HASH}")))
+    shut = F.col("_now").withField(TO, moment(ts).cast(types[TO])).withField(CURRENT, F.lit(False)).withField(KIND, F.lit(CLOSED))
+    before = F.when(F.coalesce(differs, F.lit(False)), shut).otherwise(F.col("_now"))
+    after = F.when(~gone & (F.col("_now").isNull() | differs), F.col("_new"))
+    return both.select(F.explode(F.array_compact(F.array(before, after))).alias("_r")).select("_r.*")
 
 
 def history_view(history: DataFrame, keys: Sequence[str]) -> DataFrame:

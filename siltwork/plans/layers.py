@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltwork.operators import changes, conform, merge, scd2
-from siltwork.operators.gate import GateResult, Rule, quality_gate, scoped
-from siltwork.sources import tables
+from siltwork.operators import audit, changes, conform, control, derived, merge, scd2
+from siltwork.operators.gate import GateResult, Rule, gate_log, quality_gate, quarantined, scoped
+from siltwork.sources import history, tables
+from siltwork.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -56,22 +57,115 @@ def gold_merge(target: DataFrame, source: DataFrame, entity: Entity, ts: str) ->
 
 @dataclass
 class Layers:
-    """Paths of one entity's layers."""
-
-    staging: str
-    bronze: str
-    silver: str
-
-    def history(self, spark: SparkSession, version: int | None = None) -> DataFrame:
-        """A version of Bronze; the flag by which it is partitioned comes back from the folders' names as text."""
-        return tables.read_snapshot(spark, self.bronze, version)[0].withColumn(scd2.CURRENT, F.col(scd2.CURRENT).cast("boolean"))
-
-    def run(self, spark: SparkSession, entity: Entity, from_version: int | None, to_version: int, ts: str, rules: Sequence[Rule] = ()) -> dict[str, int]:
-        """One bounded run: the feed's range into Bronze, Bronze's changes into Silver, each as a new version."""
-        feed = changes.read_changes(spark.read.parquet(self.staging), from_version, to_version)
-        before = self.history(spark)
-        version = tables.write_version(scd2.apply(before, feed, entity.keys, entity.business, ts), self.bronze, partition_by=[scd2.CURRENT])
-        after = self.history(spark, version)
-        silver, _ = tables.read_snapshot(spark, self.silver)
-        merged, _ = silver_merge(silver, history_feed(after, ts), entity, ts, rules)
-        return {"bronze": version, "silver": tables.write_version(merged, self.silver)}
+    """One entity's layers and logs under a root folder; each layer reads what the one before it wrote since its own watermark.
+
+    A run of a layer writes its rows, its quarantine and its logs, and moves the watermark last: a run that a crash cut
+    short is done again from the same range, and finished versions of the layers before are not touched.
+    """
+
+    root: str
+    entity: Entity = ORDERS
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def flags(self, spark: SparkSession) -> DataFrame:
+        fs, at = tables.files(spark, self.path("flags"))
+        return spark.read.schema(control.FLAGS).parquet(self.path("flags")) if fs.exists(at) else spark.createDataFrame([], control.FLAGS)
+
+    def _watermark(self, spark: SparkSession, layer: str) -> int | None:
+        return control.watermark(self.flags(spark), f"{layer}_{self.entity.name}")
+
+    def _advance(self, spark: SparkSession, layer: str, to: int, ts: str) -> None:
+        control.flag(spark, f"{layer}_{self.entity.name}", "last_processed_version", str(to), ts).write.mode("append").parquet(self.path("flags"))
+
+    def _audited(self, spark: SparkSession, layer: str, action: str, ts: str):
+        return audit.audited(spark, self.path("audit_log"), f"{layer}.{self.entity.name}", action, ts)
+
+    def bootstrap(self, spark: SparkSession, snapshot: DataFrame, version: int, ts: str) -> None:
+        """The first load of all layers from a snapshot of Staging at a version of its feed."""
+        e = self.entity
+        with self._audited(spark, "bronze", "bootstrap", ts):
+            bronze = history.create(scd2.bootstrap(snapshot.select(*e.business), e.business, ts), self.path("bronze"))
+        now, _ = history.current(spark, self.path("bronze"), bronze)
+        with self._audited(spark, "silver", "bootstrap", ts):
+            silver = tables.write_version(conform.silver_bootstrap(now, e.business, ts), self.path("silver"))
+        rows, _ = tables.read_snapshot(spark, self.path("silver"), silver)
+        with self._audited(spark, "gold", "bootstrap", ts):
+            tables.write_version(conform.gold_rows(rows, e.gold, e.formulas or {}, ts), self.path("gold"))
+        for layer, at in (("bronze", version), ("silver", bronze), ("gold", silver)):
+            self._advance(spark, layer, at, ts)
+
+    def run_bronze(self, spark: SparkSession, to_version: int, ts: str) -> int | None:
+        """Staging's changes up to a version into the history; None if there is nothing to read."""
+        e, mark = self.entity, self._watermark(spark, "bronze")
+        control.check_bootstrap(bool(tables.versions(spark, self.path("bronze"))), mark)
+        if mark is not None and mark >= to_version:
+            return None
+        feed = changes.read_changes(spark.read.parquet(self.path("staging")), mark, to_version)
+        now, _ = history.current(spark, self.path("bronze"))
+        with self._audited(spark, "bronze", "scd2", ts) as note:
+            version = history.append(scd2.run(now, feed, e.keys, e.business, ts), self.path("bronze"))
+            note.rows = history.changes(spark, self.path("bronze"), version - 1, version).count()
+        self._advance(spark, "bronze", to_version, ts)
+        return version
+
+    def run_silver(self, spark: SparkSession, ts: str, rules: Sequence[Rule] = ()) -> int | None:
+        """Bronze's changes through the gate into Silver; rows that fail are in quarantine, and Silver keeps what it had of them."""
+        e, mark, to = self.entity, self._watermark(spark, "silver"), max(tables.versions(spark, self.path("bronze")))
+        if mark is not None and mark >= to:
+            return None
+        feed = history.changes(spark, self.path("bronze"), -1 if mark is None else mark, to)
+        source = changes.latest_per_key(feed, e.keys, [F.col(history.VERSION).desc(), F.col(scd2.CURRENT).desc(), F.col(scd2.FROM).desc()]).drop(history.VERSION)
+        result = quality_gate(source, scoped(rules, scd2.CURRENT))
+        result = GateResult(written(result.flagged, "gate"), result.columns, result.skipped)
+        # A run's folder is written anew if the run is done again.
+        bad = quarantined(result, "incremental", ts)
+        bad.write.mode("overwrite").parquet(f"{self.path('quarantine')}/run={to}")
+        tables.append_partitioned_log(gate_log(result, rules, layer="silver", entity=e.name, label="incremental", ts=ts, target=f"silver.{e.name}", quarantine=self.path("quarantine"), run_id=str(to)), self.path("gate_log"), "event_timestamp", "log")
+        rows = conform.silver_rows(result.good, [*e.business, scd2.CURRENT], ts)
+        target, before = tables.read_snapshot(spark, self.path("silver"))
+        tables.append_partitioned_log(audit.merge_entries(merge.merge_metrics(target, rows, e.keys, ~F.col(scd2.CURRENT)), f"silver.{e.name}", ts, run_id=str(to)), self.path("audit_log"), "event_timestamp", "log")
+        moved = rows.withColumn(changes.CHANGE_TYPE, F.when(F.col(scd2.CURRENT), changes.UPDATE).otherwise(changes.DELETE))
+        version = max(tables.numbered(spark, self.path("silver"))) + 1
+        # What changed is written before the version that has it, so no version is without its changes.
+        moved.write.mode("overwrite").parquet(f"{self.path('silver_changes')}/v={version}")
+        tables.write_version(merge.apply_changes(target, rows, e.keys, ~F.col(scd2.CURRENT)), self.path("silver"), version)
+        self._drift(spark, "silver", version, ts)
+        self._advance(spark, "silver", to, ts)
+        return version
+
+    def run_gold(self, spark: SparkSession, ts: str) -> int | None:
+        """Silver's changes into Gold, and the table that is derived from it."""
+        e, mark = self.entity, self._watermark(spark, "gold")
+        versions = [v for v in tables.versions(spark, self.path("silver")) if mark is None or v > mark]
+        if not versions:
+            return None
+        moved = spark.read.option("basePath", self.path("silver_changes")).parquet(*[f"{self.path('silver_changes')}/v={v}" for v in versions if v in tables.numbered(spark, self.path("silver_changes"))])
+        source = changes.latest_per_key(moved, e.keys, [F.col("v").desc()]).drop("v")
+        target, _ = tables.read_snapshot(spark, self.path("gold"))
+        with self._audited(spark, "gold", "merge", ts):
+            version = tables.write_version(gold_merge(target, source, e, ts), self.path("gold"))
+        gold, _ = tables.read_snapshot(spark, self.path("gold"), version)
+        with self._audited(spark, "gold_summary", "overwrite", ts):
+            tables.overwrite_full(derived.order_status_summary(gold), self.path("summary"))
+        self._advance(spark, "gold", max(versions), ts)
+        return version
+
+    def _drift(self, spark: SparkSession, layer: str, version: int, ts: str) -> None:
+        """Logs how the table's columns differ from the snapshot that the flags hold, and holds the new one; a lost or retyped column is an error."""
+        table, live = f"{layer}.{self.entity.name}", tables.read_snapshot(spark, self.path(layer), version)[0]
+        held = self.flags(spark).where((F.col("job_name") == "schema_audit") & (F.col("key") == table)).agg(F.max_by("value", F.struct("insertion_timestamp", "value"))).first()[0]
+        now = control.schema_snapshot(live)
+        if held == now:
+            return
+        control.flag(spark, "schema_audit", table, now, ts).write.mode("append").parquet(self.path("flags"))
+        if held is not None:
+            drift, halt = control.schema_contract(control.snapshot_rows(spark, table, held), control.schema_rows(spark, {table: live}))
+            tables.append_partitioned_log(drift.withColumn("event_timestamp", F.lit(ts).cast("timestamp")), self.path("schema_log"), "event_timestamp", "log")
+            if halt:
+                raise ValueError(f"columns were lost or retyped: {'; '.join(halt)}")
+
+    def run(self, spark: SparkSession, to_version: int, ts: str, rules: Sequence[Rule] = ()) -> dict[str, int | None]:
+        """All layers once."""
+        return {"bronze": self.run_bronze(spark, to_version, ts), "silver": self.run_silver(spark, ts, rules), "gold": self.run_gold(spark, ts)}

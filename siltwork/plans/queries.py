@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from siltwork.functions.hashing import row_hash
 from siltwork.functions.money import cents
-from siltwork.operators import changes, compare, conform, control, dataset_checks, derived, gate, merge, scd2
-from siltwork.plans.layers import ORDERS, gold_merge, history_feed, silver_merge
+from siltwork.operators import audit, changes, compare, conform, control, dataset_checks, derived, gate, merge, scd2
+from siltwork.plans.layers import ORDERS, Layers, gold_merge, history_feed, silver_merge
+from siltwork.sources import history as versions
 from siltwork.sources import tables
 from siltwork.sources.entities import SQL as ENTITIES
 from siltwork.sources.entities import frame, plain_sql, query
@@ -345,9 +346,16 @@ def synthetic_key(spark, sf_dir):
     return scd2.synthetic_key(frame(spark, sf_dir, "events"), ["user_id", "event_type"])
 
 
-@register("mass_closure", f"""SELECT valid_to AS closed_at, count(*) AS closed, false AS is_spike FROM {{hist1}} WHERE valid_to IS NOT NULL GROUP BY valid_to""")
+#: Day on which each order's version was closed: a twelfth of them a day, half of them on the ninth.
+CLOSED_ON = "date_add(DATE'2024-02-01', CAST(CASE WHEN o_orderkey % 2 = 0 THEN 8 ELSE o_orderkey % 12 END AS INT))"
+
+
+@register("mass_closure", f"""SELECT CAST(closed_at AS STRING) AS closed_at, closed, coalesce(closed * count(closed) OVER w > 3.0 * sum(closed) OVER w, false) AS is_spike
+    FROM (SELECT CAST({CLOSED_ON} AS TIMESTAMP) AS closed_at, count(*) AS closed FROM {{ord_keyed}} GROUP BY 1) WINDOW w AS (ORDER BY closed_at ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""")
 def mass_closure(spark, sf_dir):
-    return scd2.mass_closure(history1(spark, sf_dir)).select(text("closed_at"), "closed", "is_spike")
+    """A run a day for twelve days, one of which closes most."""
+    closed = scd2.bootstrap(frame(spark, sf_dir, "ord_keyed"), [*BUSINESS, "o_orderkey"], T0).withColumn(scd2.TO, F.expr(CLOSED_ON).cast("timestamp")).withColumn(scd2.CURRENT, F.lit(False))
+    return scd2.mass_closure(closed).select(text("closed_at"), "closed", "is_spike")
 
 
 # --- joins ------------------------------------------------------------------------------------------------------
@@ -429,13 +437,15 @@ def recompute_changed_groups(spark, sf_dir):
     return derived.recompute_changed_groups(now, per(frame(spark, sf_dir, "ord")), frame(spark, sf_dir, "feed"), ["customer_name"], per)
 
 
-AUDIT = "SELECT event_type AS target_table, CAST(user_id AS STRING) AS run_id, count(*) AS row_count FROM {events} GROUP BY 1, 2"
+AUDIT = "SELECT event_type AS target_table, CAST(user_id AS STRING) AS run_id, count(*) AS row_count FROM {events} WHERE user_id % 3 <> 0 GROUP BY 1, 2"
 GATELOG = "SELECT event_type AS target_table, CAST(user_id AS STRING) AS run_id, count(*) AS rows_checked, count(CASE WHEN value >= 20 THEN 1 END) AS rows_passed, count(CASE WHEN value >= 20 THEN NULL ELSE 1 END) AS rows_quarantined FROM {events} GROUP BY 1, 2"
+#: Some writes had no gate, and some gates let nothing through to write.
+SOME_GATES = GATELOG.replace("GROUP BY", "WHERE user_id % 5 <> 0 AND event_type <> 'error' GROUP BY")
 
 
-@register("log_join", f"SELECT target_table, run_id, row_count, rows_checked, rows_passed, rows_quarantined FROM ({AUDIT}) JOIN ({GATELOG}) USING (target_table, run_id)")
+@register("log_join", f"SELECT target_table, run_id, row_count, rows_checked, rows_passed, rows_quarantined FROM ({AUDIT}) JOIN ({SOME_GATES}) USING (target_table, run_id)")
 def log_join(spark, sf_dir):
-    return control.log_join(query(spark, sf_dir, AUDIT), query(spark, sf_dir, GATELOG))
+    return control.log_join(query(spark, sf_dir, AUDIT), query(spark, sf_dir, SOME_GATES))
 
 
 # --- aggregations -----------------------------------------------------------------------------------------------
@@ -523,24 +533,22 @@ def close_union_insert(spark, sf_dir):
     return actions.where("_action IN ('CHANGED', 'DELETED')").select("order_id", F.lit("close").alias("step")).unionByName(actions.where("_action IN ('CHANGED', 'NEW')").select("order_id", F.lit("insert").alias("step")))
 
 
-DRIFT = """SELECT * FROM (VALUES ('orders', 'o_clerk', 'COLUMN_DROPPED', 'string', CAST(NULL AS STRING)), ('orders', 'o_custkey', 'TYPE_CHANGED', 'string', 'bigint'), ('orders', 'o_orderpriority', 'COLUMN_ADDED', NULL, 'string'))
-    t(table_name, column_name, change_type, old_type, new_type) WHERE EXISTS (SELECT 1 FROM {orders}) AND EXISTS (SELECT 1 FROM {customer})"""
-
-
-def schemas(spark, sf_dir):
-    live = control.schema_rows(spark, {n: frame(spark, sf_dir, n) for n in ("orders", "customer")})
-    before = live.where("column_name <> 'o_orderpriority'").withColumn("column_type", F.when(F.col("column_name") == "o_custkey", "string").otherwise(F.col("column_type")))
-    return before.union(spark.createDataFrame([("orders", "o_clerk", "string")], control.SCHEMAS)), live
+#: A registry of schemas with a table for each user and a column for each type of event; values of 20 and more make a column a double.
+REGISTRY = "SELECT concat('user_', CAST(user_id AS STRING)) AS table_name, event_type AS column_name, CASE WHEN max(value) >= 20 THEN 'double' ELSE 'int' END AS column_type FROM {events} WHERE event_id % 3 %s GROUP BY 1, 2"
+BEFORE, LIVE = REGISTRY.replace("%s", "<> 0"), REGISTRY.replace("%s", "<> 1")
+DRIFT = f"""SELECT * FROM (SELECT coalesce(a.table_name, b.table_name) AS table_name, coalesce(a.column_name, b.column_name) AS column_name,
+    CASE WHEN a.column_type IS NULL THEN 'COLUMN_ADDED' WHEN b.column_type IS NULL THEN 'COLUMN_DROPPED' WHEN a.column_type <> b.column_type THEN 'TYPE_CHANGED' END AS change_type, a.column_type AS old_type, b.column_type AS new_type
+    FROM ({BEFORE}) a FULL JOIN ({LIVE}) b ON a.table_name = b.table_name AND a.column_name = b.column_name) WHERE change_type IS NOT NULL"""
 
 
 @register("schema_drift", DRIFT)
 def schema_drift(spark, sf_dir):
-    return control.schema_drift(*schemas(spark, sf_dir))
+    return control.schema_drift(query(spark, sf_dir, BEFORE), query(spark, sf_dir, LIVE))
 
 
-@register("schema_contract", f"SELECT * FROM ({DRIFT}) WHERE column_name <> 'o_orderpriority'")
+@register("schema_contract", f"SELECT * FROM ({DRIFT}) WHERE column_name <> 'signup'")
 def schema_contract(spark, sf_dir):
-    return control.schema_contract(*schemas(spark, sf_dir), ignore=["o_orderpriority"])[0]
+    return control.schema_contract(query(spark, sf_dir, BEFORE), query(spark, sf_dir, LIVE), ignore=["signup"])[0]
 
 
 @register("tumbling_window", "SELECT event_type, strftime(to_timestamp(epoch(ts)::BIGINT // 3600 * 3600) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n FROM {events} GROUP BY 1, 2")
@@ -557,12 +565,49 @@ ORACLE_SQL["tumbling_window"] = "SELECT event_type, strftime(date_trunc('hour',
 def incremental_apply_(spark, sf_dir):
     """The stream over the written feed; as one bounded batch it equals the batch run."""
     feed, history, mark = (scratch_path(spark, n) for n in ("stream_feed", "stream_history", "stream_mark"))
-    tables.write_version(history0(spark, sf_dir), history)
+    versions.create(history0(spark, sf_dir), history)
     rows = frame(spark, sf_dir, "feed")
     rows.write.parquet(feed)
     return shown(incremental_apply(spark, feed, rows.schema, history, mark, ORDERS, T1))
 
 
+CAP = 150000
+CAP_RULES = [gate.Rule("amount_cap", "sql_expression", {"expression": f"amount < {CAP}", "columns": ["amount"]})]
+
+
+def layered(spark, sf_dir) -> Layers:
+    """The whole job over the orders and their feed: bootstrap, then one run of every layer."""
+    job = Layers(scratch_path(spark, "layers"))
+    tables.write_changes(frame(spark, sf_dir, "feed"), job.path("staging"))
+    job.bootstrap(spark, frame(spark, sf_dir, "ord"), 0, T0)
+    job.run(spark, 3, T1, CAP_RULES)
+    return job
+
+
+LAYERED = f"""SELECT o.order_id, o.customer_name, o.status, CAST(o.amount AS DOUBLE) AS amount FROM {{ord}} o LEFT JOIN {{actions}} a ON o.order_id = a.order_id
+    WHERE a.action IS NULL OR a.action = 'UNCHANGED' OR (a.action = 'CHANGED' AND NOT a.amount < {CAP})
+    UNION ALL SELECT order_id, customer_name, status, CAST(amount AS DOUBLE) FROM {{actions}} WHERE action IN ('CHANGED', 'NEW') AND amount < {CAP}"""
+
+
+@register("layered_run", LAYERED)
+def layered_run(spark, sf_dir):
+    """Gold after the run: rows that the gate held back are as they were before."""
+    return tables.read_snapshot(spark, layered(spark, sf_dir).path("gold"))[0].select("order_id", "customer_name", "status", amount())
+
+
+@register("layered_quarantine", f"SELECT order_id, status, CAST(amount AS DOUBLE) AS amount, 'amount_cap' AS rules FROM {{actions}} WHERE action IN ('CHANGED', 'NEW') AND NOT amount < {CAP}")
+def layered_quarantine(spark, sf_dir):
+    return rule_names(spark.read.parquet(layered(spark, sf_dir).path("quarantine"))).select("order_id", "status", amount(), "rules")
+
+
+@register("audit_log", """SELECT 'gold.orders' AS table_name, 'merge_' || lower(a.action) AS action, count(m.action) AS row_count, 'success' AS status FROM (VALUES ('INSERT'), ('UPDATE'), ('DELETE')) a(action) LEFT JOIN
+    (SELECT CASE WHEN l._change_type = 'delete' THEN (CASE WHEN o.order_id IS NOT NULL THEN 'DELETE' END) WHEN o.order_id IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action FROM {latest} l LEFT JOIN {ord} o ON l.order_id = o.order_id) m
+    ON a.action = m.action GROUP BY a.action""")
+def audit_log(spark, sf_dir):
+    metrics = merge.merge_metrics(frame(spark, sf_dir, "ord"), changes.latest_per_key(frame(spark, sf_dir, "feed"), KEYS), KEYS, "_change_type = 'delete'")
+    return audit.merge_entries(metrics, "gold.orders", T1).select("table_name", "action", "row_count", "status")
+
+
 # --- gates ------------------------------------------------------------------------------------------------------
 
 ORDER_RULES = gate.rules_from(
@@ -608,6 +653,14 @@ def gate_counts(spark, sf_dir):
     return gate.gate_counts(gated(spark, sf_dir).flagged, "status")
 
 
+@register("gate_log", """SELECT 'silver' AS layer, 'orders' AS entity, 'quarantined' AS status, count(*) AS rows_checked, count(CASE WHEN len(r) = 0 THEN 1 END) AS rows_passed, count(CASE WHEN len(r) > 0 THEN 1 END) AS rows_quarantined,
+    (SELECT string_agg(rule || ':' || n, ',' ORDER BY rule) FROM (SELECT rule, count(*) AS n FROM (SELECT unnest(r) AS rule FROM {bad}) GROUP BY 1)) AS failed FROM {bad}""")
+def gate_log(spark, sf_dir):
+    row = gate.gate_log(gated(spark, sf_dir), ORDER_RULES, layer="silver", entity="orders", label="run", ts=T1)
+    failed = F.array_join(F.transform(F.array_sort(F.map_entries("failed_rules")), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",")
+    return row.select("layer", "entity", "status", "rows_checked", "rows_passed", "rows_quarantined", failed.alias("failed"))
+
+
 DETAIL = ORACLE_SQL["transaction_detail"]
 
 

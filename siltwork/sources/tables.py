@@ -8,25 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _files(spark: SparkSession, path: str):
+def files(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished versions of a table, by Hadoop's file systems, so any store that Spark reads will do."""
-    fs, at = _files(spark, path)
+def numbered(spark: SparkSession, path: str) -> dict[int, bool]:
+    """Versions of a table and whether each is finished, by Hadoop's file systems, so any store that Spark reads will do."""
+    fs, at = files(spark, path)
     if not fs.exists(at):
-        return []
-    done = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("v=")]
+        return {}
     new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(p.getName()[2:]) for p in done if fs.exists(new(p, "_SUCCESS")))
+    found = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("v=")]
+    return {int(p.getName()[2:]): fs.exists(new(p, "_SUCCESS")) for p in found}
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Finished versions of a table."""
+    return sorted(n for n, finished in numbered(spark, path).items() if finished)
 
 
 def write_version(df: DataFrame, path: str, version: int | None = None, *, partition_by: Sequence[str] = ()) -> int:
-    """df as a new version beside the older ones; a version that is being read is never touched."""
-    n = (max(versions(df.sparkSession, path), default=-1) + 1) if version is None else version
-    df.write.partitionBy(*partition_by).parquet(f"{path}/v={n}")
+    """df as a new version beside the older ones; a finished version is never touched.
+
+    A new number is above every folder's, also those that a crash left half-written; a given number's half-written
+    folder is written anew.
+    """
+    there = numbered(df.sparkSession, path)
+    n = max(there, default=-1) + 1 if version is None else version
+    if there.get(n):
+        raise ValueError(f"version {n} of {path} is finished")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/v={n}")
     return n
 
 

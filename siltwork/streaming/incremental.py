@@ -1,30 +1,41 @@
-"""The change feed as a stream: each new version once, applied to a versioned history."""
+"""The change feed as a stream: each new version once, applied to a history that keeps what is closed as it is."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltwork.operators import scd2
+from siltwork.operators import changes, scd2
 from siltwork.plans.layers import Entity
-from siltwork.sources import tables
+from siltwork.sources import history, tables
 
 
 def incremental_apply(spark: SparkSession, feed_path: str, schema: T.StructType, history_path: str, checkpoint: str, entity: Entity, ts: str) -> DataFrame:
     """The history after all changes that have come to ``feed_path`` since the checkpoint; it equals the batch result.
 
-    The stream's checkpoint is the watermark: a batch that fails is applied again to the same version, as a batch's
-    number names the version that it writes.
+    The stream's checkpoint tells what has been read. A batch's number names the version that it writes, so a batch
+    that fails, also with a version half-written, is applied again to the same one. Changes are ordered by their commit
+    version, never by arrival: one with a version up to that of the batches before is late and is not applied, as a
+    bounded run would not read it. Each batch's last version is held beside the history.
     """
+    marks = f"{history_path}_marks"
 
     def apply(batch: DataFrame, number: int) -> None:
-        done = tables.versions(batch.sparkSession, history_path)
+        spark = batch.sparkSession
+        done = tables.versions(spark, history_path)
         if number + 1 in done:  # written before the checkpoint was
             return
-        before, _ = tables.read_snapshot(batch.sparkSession, history_path, max(v for v in done if v <= number))
-        tables.write_version(scd2.apply(before, batch, entity.keys, entity.business, ts), history_path, number + 1)
+        held = [v for v in tables.versions(spark, marks) if v <= number]
+        last = tables.read_snapshot(spark, marks, max(held))[0].first()[0] if held else None
+        fresh = batch if last is None else batch.where(F.col(changes.VERSION) > last)
+        if number + 1 not in tables.versions(spark, marks):
+            top = fresh.agg(F.coalesce(F.max(changes.VERSION), F.lit(last)).cast("long").alias("version"))
+            tables.write_version(top, marks, number + 1)
+        now, _ = history.current(spark, history_path, max(v for v in done if v <= number))
+        history.append(scd2.run(now, fresh, entity.keys, entity.business, ts), history_path, number + 1)
 
     stream = spark.readStream.schema(schema).parquet(feed_path)
     query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(apply).start()
     query.awaitTermination()
-    return tables.read_snapshot(spark, history_path)[0]
+    return history.read(spark, history_path)

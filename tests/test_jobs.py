@@ -1,12 +1,14 @@
 """Scenarios of the layered jobs on a few rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from siltwork.operators import changes, conform, control, dataset_checks, gate, merge, scd2
 from siltwork.plans.layers import ORDERS, Layers
 from siltwork.plans.queries import ORDER_RULES
-from siltwork.sources import tables
+from siltwork.sources import history, tables
+from siltwork.streaming.incremental import incremental_apply
 
 KEYS, COLUMNS = list(ORDERS.keys), list(ORDERS.business)
 ROW = "order_id string, customer_name string, status string, amount double"
@@ -143,15 +145,135 @@ def test_versions_of_a_table(spark, three, tmp_path):
     assert tables.read_snapshot(spark, at)[0].count() == 1 and tables.read_snapshot(spark, at, 0)[0].count() == 3
 
 
-def test_a_run_through_the_layers(spark, three, tmp_path):
-    at = Layers(*(str(tmp_path / n) for n in ("staging", "bronze", "silver")))
-    history = scd2.bootstrap(three, COLUMNS, T[0])
-    tables.write_version(history, at.bronze, partition_by=[scd2.CURRENT])
-    tables.write_version(conform.silver_bootstrap(history, COLUMNS, T[0]), at.silver)
-    tables.write_changes(feed(spark, ("ORD-002", "Bob Smith", "refunded", 75.5, "update_postimage", 1), ("ORD-003", "Carol White", "pending", 200.0, "delete", 1), ("ORD-004", "", "pending", 4.0, "insert", 1)), at.staging)
-    at.run(spark, ORDERS, None, 1, T[1], ORDER_RULES)
-    silver = tables.read_snapshot(spark, at.silver)[0]
-    assert {(r.order_id, r.status) for r in silver.collect()} == {("ORD-001", "pending"), ("ORD-002", "refunded")}  # the empty name is held back
+def test_a_half_written_version_is_neither_read_nor_in_the_way(spark, three, tmp_path):
+    at = str(tmp_path / "t")
+    tables.write_version(three, at)
+    (tmp_path / "t" / "v=1").mkdir()
+    (tmp_path / "t" / "v=1" / "part-0.parquet").write_bytes(b"cut off")
+    assert tables.versions(spark, at) == [0] and tables.read_snapshot(spark, at)[0].count() == 3
+    assert tables.write_version(three, at) == 2
+    assert tables.write_version(three.limit(2), at, 1) == 1 and tables.read_snapshot(spark, at, 1)[0].count() == 2
+    with pytest.raises(ValueError, match="finished"):
+        tables.write_version(three, at, 0)
+
+
+def test_history_keeps_what_is_closed(spark, three, tmp_path):
+    at = str(tmp_path / "h")
+    history.create(scd2.bootstrap(three, COLUMNS, T[0]), at)
+    for n, status in enumerate(("refunded", "pending"), 1):
+        now, _ = history.current(spark, at)
+        history.append(scd2.run(now, feed(spark, ("ORD-002", "Bob Smith", status, 75.5, "update_postimage", n)), KEYS, COLUMNS, T[n]), at)
+    assert history.read(spark, at).count() == 5 and history.read(spark, at, 1).count() == 4 and history.current(spark, at)[0].count() == 3
+    moved = history.changes(spark, at, 1, 2).collect()
+    assert sorted((r.status, r[scd2.CURRENT]) for r in moved) == [("pending", True), ("refunded", False)]
+
+
+def test_a_null_key_has_one_open_version(spark):
+    h = scd2.bootstrap(rows(spark, (None, "x", "s", 1.0)), COLUMNS, T[0])
+    change = feed(spark, (None, "x", "s", 2.0, "update_postimage", 1))
+    once = scd2.apply(h, change, KEYS, COLUMNS, T[1])
+    again = scd2.apply(once, change, KEYS, COLUMNS, T[2])
+    assert [r.amount for r in scd2.current_rows(again).collect()] == [2.0] and again.count() == 2
+
+
+@pytest.fixture
+def job(spark, three, tmp_path):
+    out = Layers(str(tmp_path / "job"))
+    changes_ = feed(spark, ("ORD-002", "Bob Smith", "refunded", 75.5, "update_postimage", 1), ("ORD-003", "Carol White", "pending", 200.0, "delete", 1), ("ORD-004", "", "pending", 4.0, "insert", 1), ("ORD-001", "Alice Johnson", "lost", 150.0, "update_postimage", 2))
+    tables.write_changes(changes_, out.path("staging"))
+    out.bootstrap(spark, three, 0, T[0])
+    return out
+
+
+def logged(spark, job, name):
+    return spark.read.parquet(job.path(name))
+
+
+def test_a_run_through_the_layers(spark, job):
+    job.run(spark, 1, T[1], ORDER_RULES)
+    for layer in ("silver", "gold"):
+        now = tables.read_snapshot(spark, job.path(layer))[0]
+        assert {(r.order_id, r.status) for r in now.collect()} == {("ORD-001", "pending"), ("ORD-002", "refunded")}
+    held = logged(spark, job, "quarantine").collect()
+    assert [(r.order_id, [e["name"] for e in r._errors]) for r in held] == [("ORD-004", ["customer_name_not_empty"])]
+    log = logged(spark, job, "gate_log").first()
+    assert (log.status, log.rows_checked, log.rows_quarantined, log.failed_rules) == ("quarantined", 3, 1, {"customer_name_not_empty": 1})
+    entries = {(r.table_name, r.action): r.row_count for r in logged(spark, job, "audit_log").where("status = 'success'").collect()}
+    assert entries[("silver.orders", "merge_update")] == 1 and entries[("silver.orders", "merge_delete")] == 1 and entries[("silver.orders", "merge_insert")] == 0
+    assert {r.status: r.order_count for r in tables.read_snapshot(spark, job.path("summary"))[0].collect()} == {"pending": 1, "refunded": 1}
+    assert job.run(spark, 1, T[2], ORDER_RULES) == {"bronze": None, "silver": None, "gold": None}
+
+
+def test_no_failing_row_is_lost(spark, job):
+    """What a run reads is in the target or in quarantine, and what the target had of a failing key stays."""
+    job.run(spark, 2, T[1], ORDER_RULES)
+    silver = {r.order_id: r.status for r in tables.read_snapshot(spark, job.path("silver"))[0].collect()}
+    held = {r.order_id: r.status for r in logged(spark, job, "quarantine").collect()}
+    assert silver == {"ORD-001": "pending", "ORD-002": "refunded"} and held == {"ORD-001": "lost", "ORD-004": "pending"}
+
+
+@pytest.mark.parametrize("layer", ["bronze", "silver", "gold"])
+def test_a_run_that_was_killed_goes_on(spark, job, layer, monkeypatch):
+    whole = tables.write_version
+
+    def killed(df, path, version=None, **options):
+        if path == job.path(layer):
+            n = max(tables.numbered(spark, path)) + 1 if version is None else version
+            df.limit(1).drop(scd2.KIND).write.parquet(f"{path}/v={n}/_temporary/0")
+            raise OSError("the executor is gone")
+        return whole(df, path, version, **options)
+
+    monkeypatch.setattr(tables, "write_version", killed)
+    with pytest.raises(OSError):
+        job.run(spark, 1, T[1], ORDER_RULES)
+    monkeypatch.setattr(tables, "write_version", whole)
+    job.run(spark, 1, T[2], ORDER_RULES)
+    assert {(r.order_id, r.status) for r in tables.read_snapshot(spark, job.path("gold"))[0].collect()} == {("ORD-001", "pending"), ("ORD-002", "refunded")}
+    assert logged(spark, job, "quarantine").count() == 1 and history.read(spark, job.path("bronze")).count() == 5
+    if layer != "silver":
+        assert {r.error_type for r in logged(spark, job, "audit_log").where("status = 'failure'").collect()} == {"OSError"}
+
+
+def test_a_lost_column_stops_the_next_run(spark, job):
+    job.run(spark, 1, T[1], ORDER_RULES)
+    held = '{"order_id": "string", "gone": "string"}'
+    control.flag(spark, "schema_audit", "silver.orders", held, "2024-12-01 00:00:00").write.mode("append").parquet(job.path("flags"))
+    with pytest.raises(ValueError, match="gone"):
+        job.run(spark, 2, T[2], ORDER_RULES)
+    assert "gone" in {r.column_name for r in logged(spark, job, "schema_log").collect()}
+
+
+def test_late_changes_are_not_applied_by_the_stream(spark, three, tmp_path):
+    path, source, mark = (str(tmp_path / n) for n in ("history", "source", "mark"))
+    history.create(scd2.bootstrap(three, COLUMNS, T[0]), path)
+    first = feed(spark, ("ORD-001", "Alice Johnson", "completed", 150.0, "update_postimage", 5))
+    first.write.parquet(source)
+    run = lambda ts: incremental_apply(spark, source, first.schema, path, mark, ORDERS, ts)
+    run(T[1])
+    late = feed(spark, ("ORD-001", "Alice Johnson", "lost", 150.0, "update_postimage", 4), ("ORD-002", "Bob Smith", "refunded", 75.5, "update_postimage", 6))
+    late.write.mode("append").parquet(source)
+    out = run(T[2])
+    assert {(r.order_id, r.status) for r in scd2.current_rows(out).collect()} == {("ORD-001", "completed"), ("ORD-002", "refunded"), ("ORD-003", "pending")}
+
+
+def test_a_stream_goes_on_after_a_half_written_version(spark, three, tmp_path):
+    path, source, mark = (str(tmp_path / n) for n in ("history", "source", "mark"))
+    history.create(scd2.bootstrap(three, COLUMNS, T[0]), path)
+    (tmp_path / "history" / "v=1" / "_kind=kept").mkdir(parents=True)
+    one = feed(spark, ("ORD-001", "Alice Johnson", "completed", 150.0, "update_postimage", 5))
+    one.write.parquet(source)
+    out = incremental_apply(spark, source, one.schema, path, mark, ORDERS, T[1])
+    assert {r.status for r in scd2.current_rows(out).where("order_id = 'ORD-001'").collect()} == {"completed"} and out.count() == 4
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 5000, 5001])
+def test_exact_medians(spark, n, monkeypatch):
+    monkeypatch.setattr(dataset_checks, "FEW_VALUES", 50)
+    rng = np.random.default_rng(n)
+    for values in (rng.normal(size=n), np.round(rng.normal(size=n)), np.full(n, 3.0), np.repeat([1.0, 9.0], n)):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+        assert dataset_checks.exact_median(df, "x") == np.median(values)
+    assert dataset_checks.exact_median(df.limit(0), "x") is None
 
 
 def test_windows_with_gaps(spark):

@@ -2,6 +2,8 @@
 
 import glob
 import os
+import subprocess
+import sys
 
 import duckdb
 import pandas as pd
@@ -42,3 +44,11 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() == 3
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("gone", ["siltwork.llm", "xxhash", "public_tokenizers", "corpus_pipeline"])
+def test_the_other_queries_stay_when_a_module_is_missing(gone):
+    hide = f"import sys; sys.modules[{gone!r}] = None" if gone != "siltwork.llm" else "import sys; sys.modules['siltwork.llm'] = None; sys.modules['siltwork.llm.queries'] = None"
+    code = f"{hide}\nimport __spark_entry__ as e\nprint(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), check=False)
+    assert out.returncode == 0 and int(out.stdout.split()[0]) >= len(registry.QUERIES), out.stderr
