@@ -9,12 +9,14 @@ of the whole code is reranked by the cosine of the original vectors in double pr
 the least that holds nearly all true neighbours of the sample's queries; a query that finds too few rows within it
 probes with the next radius, at last all.
 
-Rows are dealt into shards of a bounded size by a hash of their id and queries into blocks; a task indexes one shard
-and answers one block of queries from it, and a query's best of all shards are merged. Equal vectors are equal rows
-of an index, never pairs; a hot vector is spread over all shards.
-
-Vectors that are null, zero, or hold null or non-finite components take no part. Ties go to the smaller vec_id. A
-repeated vec_id is a candidate as often as it occurs, but never its own query's. An empty table gives no rows.
+Rows are dealt into shards of a bounded size by their place in the table and queries into blocks; a task indexes one
+shard and answers one block of queries from it, and a query's best of all shards are merged. Equal vectors are equal
+rows of an index, never pairs; a hot vector or id is spread over all shards.
+
+Vectors that are null, zero, or hold null or non-finite components take no part; finite ones of any size do, as each
+is scaled by a power of two first, which changes no cosine. Ties go to the smaller vec_id. A repeated vec_id is a
+candidate as often as it occurs, but never its own query's. Equal rows ask once; rows of one id with different vectors
+are different queries, which query_hash tells apart. Only the id and the vector are read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,7 +40,13 @@ SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
 NEIGHBOURS, EVERY = 5, 50
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their largest component is near one: squares neither overflow nor vanish."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(-1, keepdims=True))[1]) if x.size else x
+
+
 def unit_rows(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -121,11 +129,12 @@ class MultiIndex:
 
 def cosine(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Cosines of rows with one vector: sums of products row by row, so that equal rows give equal values."""
+    x, q = scaled(x), scaled(q)
     return (x * q).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((q * q).sum()))
 
 
-def _search(hasher: Hasher, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(query_id, vec_id, score) of each query's k best rows of one shard."""
+def _search(hasher: Hasher, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, marks: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(query_id, query_hash, vec_id, score) of each query's k best rows of one shard."""
     unit = unit_rows(x)
     index, codes, unit_queries = MultiIndex(hasher.codes(unit)), hasher.codes(unit_rows(queries)), unit_rows(queries)
     for i, query_id in enumerate(query_ids):
@@ -143,7 +152,7 @@ def _search(hasher: Hasher, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarra
             rows = rows[rough >= np.partition(rough, -k)[-k] - 1e-9]
         scores = cosine(x[rows], queries[i])
         order = np.lexsort((ids[rows], -scores))[:k]
-        yield np.full(len(order), query_id), ids[rows][order], scores[order]
+        yield np.full(len(order), query_id), np.full(len(order), marks[i]), ids[rows][order], scores[order]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -159,14 +168,14 @@ def usable(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = batch.column(2)
+        x = batch.column(3)
         flat, ends = x.flatten().to_numpy(zero_copy_only=False).astype("<f8"), np.concatenate([[0], np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
         data = flat.tobytes()
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), batch.column(4), pa.array([data[8 * a : 8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())], names=["shard", "id", "block", "query", "x"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *batch.columns[4:], pa.array([data[8 * a : 8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())], names=["shard", "id", "mark", "block", "query", "x"])
 
 
 def nearest(vectors: DataFrame, *, k: int = NEIGHBOURS, every: int = EVERY, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of each row whose id is divisible by ``every``."""
+    """(query_id, query_hash, rank, vec_id, score): the k nearest found of each row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
     rows = usable(vectors, key=key, vector=vector)
     # Vectors of another length than the most frequent one can't be compared with its.
@@ -176,25 +185,23 @@ def nearest(vectors: DataFrame, *, k: int = NEIGHBOURS, every: int = EVERY, key:
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow().column("x").combine_chunks()
     hasher = learn(sample.flatten().to_numpy().reshape(-1, d), k) if len(sample) else None
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-q // block_queries))
-    dealt = F.xxhash64("id")
+    place, mark = F.xxhash64(F.monotonically_increasing_id()), F.xxhash64("x")
     # A shard goes to each block's task and a block to each shard's: both are of bounded size.
-    base = rows.select(F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"), "id", "x", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(False).alias("query"))
-    asked = rows.where(F.col("id") % every == 0)
-    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", "x", F.pmod(dealt, F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("query"))
-    together = base.union(asked).mapInArrow(_packed, "shard int, id long, block int, query boolean, x binary")
+    base = rows.select(F.pmod(place, F.lit(shards)).cast("int").alias("shard"), "id", F.lit(0).cast("long").alias("mark"), "x", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(False).alias("query"))
+    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "x"])
+    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", mark.alias("mark"), "x", F.pmod(F.xxhash64("id", "x"), F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("query"))
+    together = base.union(asked).mapInArrow(_packed, "shard int, id long, mark long, block int, query boolean, x binary")
     shared = spark.sparkContext.broadcast(hasher)
 
     def task(table: pa.Table) -> pa.Table:
         query = table.column("query").combine_chunks()
         of = [table.filter(query), table.filter(pa.compute.invert(query))]
         (query_ids, queries), (ids, x) = ((t.column("id").to_numpy(), _matrix(t.column("x").combine_chunks())) for t in of)
-        order = np.unique(query_ids, return_index=True)[1]  # a repeated row asks once
-        query_ids, queries = query_ids[order], queries[order]
-        found = list(_search(shared.value, ids, x, query_ids, queries, k)) if len(ids) and len(query_ids) else []
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table({"query_id": columns[0].astype(np.int64), "vec_id": columns[1].astype(np.int64), "score": columns[2]})
+        found = list(_search(shared.value, ids, x, query_ids, of[0].column("mark").to_numpy(), queries, k)) if len(ids) and len(query_ids) else []
+        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
+        return pa.table({**{n: c.astype(np.int64) for n, c in zip(("query_id", "query_hash", "vec_id"), columns, strict=False)}, "score": columns[3]})
 
-    found = together.groupBy("shard", "block").applyInArrow(task, "query_id long, vec_id long, score double")
+    found = together.groupBy("shard", "block").applyInArrow(task, "query_id long, query_hash long, vec_id long, score double")
     # The limit on the rank is applied in each task before the shuffle, so a query's rows stay few.
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_hash")
