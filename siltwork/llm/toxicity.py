@@ -9,9 +9,11 @@ correction's noise would hold the margins down. Only features that mostly toxic
 P and U and the prior, take part, so that a long text gathers no noise. With logistic loss the
 model's probability is that of the true class, so 0.5 is the threshold.
 
-The prior is the toxic share of the labelled rows of the learning folds; without labels of both kinds all scores
-are 0. A null or empty text has no words and scores what the intercept says. A document counts each of its words
-once. Repeated rows, also among the labels, count as often as they occur.
+The prior is the toxic share of the labelled rows of the learning folds, repeated ones included; without labels of both
+kinds all scores are 0. A document teaches once for each of its rows, however often its label is repeated; which rows
+teach is drawn by a hash of key and words, so it does not depend on the table's layout. A null or empty text has no
+words and scores what the intercept says. A document counts each of its words once. Repeated rows are scored as often
+as they occur; an empty table gives no rows. Other columns stay out, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltwork.llm.common import fold
+from siltwork.llm.common import fold, unused
 from siltwork.llm.langid import byte_columns
 
 #: Rows that teach at most: confirmed toxic ones and unlabelled ones, drawn by a hash of their key.
@@ -139,8 +141,10 @@ def train(docs: DataFrame, labels: DataFrame, *, positive_rows: int = POSITIVE_R
     wanted = drawn(labels.where("toxic = 1").join(docs.select("doc_id"), "doc_id", "left_semi"), "toxic", positive_rows).withColumn("toxic", F.lit(1))
     wanted = wanted.union(drawn(docs, "unlabelled", unlabelled_rows).withColumn("toxic", F.lit(0)))
     rows = docs.select("doc_id", "text").join(F.broadcast(wanted.distinct()), "doc_id").select("toxic", F.col("text").cast("binary").alias("text"))
-    # The limit bounds the sample where a drawn key has many rows.
-    got = rows.mapInArrow(_places, "toxic int, places binary").limit(2 * (positive_rows + unlabelled_rows)).toArrow()
+    # Where a drawn key has many rows, a hash draws among them too.
+    nth = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("places"), "places"))
+    most = F.when(F.col("toxic") == 1, positive_rows).otherwise(unlabelled_rows)
+    got = rows.mapInArrow(_places, "toxic int, places binary").withColumn("nth", nth).where((F.col("nth") <= max(positive_rows, unlabelled_rows)) & (F.col("nth") <= most)).drop("nth").toArrow()
     found = {0: [], 1: []}
     for toxic, places in sorted(zip(got.column("toxic").to_pylist(), got.column("places").to_pylist(), strict=True)):  # in an order that runs share
         found[toxic].append(np.frombuffer(places, "<i4"))
@@ -148,7 +152,9 @@ def train(docs: DataFrame, labels: DataFrame, *, positive_rows: int = POSITIVE_R
 
 
 def score(docs: DataFrame, model: Classifier | None) -> DataFrame:
-    """docs with score and predicted."""
+    """docs with score and predicted; a table that has columns of these names is refused."""
+    if any(unused(docs.columns, x) != x for x in ("score", "predicted")):
+        raise ValueError("the table has a column score or predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select("*", F.lit(0.0).alias("score"), F.lit(0).alias("predicted")).schema
 
@@ -165,7 +171,7 @@ def score(docs: DataFrame, model: Classifier | None) -> DataFrame:
             p = np.zeros(len(batch)) if model is None else 1 / (1 + np.exp(-np.maximum(margins, -700)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*batch.schema.names[:n], "score", "predicted"])
 
-    return docs.withColumn("_bytes", F.col("text").cast("binary")).mapInArrow(run, schema)
+    return docs.select("*", F.col("text").cast("binary").alias(unused(docs.columns, "_bytes"))).mapInArrow(run, schema)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
