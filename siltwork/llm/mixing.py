@@ -10,7 +10,8 @@ has beyond keeps its slots; the slots of one that has run out stay empty.
 
 A source's order is cut into ranges of the hash, so a hot source is ranked in many tasks: rows before a range are
 a sum of counts. Rows are never dropped. A null source is a source of its own; repeated rows get a place each;
-ties of the hash are broken by doc_id. An empty table gives no rows.
+ties of the hash are broken by doc_id. An empty table gives no rows. A table with columns that begin with _mix is
+refused. The schedule itself is made in one task, in time that grows with the square of the number of sources.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from siltwork.llm.common import kept
 
 #: Documents in a block.
 BLOCK = 16
-#: Slots in a period of the schedule.
+#: Slots in a period of the schedule that go by weight; each source has one more.
 PERIOD = 1000
 #: Rows of one source that one range of the hash holds, about.
 RANGE_ROWS = 4096
@@ -39,9 +40,10 @@ def _hash(key: Column) -> Column:
 
 
 def shares(counts: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD) -> DataFrame:
-    """(source, share): whole numbers that sum to the period, one at least, by largest remainder.
+    """(source, share): whole numbers, one at least, that sum to the period, by largest remainder.
 
-    counts: (source, n). Without weights, a source's target is in proportion to the root of its rows.
+    counts: (source, n). Without weights, a source's target is in proportion to the root of its rows. The period must
+    have more slots than there are sources; callers add one for each source to the slots that go by weight.
     """
     if weights is None:
         target = F.floor(F.sqrt(F.col("n").cast("double")) * 1000)
@@ -86,7 +88,7 @@ def _shares_of(docs: DataFrame, weights: dict[str, float] | None, period: int) -
     """(rows of each source, sources, the period that holds them, their shares of it)."""
     counts = kept(docs.groupBy(_source().alias("source")).agg(F.count("*").alias("n")))
     sources = counts.count()
-    period = max(period, 2 * sources)
+    period += sources
     return counts, sources, period, shares(counts, weights, period)
 
 
@@ -102,6 +104,9 @@ def source_order() -> list[Column]:
 
 def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, range_rows: int = RANGE_ROWS) -> DataFrame:
     """docs with a struct _mix: block (its number in its source), place (row in the block), slot, release, deadline."""
+    taken = [c for c in docs.columns if c.lower().startswith("_mix")]
+    if taken:
+        raise ValueError(f"columns that begin with _mix are this operator's: {', '.join(taken)}")
     rows = docs.withColumns({"_mix_source": _source(), "_mix_hash": _hash(F.col("doc_id"))})
     counts, sources, period, share = _shares_of(docs, weights, period)
     small = F.broadcast if sources <= BROADCAST_SOURCES else lambda df: df
@@ -140,7 +145,7 @@ SCHEDULE_SQL = f"""
 WITH RECURSIVE rows AS (
   SELECT doc_id, source, coalesce(source, chr(0)) AS s, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
 counts AS (SELECT s, CAST(floor(sqrt(CAST(count(*) AS DOUBLE)) * 1000) AS BIGINT) AS w FROM rows GROUP BY s),
-sums AS (SELECT count(*) AS k, CAST(sum(w) AS BIGINT) AS total, greatest({PERIOD}, 2 * count(*)) AS d FROM counts),
+sums AS (SELECT count(*) AS k, CAST(sum(w) AS BIGINT) AS total, {PERIOD} + count(*) AS d FROM counts),
 parts AS (SELECT s, d, (w * (d - k)) // total AS whole, (w * (d - k)) % total AS rest, d - k AS free FROM counts, sums),
 shares AS (SELECT s, d, 1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, s) <= free - sum(whole) OVER () THEN 1 ELSE 0 END AS share FROM parts),
 listed AS (SELECT max(d) AS d, list(s ORDER BY s) AS ss, list(CAST(share AS BIGINT) ORDER BY s) AS aa FROM shares),

@@ -165,6 +165,31 @@ def test_recall_against_brute_force(spark, sf_dir):
     assert hits / (5 * len(want)) >= 0.9 and (got.groupby("query_id").size() == 5).all()
 
 
+def test_each_different_vector_of_an_id_is_a_query(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).toPandas()
+    assert len(got) == 4 and got.query_hash.nunique() == 2
+    assert sorted(got[got["rank"] == 1].vec_id) == [1, 2]
+
+
+def test_vectors_of_any_size(spark):
+    rows = [(50, [1e200, 1e200]), (1, [1e-200, 0.0]), (2, [1e200, 1e199]), (3, [1e-310, 1e-310]), (4, [1.0, 1.0])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 4, 2, 1] and np.allclose([r.score for r in got], [1, 1, 11 / np.sqrt(202), 0.5**0.5])
+
+
+def test_recall_on_the_larger_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    local = table.toPandas()
+    got = ann.nearest(table).toPandas().groupby("query_id").vec_id.apply(set)
+    ids, x = local.vec_id.to_numpy(), ann.unit_rows(np.stack(local.embedding).astype("f8"))
+    asked = np.flatnonzero(ids % 50 == 0)
+    near = x[asked] @ x.T
+    near[np.arange(len(asked)), asked] = -2
+    best = ids[np.argpartition(-near, 4, 1)[:, :5]]
+    assert np.mean([len(got[q] & set(b)) / 5 for q, b in zip(ids[asked], best.tolist(), strict=True)]) >= 0.9
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (50, [0.0, 1.0], 1), (1, [1.0, 1.0], 1), (2, [1.0, 1.0], 1), (3, [0.0, 0.0], 1), (4, None, 1), (5, [nan, 1.0], 1), (6, [inf, 1.0], 1), (7, [None, 1.0], 1), (None, [1.0, 0.0], 1), (100, [1.0, 0.0], 1), (0, [1.0, 0.0], 1), (8, [1.0], 1)]
