@@ -44,7 +44,7 @@ _SLICE = 1 << 15
 KEYED_ROWS = 50_000
 #: Pairs that are compared at once.
 _BLOCK = 1 << 20
-#: Buckets up to so many fingerprints are compared at once, by distance in the sorted order.
+#: Buckets up to so many fingerprints are compared at once, all of one size together.
 SMALL_BUCKET = 6
 
 
@@ -156,16 +156,24 @@ def links_of_sorted(keys: np.ndarray, fps: np.ndarray, bits: int = MAX_BITS) ->
     """Verified links among fingerprints of equal keys; keys are sorted, each key's fingerprints are all there."""
     edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
     size = np.diff(edge)
-    few = np.repeat(size <= SMALL_BUCKET, size)
-    a, b = [], []
-    for step in range(1, SMALL_BUCKET):
-        same = (keys[step:] == keys[:-step]) & few[step:]
-        x, y = fps[:-step][same], fps[step:][same]
-        near = np.bitwise_count(x ^ y) <= bits
-        a.append(x[near])
-        b.append(y[near])
+    a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for n in range(2, SMALL_BUCKET + 1):
+        of = fps[edge[:-1][size == n][:, None] + np.arange(n)]
+        i, j = np.triu_indices(n, 1)
+        apart = np.bitwise_count(of[:, i] ^ of[:, j]).astype(np.int64)
+        # A link that is the longest of a triangle of links leads nowhere that the two others don't; ties go by place.
+        far = np.full((len(of), n, n), 1 << 20)
+        far[:, i, j] = far[:, j, i] = np.where(apart <= bits, apart * 64 + i * 8 + j, 1 << 20)
+        keep = apart <= bits
+        for k in range(n):
+            other = (i != k) & (j != k)
+            keep[:, other] &= np.maximum(far[:, i[other], k], far[:, j[other], k]) > far[:, i[other], j[other]]
+        row, pair = np.nonzero(keep)
+        a.append(of[row, i[pair]])
+        b.append(of[row, j[pair]])
     for k in np.flatnonzero(size > SMALL_BUCKET):
-        for x, y in _tree(fps[edge[k] : edge[k + 1]], bits):
+        # In order, so that the groups of near copies in many buckets gather around the same few fingerprints.
+        for x, y in _tree(np.sort(fps[edge[k] : edge[k + 1]]), bits):
             a.append(x)
             b.append(y)
     return np.concatenate(a), np.concatenate(b)
