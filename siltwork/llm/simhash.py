@@ -44,6 +44,8 @@ _SLICE = 1 << 15
 KEYED_ROWS = 50_000
 #: Pairs that are compared at once.
 _BLOCK = 1 << 20
+#: What stands for a null number in numpy.
+NO_NUMBER = -(1 << 63)
 #: Buckets up to so many fingerprints are compared at once, all of one size together.
 SMALL_BUCKET = 6
 
@@ -179,33 +181,35 @@ def links_of_sorted(keys: np.ndarray, fps: np.ndarray, bits: int = MAX_BITS) ->
     return np.concatenate(a), np.concatenate(b)
 
 
-def _linked(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fps = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        last = None
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns, key first, of batches sorted by key, cut so that each key's rows come together; a null is the smallest number."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        columns = [c.fill_null(NO_NUMBER).to_numpy() for c in batch.columns]
+        k = columns[0]
+        if not len(k):
+            continue
+        cut = int(np.searchsorted(k, k[-1]))
+        if cut or (held and held[-1][0][-1] != k[0]):
+            done = [*held, [c[:cut] for c in columns]]
+            held = []
+            if sum(len(x[0]) for x in done):
+                yield [np.concatenate(c) for c in zip(*done, strict=True)]
+        held.append([c[cut:] for c in columns])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)]
+
+
+def link_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Different links (a, b), the smaller end first."""
+    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.uint64)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, k]).view(np.int64)) for k in (0, 1)], names=["a", "b"])
 
-        def out() -> pa.RecordBatch:
-            a, b = links_of_sorted(np.concatenate(keys), np.concatenate(fps), bits)
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0) if len(a) else np.zeros((0, 2), np.uint64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, k].view(np.int64) if len(both) else np.zeros(0, np.int64)) for k in (0, 1)], names=["a", "b"])
 
-        for batch in batches:
-            k, f = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-            if not len(k):
-                continue
-            cut = int(np.searchsorted(k, k[-1]))
-            if cut or k[0] != last:
-                if cut:
-                    keys.append(k[:cut])
-                    fps.append(f[:cut])
-                if sum(map(len, keys)):
-                    yield out()
-                keys, fps = [], []
-            keys.append(k[cut:])
-            fps.append(f[cut:])
-            last = k[-1]
-        if sum(map(len, keys)):
-            yield out()
+def _linked(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, fps in whole_keys(batches):
+            yield link_batch(*links_of_sorted(keys, fps.view(np.uint64), bits))
 
     return run
 

@@ -448,6 +448,48 @@ def test_one_of_each_component_of_alike_documents_stays(spark):
     assert want <= got and len(got - want) <= 0.05 * (len(table) - len(want))
 
 
+def test_pairs_between_components_are_all_near_pairs_but_those_within_one(monkeypatch):
+    rng = np.random.default_rng(1)
+    for size in (1, 30, 300):
+        monkeypatch.setattr(neardup, "BLOCK", size)
+        keys = np.sort(rng.integers(0, 12, size))
+        sketches = rng.integers(0, 2**63, 5).astype(np.uint64)[rng.integers(0, 5, size)]
+        for _ in range(8):
+            sketches = sketches ^ (np.uint64(1) << rng.integers(0, 64, size).astype(np.uint64))
+        roots = np.where(rng.random(size) < 0.4, simhash.NO_NUMBER, rng.integers(0, 4, size))
+        got = {(min(p), max(p)) for a, b in neardup.pairs_between(keys, sketches, roots, 15) for p in zip(a.tolist(), b.tolist(), strict=True)}
+        want = set()
+        for i, j in zip(*np.triu_indices(size, 1), strict=True):
+            x, y = int(sketches[i]), int(sketches[j])
+            if keys[i] == keys[j] and (x ^ y).bit_count() <= 15 and (roots[i] == simhash.NO_NUMBER or roots[i] != roots[j]):
+                want.add((min(x, y), max(x, y)))
+        assert got == want
+        a, b = neardup.nearest(keys, sketches, 15)
+        assert {(min(p), max(p)) for p in zip(a.tolist(), b.tolist(), strict=True)} <= {(min(x, y), max(x, y)) for x in sketches.tolist() for y in sketches.tolist() if (x ^ y).bit_count() <= 15}
+
+
+def test_no_candidate_hides_a_link(spark):
+    """Borderline texts: whatever pair is alike, shares a key and has near sketches ends up in one component."""
+    rng = np.random.default_rng(8)
+    base = [f"w{x}" for x in range(300)]
+    texts = [" ".join(f"x{n}y{k}" if k in set(rng.integers(0, 300, 7).tolist()) else w for k, w in enumerate(base)) for n in range(250)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rows = neardup.fingerprints(docs).toPandas()
+    got = {r.node: r.root for r in simhash.smallest_reachable(neardup.links(neardup.stored(neardup.fingerprints(docs)))).collect()}
+    keys = [set() for _ in texts]
+    found, at = neardup.segment_keys(np.frombuffer(b"".join(rows.words), "<u8").reshape(len(rows), neardup.SEGMENTS))
+    for key, row in zip(found.tolist(), at.tolist(), strict=True):
+        keys[row].add(key)
+    sets = [set(np.frombuffer(x, "<u4").tolist()) for x in rows.shingles]
+    links = 0
+    for i, j in zip(*np.triu_indices(len(texts), 1), strict=True):
+        apart = ((int(rows.sketch[i]) ^ int(rows.sketch[j])) & (1 << 64) - 1).bit_count()
+        if keys[i] & keys[j] and apart <= neardup.SKETCH_BITS and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            links += 1
+            assert got[rows.same[i]] == got[rows.same[j]]
+    assert links > 10
+
+
 def test_near_copies_of_a_text_leave_one(spark):
     rng = np.random.default_rng(6)
     base = [f"w{x}" for x in rng.integers(0, 5000, 400)]
