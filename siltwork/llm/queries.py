@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.llm.ann import nearest
+from siltwork.llm.collocation import COLLOCATIONS_SQL, collocations
 from siltwork.llm.common import table
 from siltwork.llm.fixity import AUDIT_SQL, archive_audit
+from siltwork.llm.hardneg import HARD_NEGATIVES_SQL, hard_negatives, relabelled
 from siltwork.llm.langid import predict_languages
 from siltwork.llm.lblm import language_model_scores
 from siltwork.llm.mixing import SCHEDULE_SQL, mixing_schedule
@@ -60,6 +62,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(relabelled(table(spark, sf_dir, "embeddings"))).drop("anchor_hash")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_webp": op2_webp,
@@ -71,9 +81,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_lblm": op9_lblm,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_fixity": AUDIT_SQL,
     "op6_mixing": SCHEDULE_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
 }
