@@ -58,7 +58,7 @@ _FACTORS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 @lru_cache(maxsize=4)
 def _powers(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of an odd number and of its inverse, modulo 2^64."""
-    return tuple(np.cumprod(np.concatenate([[1], np.full(n, f, np.uint64)]).astype(np.uint64), dtype=np.uint64) for f in (factor, pow(factor, -1, 1 << 64)))
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.full(n, f, np.uint64)]).cumprod(dtype=np.uint64) for f in (factor, pow(factor, -1, 1 << 64)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -84,7 +84,7 @@ class Words:
         """A hash of each word: a polynomial of its bytes."""
         size = max(CHUNK, 1 << (len(self.data)).bit_length())
         up, down = _powers(factor, size)
-        sums = np.concatenate([[0], ((self.bytes + np.uint64(1)) * up[: len(self.bytes)]).cumsum(dtype=np.uint64)]).astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), ((self.bytes + np.uint64(1)) * up[: len(self.bytes)]).cumsum(dtype=np.uint64)])
         return mixed((sums[self.end] - sums[self.start]) * down[self.start] + self.salt)
 
     def phrases(self, k: int, which: int = 0) -> np.ndarray:
