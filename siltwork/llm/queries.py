@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siltwork.llm.ann import nearest
 from siltwork.llm.collocation import COLLOCATIONS_SQL, collocations
 from siltwork.llm.common import table
+from siltwork.llm.extraction import extracted
 from siltwork.llm.fixity import AUDIT_SQL, archive_audit
 from siltwork.llm.hardneg import HARD_NEGATIVES_SQL, hard_negatives, relabelled
 from siltwork.llm.langid import predict_languages
@@ -70,6 +71,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_webp": op2_webp,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_collocations": op12_collocations,
+    "op13_main_text": op13_main_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
