@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass, field
+from functools import cache
 
 # Fixed values of HTML.
 BLOCK = frozenset(
@@ -41,7 +42,12 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _HIDE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-@dataclass
+@cache
+def _closing(name: str) -> re.Pattern[str]:
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I)
+
+
+@dataclass(slots=True)
 class Element:
     name: str
     node: int = -1
@@ -52,7 +58,7 @@ class Element:
     link: bool = False
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     tag: str
@@ -164,12 +170,12 @@ def read(page: str) -> Page:
                 parts.append("" if name == "wbr" else " ")
             continue
         if name in RAW or name in UNSEEN:
-            found = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            found = _closing(name).search(page, at)
             if found:
                 at = found.end()
             elif name in RAW:
                 at = end
-            if name != "title" and name in UNSEEN:
+            if name in UNSEEN:
                 parts.append(" ")
             continue
         parent = stack[-1]

@@ -20,6 +20,7 @@ read whole. Extra columns are not read. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,22 +41,23 @@ HELD = 0.3
 AROUND, INSIDE, UNSEEN, HEADING, ITEM = -14.0, 6.0, -20.0, 0.8, -0.4
 #: Costs of labels that differ: of blocks in a row in one container, of a block and its container, of a container and its own.
 IN_A_ROW, IN_CONTAINER, NESTED = 1.0, 0.5, 0.3
+#: An edge that follows a heading counts so often.
+LED = 2
 SCALE = 1000
 
+_MARK, _DIGIT, _CAPITAL = re.compile("[,.;:!?。，、]"), re.compile("[0-9]"), re.compile("(?<![^ ])[A-Z\u00c0-\u00de\u0391-\u03a9\u0410-\u042f]")
+
 
 def shape(text: str, linked: int) -> list[float]:
     """The features of a block's text."""
     words = text.count(" ") + 1
-    marks = sum(text.count(c) for c in ",.;:!?。，、")
-    digits = sum(text.count(c) for c in "0123456789")
-    capitals = sum(1 for w in text.split(" ") if w[:1].isupper())
+    marks, digits, capitals = (len(x.findall(text)) for x in (_MARK, _DIGIT, _CAPITAL))
     return [1.0, math.log1p(words), linked / len(text), min(marks / words, 1.0), float(text[-1] in ".!?…。\"'»”)"), digits / len(text), capitals / words]
 
 
-def log_odds(block: Block, weights: np.ndarray) -> float:
-    out = float(np.dot(weights, shape(block.text, block.linked)))
+def log_odds(block: Block, weights: list[float]) -> float:
     # Text alone never outweighs plain markup.
-    out = max(-5.0, min(5.0, out))
+    out = max(-5.0, min(5.0, math.sumprod(weights, shape(block.text, block.linked))))
     if block.hidden:
         return out + UNSEEN
     out += AROUND if block.around else INSIDE if block.inside else 0.0
@@ -65,13 +67,15 @@ def log_odds(block: Block, weights: np.ndarray) -> float:
 def graph(page: Page, weights: np.ndarray) -> tuple[list[int], list[tuple[int, int, int]]]:
     """Terminals and edges: blocks first, then containers."""
     n, blocks = len(page.blocks), page.blocks
+    weights = [float(w) for w in weights]
     terminals = [round(SCALE * log_odds(b, weights)) for b in blocks] + [0] * len(page.parents)
     edges = []
     for i, b in enumerate(blocks):
         edges.append((i, n + b.node, round(SCALE * IN_CONTAINER)))
         if i:
             hops = 0 if blocks[i - 1].node == b.node else 1 + abs(blocks[i - 1].depth - b.depth)
-            edges.append((i - 1, i, round(SCALE * IN_A_ROW / (1 + hops))))
+            led = LED if blocks[i - 1].tag in HEADINGS else 1
+            edges.append((i - 1, i, round(SCALE * IN_A_ROW * led / (1 + hops))))
     edges += [(n + c, n + p, round(SCALE * NESTED)) for c, p in enumerate(page.parents) if p >= 0]
     return terminals, edges
 
