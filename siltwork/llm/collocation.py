@@ -4,7 +4,8 @@ Texts, A-Z lower-cased, are cut at punctuation and line ends into pieces, and th
 phrase is a run of words of one piece; f counts all its occurrences, per language. Candidates are phrases of two to four
 words that occur often enough.
 
-The documents are dealt into a few shards, each a set of tasks. If a phrase occurs ``support`` times in all, then
+The documents are dealt into a few shards, each a set of tasks; the fewer, the nearer the lowered support is to the whole
+one, and the fewer phrases pass that are not frequent. If a phrase occurs ``support`` times in all, then
 ``support / shards`` times in one of them at least, so each shard is mined completely at this lowered support, level by
 level: of the phrases of k words only those are counted whose two parts of k - 1 words are frequent in some shard. The
 locally frequent phrases of all shards are united, and a last pass over the texts counts them, all exactly. A shard is as
@@ -37,11 +38,11 @@ from xxhash import xxh64_intdigest
 from siltwork.llm.common import stored
 from siltwork.llm.langid import byte_columns
 
-LONGEST, SUPPORT, SHARDS, TOP = 4, 30, 8, 2000
+LONGEST, SUPPORT, SHARDS, TOP = 4, 30, 2, 2000
 #: Hundredths of a phrase's occurrences that a longer one must have to stand for it, and what scores are scaled by.
 STANDS_FOR, SCALE = 80, 2_000_000
 #: Bytes of text that are cut into words at once, and phrases whose counts a task holds before it sends them.
-CHUNK, HELD = 1 << 21, 1 << 21
+CHUNK, HELD = 1 << 19, 1 << 20
 #: Bits of a bitmap: so many a phrase, between these bounds (logarithms).
 BITS_A_PHRASE, LEAST_BITS, MOST_BITS = 16, 20, 28
 _BLOCK_BITS = 19
@@ -235,7 +236,7 @@ def _count(longest: int, parts: list[Broadcast]):
                 for i, n in zip(at[start].tolist(), np.diff(start, append=len(key)).tolist(), strict=True):
                     of = (lang, k, words.text(i, k))
                     counts[of] = counts.get(of, 0) + n
-            if len(counts) > HELD // 4:
+            if len(counts) > HELD // 2:
                 yield sent()
                 counts = {}
         yield sent()
