@@ -116,7 +116,12 @@ def learn(pages: DataFrame, *, pages_most: int = TEACHING_PAGES) -> np.ndarray:
             rows = [e for page in batch.column(0).to_pylist() for e in examples(page)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], names=["e"])
 
-    drawn = pages.where(F.col("html").isNotNull()).select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(pages_most).select("html")
+    # Only hashes are ranked; then the pages up to the last of the first ones are read, equal pages once.
+    hashed = pages.where(F.col("html").isNotNull()).select("html", F.xxhash64("html").alias("h"))
+    last = hashed.select("h").distinct().orderBy("h").limit(pages_most).agg(F.max("h")).first()[0]
+    if last is None:
+        return GIVEN
+    drawn = hashed.where(F.col("h") <= last).dropDuplicates(["h"]).orderBy("h").select("html")
     found = drawn.mapInArrow(run, "e array<double>").toArrow().column("e").combine_chunks()
     rows = found.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(GIVEN) + 1)
     return fit(rows[:, :-1], rows[:, -1]) if len(rows) else GIVEN

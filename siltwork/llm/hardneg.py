@@ -111,7 +111,7 @@ class Hunt:
         self.ids, self.marks, self.labels = (block.column(c).to_numpy().astype(np.int64) for c in ("id", "mark", "label"))
         self.x = matrix(block.column("c"), "<i8")
         self.norms, self.to = angles(self.x, refs)
-        self.low, self.high = (np.array(block.column(c).to_pylist(), np.int64).reshape(len(self.ids), -1) for c in ("low", "high"))
+        self.low, self.high = (np.array(block.column(c).to_pylist() or np.zeros((0, 1)), np.int64) for c in ("low", "high"))
         self.least = self.low.copy()
         self.group, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
         #: Pairs of tiles and anchors, all and those that were scored.
@@ -159,8 +159,10 @@ class Hunt:
 
 def _search(refs: np.ndarray, same: bool, k: int):
     def run(block: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not len(block.value):
+            return
         hunt = Hunt(block.value, same, k, refs)
-        for whole in batches if len(hunt.ids) else ():
+        for whole in batches:
             for lo in range(0, len(whole), STEP):
                 b = whole.slice(lo, STEP)
                 ids, labels, norms = (b.column(c).to_numpy() for c in ("id", "label", "norm"))
