@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.hashing import log_id
-from siltwork.sources.tables import append_partitioned_log
 
 MERGE_ACTIONS = ("merge_insert", "merge_update", "merge_delete")
 MAX_MESSAGE = 4000
@@ -35,19 +29,6 @@ def merge_entries(metrics: DataFrame, table: str, ts: str, *, run_id: str | None
     return _stamped(rows, ts, run_id)
 
 
-@dataclass
-class Audited:
-    rows: int = 0
-
-
-@contextmanager
-def audited(spark: SparkSession, log: str, table: str, action: str, ts: str, run_id: str | None = None) -> Iterator[Audited]:
-    """Logs the write in its body with its duration; a failure is logged and goes on."""
-    note, began = Audited(), time.monotonic()
-    took = lambda: int(1000 * (time.monotonic() - began))
-    try:
-        yield note
-    except Exception as error:
-        append_partitioned_log(entry(spark, table, action, note.rows, ts, status="failure", duration_ms=took(), error=error, run_id=run_id), log, "event_timestamp", "log")
-        raise
-    append_partitioned_log(entry(spark, table, action, note.rows, ts, duration_ms=took(), run_id=run_id), log, "event_timestamp", "log")
+def refresh_entry(spark: SparkSession, table: str, rows: int, ts: str) -> DataFrame:
+    """One row of the refresh log, which freshness is measured by."""
+    return spark.createDataFrame([(table, rows)], "object_fqn string, row_count long").withColumn("refreshed_at", F.lit(ts).cast("timestamp"))

@@ -29,12 +29,12 @@ def snapshot_as_changes(snapshot: DataFrame, version: int) -> DataFrame:
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int, exclude: Sequence[str] = ()) -> DataFrame:
-    """The change feed between two snapshots: one full outer join on the keys, rows compared by hash."""
+    """The change feed between two snapshots: one full outer join on the keys, NULL keys alike, rows compared by hash."""
     columns = new.columns
     business = [c for c in columns if c not in exclude]
     a = old.select(*[F.col(c).alias(f"_old_{c}") for c in columns], row_hash(business).alias("_old_hash"))
     b = new.select(*columns, row_hash(business).alias("_new_hash"))
-    on = [b[k] == a[f"_old_{k}"] for k in keys]
+    on = [b[k].eqNullSafe(a[f"_old_{k}"]) for k in keys]
     kind = F.when(F.col("_new_hash").isNull(), DELETE).when(F.col("_old_hash").isNull(), INSERT).when(F.col("_old_hash") != F.col("_new_hash"), UPDATE)
     both = b.join(a, on, "full_outer").withColumn(CHANGE_TYPE, kind).where(F.col(CHANGE_TYPE).isNotNull())
     gone = F.col(CHANGE_TYPE) == DELETE

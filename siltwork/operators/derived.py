@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.money import average, cents, total
+from siltwork.operators.deltas import on_keys, only
 from siltwork.operators.merge import apply_changes
 
 
@@ -48,12 +49,13 @@ def customer_sales(sales: DataFrame, customers: DataFrame, products: DataFrame)
 def recompute_changed_groups(base: DataFrame, current: DataFrame, changed: DataFrame, keys: Sequence[str], aggregate: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """current (an aggregate of an older base) after recomputing only the groups that changes touched.
 
-    A touched group without rows left goes. ``aggregate`` maps base rows to rows of current's columns.
+    A touched group without rows left goes; a NULL key is a group. ``aggregate`` maps base rows to rows of current's columns.
     """
     touched = changed.select(*keys).distinct()
-    fresh = aggregate(base.join(touched, list(keys), "left_semi"))
-    source = touched.join(fresh.withColumn("_alive", F.lit(True)), list(keys), "left")
-    return apply_changes(current, source, keys, F.col("_alive").isNull(), null_safe=False)
+    fresh = aggregate(only(base, touched, keys))
+    marks = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys], *[c for c in fresh.columns if c not in keys], F.lit(True).alias("_alive"))
+    source = touched.join(marks, on_keys(touched, marks, keys, "_new_"), "left")
+    return apply_changes(current, source, keys, F.col("_alive").isNull())
 
 
 def quality_kpis(flagged: DataFrame, by: Sequence[str], incomplete: str, at: str) -> DataFrame:

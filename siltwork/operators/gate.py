@@ -20,7 +20,7 @@ READ_AGAIN = ("has_no_outliers", "has_no_aggr_outliers", "sql_query")
 
 @dataclass(frozen=True)
 class Rule:
-    """One check. ``filter``: only rows where it holds can fail."""
+    """One check. ``filter``: only rows where it holds can fail. ``user_metadata``: labels that each of its failures carries."""
 
     name: str
     function: str
@@ -107,9 +107,10 @@ def quality_gate(df: DataFrame, rules: Sequence[Rule], *, refs: Mapping[str, Dat
         if r.filter:
             bad = bad & F.coalesce(F.expr(r.filter), F.lit(False))
         failed.append((r, bad))
-    error = lambda r: F.struct(F.lit(r.name).alias("name"), F.lit(r.message).alias("message"), F.array(*[F.lit(c) for c in r.columns]).cast("array<string>").alias("columns"), F.lit(r.function).alias("function"), F.lit(run_id).cast("string").alias("run_id"), F.lit(run_ts).cast("timestamp").alias("run_time"))
+    labels = lambda r: F.create_map(*[F.lit(str(x)) for kv in r.user_metadata.items() for x in kv]).cast("map<string,string>")
+    error = lambda r: F.struct(F.lit(r.name).alias("name"), F.lit(r.message).alias("message"), F.array(*[F.lit(c) for c in r.columns]).cast("array<string>").alias("columns"), F.lit(r.function).alias("function"), F.lit(run_id).cast("string").alias("run_id"), F.lit(run_ts).cast("timestamp").alias("run_time"), labels(r).alias("user_metadata"))
     items: list[Column] = [F.when(bad, error(r)) for r, bad in failed]
-    kind = "array<struct<name:string,message:string,columns:array<string>,function:string,run_id:string,run_time:timestamp>>"
+    kind = "array<struct<name:string,message:string,columns:array<string>,function:string,run_id:string,run_time:timestamp,user_metadata:map<string,string>>>"
     errors = F.filter(F.array(*items), lambda x: x.isNotNull()) if items else F.array()
     return GateResult(df.select(*columns, errors.cast(kind).alias(ERRORS)), columns, skipped)
 
@@ -170,7 +171,7 @@ def replay_quarantine(quarantine: DataFrame, rules: Sequence[Rule], target: Data
     own = [c for c in quarantine.columns if c != ERRORS and not c.startswith("_dq_")]
     last = quarantine_dedup(quarantine, keys).select(*own, "_dq_run_ts")
     now = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.col(at).alias("_at"))
-    fresh = last.join(now, [last[k] == now[f"_t_{k}"] for k in keys], "left").where(F.col("_at").isNull() | (F.col("_at") < F.col("_dq_run_ts")))
+    fresh = last.join(now, [last[k].eqNullSafe(now[f"_t_{k}"]) for k in keys], "left").where(F.col("_at").isNull() | (F.col("_at") < F.col("_dq_run_ts")))
     return quality_gate(fresh.select(*own), rules, **gate)
 
 

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from siltwork.functions.hashing import row_hash
 from siltwork.functions.money import cents
-from siltwork.operators import audit, changes, compare, conform, control, dataset_checks, derived, gate, merge, scd2
+from siltwork.operators import audit, changes, compare, conform, control, dataset_checks, deltas, derived, gate, merge, scd2
 from siltwork.plans.layers import ORDERS, Layers, gold_merge, history_feed, silver_merge
 from siltwork.sources import history as versions
 from siltwork.sources import tables
 from siltwork.sources.entities import SQL as ENTITIES
 from siltwork.sources.entities import frame, plain_sql, query
-from siltwork.sources.scratch import scratch_path
+from siltwork.sources.scratch import scratch_path, written
 from siltwork.streaming.incremental import incremental_apply
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,11 @@ PARTS = {
         FROM {{hist0}} h LEFT JOIN (SELECT order_id FROM {{actions}} WHERE action IN ('CHANGED', 'DELETED')) c ON h.order_id = c.order_id
         UNION ALL SELECT order_id, customer_name, status, amount, '{T1}', NULL, true, hash FROM {{actions}} WHERE action IN ('CHANGED', 'NEW')""",
     "merged": "SELECT order_id, customer_name, status, amount FROM {hist1} WHERE is_current",
+    # Transactions and positions after a day's changes: some go, some get another amount or none, some positions move to another owner.
+    "txn_after": """SELECT transaction_id, position_id, transaction_type, CASE WHEN CAST(substr(transaction_id, 5, 9) AS BIGINT) % 13 = 0 THEN NULL WHEN CAST(substr(transaction_id, 5, 9) AS BIGINT) % 11 = 0 THEN CAST(CAST(amount AS DECIMAL(18,2)) + 10.25 AS DOUBLE) ELSE amount END AS amount,
+        currency, trade_date FROM {txn} WHERE CAST(substr(transaction_id, 5, 9) AS BIGINT) % 7 <> 0""",
+    "position_after": """SELECT entity_master_position_id, CASE WHEN CAST(substr(asset_id, 5) AS BIGINT) % 13 = 0 THEN 'OWN-1' ELSE owner_id END AS owner_id, asset_id, status FROM {position} WHERE CAST(substr(asset_id, 5) AS BIGINT) % 17 <> 0""",
+    "ord_after": "SELECT order_id, customer_name, CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN 'lost' ELSE status END AS status, CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE amount END AS amount FROM {spoilt} WHERE o_orderkey % 11 <> 0",
     "sales": "SELECT o_custkey AS customer_id, l_partkey AS product_id, l_quantity AS quantity, l_extendedprice / l_quantity AS unit_price, CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * 100) AS BIGINT) AS c FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey",
     "regions": "SELECT c_custkey AS customer_id, r_name AS region FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey",
     "bad": """SELECT order_id, customer_name, status, amount, o_orderkey, r FROM (SELECT *, list_filter([
@@ -437,6 +442,23 @@ def recompute_changed_groups(spark, sf_dir):
     return derived.recompute_changed_groups(now, per(frame(spark, sf_dir, "ord")), frame(spark, sf_dir, "feed"), ["customer_name"], per)
 
 
+_KEY = "CAST(substr(transaction_id, 5, 9) AS BIGINT)"
+
+
+@register("delta_owner_exposure", f"SELECT owner_id, owner_name, txn_count, total_amount, avg_amount, CAST(last_trade_date AS STRING) AS last_trade_date FROM ({EXPOSURE})".replace("{txn}", "{txn_after}").replace("{position}", "{position_after}"))
+def delta_owner_exposure(spark, sf_dir):
+    """owner_exposure kept up by the signed changes of transactions and positions equals the table built anew."""
+    txn, position = frame(spark, sf_dir, "txn"), frame(spark, sf_dir, "position")
+    txn_after, position_after = query(spark, sf_dir, PARTS["txn_after"]), query(spark, sf_dir, PARTS["position_after"])
+    before = deltas.Exposure.of(txn, position)
+    before = deltas.Exposure(written(before.per_position, "state"), written(before.per_owner, "state"))
+    moved = f"{_KEY} % 7 = 0 OR {_KEY} % 11 = 0 OR {_KEY} % 13 = 0"
+    asset = "CAST(substr(asset_id, 5) AS BIGINT)"
+    other = f"{asset} % 13 = 0 OR {asset} % 17 = 0"
+    after, _ = before.after(deltas.signed(txn.where(moved), txn_after.where(moved)), txn_after, deltas.signed(position.where(other), position_after.where(other)), position, position_after)
+    return deltas.owner_exposure(after.per_owner, frame(spark, sf_dir, "owner")).withColumn("last_trade_date", F.col("last_trade_date").cast("string"))
+
+
 AUDIT = "SELECT event_type AS target_table, CAST(user_id AS STRING) AS run_id, count(*) AS row_count FROM {events} WHERE user_id % 3 <> 0 GROUP BY 1, 2"
 GATELOG = "SELECT event_type AS target_table, CAST(user_id AS STRING) AS run_id, count(*) AS rows_checked, count(CASE WHEN value >= 20 THEN 1 END) AS rows_passed, count(CASE WHEN value >= 20 THEN NULL ELSE 1 END) AS rows_quarantined FROM {events} GROUP BY 1, 2"
 #: Some writes had no gate, and some gates let nothing through to write.
@@ -460,6 +482,16 @@ def order_status_summary(spark, sf_dir):
     return derived.order_status_summary(scd2.current_rows(history1(spark, sf_dir)))
 
 
+@register("delta_order_status_summary", SUMMARY % "ord_after")
+def delta_order_status_summary(spark, sf_dir):
+    """The summary kept up by signed changes, groups that go, new ones and the NULL group too, equals the one built anew."""
+    before, after = query(spark, sf_dir, "SELECT order_id, customer_name, status, amount, o_orderkey FROM {spoilt}"), query(spark, sf_dir, PARTS["ord_after"].replace("SELECT ", "SELECT o_orderkey, ", 1))
+    state = deltas.state_of(before, deltas.STATUS, deltas.status_measures())
+    moved = "o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 OR o_orderkey % 19 = 0"
+    touched = deltas.folded(state, deltas.signed(before.where(moved), after.where(moved)), deltas.STATUS, deltas.status_measures())
+    return deltas.status_summary(deltas.replaced(state, touched, deltas.STATUS))
+
+
 @register("latest_flag", "SELECT CAST(user_id AS STRING) AS job_name, event_type AS key, arg_max(CAST(event_id AS STRING), (ts, CAST(event_id AS STRING))) AS value FROM {events} GROUP BY 1, 2")
 def latest_flag(spark, sf_dir):
     flags = frame(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("job_name"), F.col("event_type").alias("key"), F.col("event_id").cast("string").alias("value"), F.col("ts").alias("insertion_timestamp"))
@@ -575,29 +607,83 @@ CAP = 150000
 CAP_RULES = [gate.Rule("amount_cap", "sql_expression", {"expression": f"amount < {CAP}", "columns": ["amount"]})]
 
 
-def layered(spark, sf_dir) -> Layers:
+def layered(spark, sf_dir, *, first=(), gold=()) -> Layers:
     """The whole job over the orders and their feed: bootstrap, then one run of every layer."""
-    job = Layers(scratch_path(spark, "layers"))
+    job = Layers(scratch_path(spark, "layers"), gates={"gold": gold})
     tables.write_changes(frame(spark, sf_dir, "feed"), job.path("staging"))
-    job.bootstrap(spark, frame(spark, sf_dir, "ord"), 0, T0)
+    job.bootstrap(spark, frame(spark, sf_dir, "ord"), 0, T0, first)
     job.run(spark, 3, T1, CAP_RULES)
     return job
 
 
-LAYERED = f"""SELECT o.order_id, o.customer_name, o.status, CAST(o.amount AS DOUBLE) AS amount FROM {{ord}} o LEFT JOIN {{actions}} a ON o.order_id = a.order_id
-    WHERE a.action IS NULL OR a.action = 'UNCHANGED' OR (a.action = 'CHANGED' AND NOT a.amount < {CAP})
-    UNION ALL SELECT order_id, customer_name, status, CAST(amount AS DOUBLE) FROM {{actions}} WHERE action IN ('CHANGED', 'NEW') AND amount < {CAP}"""
+def kept_back(cap: int) -> str:
+    """Orders after the feed, where changed and new ones of the cap or more are as they were before."""
+    return f"""SELECT o.order_id, o.customer_name, o.status, CAST(o.amount AS DOUBLE) AS amount FROM {{ord}} o LEFT JOIN {{actions}} a ON o.order_id = a.order_id
+    WHERE a.action IS NULL OR a.action = 'UNCHANGED' OR (a.action = 'CHANGED' AND NOT a.amount < {cap})
+    UNION ALL SELECT order_id, customer_name, status, CAST(amount AS DOUBLE) FROM {{actions}} WHERE action IN ('CHANGED', 'NEW') AND amount < {cap}"""
+
+
+LAYERED = kept_back(CAP)
 
 
 @register("layered_run", LAYERED)
 def layered_run(spark, sf_dir):
     """Gold after the run: rows that the gate held back are as they were before."""
-    return tables.read_snapshot(spark, layered(spark, sf_dir).path("gold"))[0].select("order_id", "customer_name", "status", amount())
+    return layered(spark, sf_dir).table(spark, "gold").select("order_id", "customer_name", "status", amount())
+
+
+@register("layered_summary", (SUMMARY % "ord").replace("{ord}", f"({LAYERED})"))
+def layered_summary(spark, sf_dir):
+    """The derived table after the run, which signed changes brought there, equals one built from Gold."""
+    return layered(spark, sf_dir).table(spark, "summary")
 
 
 @register("layered_quarantine", f"SELECT order_id, status, CAST(amount AS DOUBLE) AS amount, 'amount_cap' AS rules FROM {{actions}} WHERE action IN ('CHANGED', 'NEW') AND NOT amount < {CAP}")
 def layered_quarantine(spark, sf_dir):
-    return rule_names(spark.read.parquet(layered(spark, sf_dir).path("quarantine"))).select("order_id", "status", amount(), "rules")
+    return rule_names(layered(spark, sf_dir).log(spark, "quarantine")).select("order_id", "status", amount(), "rules")
+
+
+@register("layered_bootstrap_quarantine", f"SELECT order_id, status, CAST(amount AS DOUBLE) AS amount, 'amount_cap' AS rules, 'bootstrap' AS label FROM {{ord}} WHERE NOT amount < {CAP}")
+def layered_bootstrap_quarantine(spark, sf_dir):
+    """What the first load's gate before Silver keeps back."""
+    job = Layers(scratch_path(spark, "layers"))
+    job.bootstrap(spark, frame(spark, sf_dir, "ord"), 0, T0, CAP_RULES)
+    return rule_names(job.log(spark, "quarantine")).select("order_id", "status", amount(), "rules", F.col("_dq_label").alias("label"))
+
+
+TAX_CAP = 160000
+TAX_RULES = [gate.Rule("tax_cap", "sql_expression", {"expression": f"total_tax_amount < {TAX_CAP}", "columns": ["total_tax_amount"]}, user_metadata={"owner": "finance"})]
+
+
+@register("gold_quarantine", f"""SELECT order_id, status, CAST(amount AS DOUBLE) AS amount, 'bootstrap' AS label, 'finance' AS asked_by FROM {{ord}} WHERE NOT CAST(amount AS DOUBLE) * 1.18 < {TAX_CAP}
+    UNION ALL SELECT order_id, status, CAST(amount AS DOUBLE), 'incremental', 'finance' FROM {{actions}} WHERE action IN ('CHANGED', 'NEW') AND amount < {CAP} AND NOT CAST(amount AS DOUBLE) * 1.18 < {TAX_CAP}""")
+def gold_quarantine(spark, sf_dir):
+    """What the gate before Gold keeps back, on the first load and of the changes that Silver let pass; each failure carries its rule's labels."""
+    rows = layered(spark, sf_dir, gold=TAX_RULES).log(spark, "quarantine_gold")
+    return rows.select("order_id", "status", amount(), F.col("_dq_label").alias("label"), F.col(gate.ERRORS)[0]["user_metadata"]["owner"].alias("asked_by"))
+
+
+@register("layered_audit", f"""SELECT table_name, action, CAST(row_count AS BIGINT) AS row_count, 'success' AS status FROM (
+    SELECT 'bronze.orders' AS table_name, 'bootstrap' AS action, count(*) AS row_count FROM {{ord}} UNION ALL SELECT 'silver.orders', 'bootstrap', count(*) FROM {{ord}} UNION ALL SELECT 'gold.orders', 'bootstrap', count(*) FROM {{ord}}
+    UNION ALL SELECT 'bronze.orders', 'scd2', sum(CASE action WHEN 'CHANGED' THEN 2 WHEN 'UNCHANGED' THEN 0 ELSE 1 END) FROM {{actions}}
+    UNION ALL SELECT t || '.orders', 'merge_' || k, count(CASE WHEN action = a AND (action = 'DELETED' OR amount < {CAP}) THEN 1 END) FROM {{actions}}, (VALUES ('insert', 'NEW'), ('update', 'CHANGED'), ('delete', 'DELETED')) m(k, a), (VALUES ('silver'), ('gold')) l(t) GROUP BY t, k)""")
+def layered_audit(spark, sf_dir):
+    """The audit log of a first load and a run: rows of each write, three rows for each merge."""
+    return layered(spark, sf_dir).log(spark, "audit_log").select("table_name", "action", "row_count", "status")
+
+
+RAISED_CAP = 250000
+RAISED_RULES = [gate.Rule("amount_cap", "sql_expression", {"expression": f"amount < {RAISED_CAP}", "columns": ["amount"]})]
+
+
+@register("replayed_run", kept_back(RAISED_CAP))
+def replayed_run(spark, sf_dir):
+    """Gold after quarantined rows have been replayed under a raised cap: once each, however often the replay runs."""
+    job = layered(spark, sf_dir)
+    for ts in (T2, "2024-03-02 00:00:00"):
+        job.run_replay(spark, ts, RAISED_RULES)
+        job.run_gold(spark, ts)
+    return job.table(spark, "gold").select("order_id", "customer_name", "status", amount())
 
 
 @register("audit_log", """SELECT 'gold.orders' AS table_name, 'merge_' || lower(a.action) AS action, count(m.action) AS row_count, 'success' AS status FROM (VALUES ('INSERT'), ('UPDATE'), ('DELETE')) a(action) LEFT JOIN

@@ -17,36 +17,37 @@ from siltwork.sources import tables
 VERSION = "v"
 
 
-def create(rows: DataFrame, path: str) -> int:
+def create(rows: DataFrame, path: str, version: int | None = None, *, redo: bool = False) -> int:
     """The first version: every row is opened."""
-    return tables.write_version(rows.withColumn(KIND, F.lit(OPENED)), path, partition_by=[KIND])
+    return tables.write_version(rows.withColumn(KIND, F.lit(OPENED)), path, version, partition_by=[KIND], redo=redo)
 
 
-def append(tagged: DataFrame, path: str, version: int | None = None) -> int:
+def append(tagged: DataFrame, path: str, version: int | None = None, *, redo: bool = False) -> int:
     """A run's rows with their kinds as the next version."""
-    return tables.write_version(tagged, path, version, partition_by=[KIND])
+    return tables.write_version(tagged, path, version, partition_by=[KIND], redo=redo)
 
 
-def _rows(spark: SparkSession, path: str, version: int | None) -> tuple[DataFrame, int]:
+def _rows(spark: SparkSession, path: str, after: int | None, version: int | None) -> tuple[DataFrame, int]:
+    """(rows of the versions in (after, version], version); other folders are not listed."""
     done = tables.versions(spark, path)
     n = max(done) if version is None else version
-    return spark.read.option("basePath", path).parquet(*[f"{path}/v={k}" for k in done if k <= n]), n
+    wanted = [k for k in done if k <= n and (after is None or k > after)]
+    return spark.read.option("basePath", path).parquet(*[f"{path}/v={k}" for k in wanted or [n]]), n
 
 
 def current(spark: SparkSession, path: str, version: int | None = None) -> tuple[DataFrame, int]:
     """(current rows, version): only that version's folder is read."""
-    done = tables.versions(spark, path)
-    n = max(done) if version is None else version
+    n = max(tables.versions(spark, path)) if version is None else version
     return spark.read.parquet(f"{path}/v={n}").where(F.col(KIND) != CLOSED).drop(KIND), n
 
 
 def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The whole history at a version."""
-    rows, n = _rows(spark, path, version)
+    rows, n = _rows(spark, path, None, version)
     return rows.where((F.col(KIND) == CLOSED) | (F.col(VERSION) == n)).drop(KIND, VERSION)
 
 
 def changes(spark: SparkSession, path: str, from_version: int, to_version: int) -> DataFrame:
     """Rows that the versions in (from, to] opened or closed, with the version as ``v``."""
-    rows, _ = _rows(spark, path, to_version)
+    rows, _ = _rows(spark, path, from_version, to_version)
     return rows.where((F.col(VERSION) > from_version) & F.col(KIND).isin(OPENED, CLOSED)).drop(KIND)

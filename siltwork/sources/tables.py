@@ -28,15 +28,15 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(n for n, finished in numbered(spark, path).items() if finished)
 
 
-def write_version(df: DataFrame, path: str, version: int | None = None, *, partition_by: Sequence[str] = ()) -> int:
+def write_version(df: DataFrame, path: str, version: int | None = None, *, partition_by: Sequence[str] = (), redo: bool = False) -> int:
     """df as a new version beside the older ones; a finished version is never touched.
 
     A new number is above every folder's, also those that a crash left half-written; a given number's half-written
-    folder is written anew.
+    folder is written anew. redo: so is a finished one, of a run that never became visible.
     """
     there = numbered(df.sparkSession, path)
     n = max(there, default=-1) + 1 if version is None else version
-    if there.get(n):
+    if there.get(n) and not redo:
         raise ValueError(f"version {n} of {path} is finished")
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/v={n}")
     return n
