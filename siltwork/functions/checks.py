@@ -314,16 +314,57 @@ def has_json_keys(column: str, keys: Sequence[str], require_all: bool = True) ->
     return F.col(column).isNotNull() & ~F.coalesce(ok, F.lit(False))
 
 
+_NUMBERS = r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$"
+
+
+def _step(name: str) -> str:
+    return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
+def _misfits(v: Column, kind: T.DataType, path: str) -> list[tuple[str, Column]]:
+    """(path, whether it is not of its type) of a present JSON value and all that it holds; ``[*]`` stands for any item."""
+    has = F.schema_of_variant(v)
+    if isinstance(kind, T.StructType):
+        out = [(path, ~has.startswith("OBJECT"))]
+        for f in kind.fields:
+            inner = F.try_variant_get(v, _step(f.name), "variant")
+            there, at = inner.isNotNull() & ~F.coalesce(F.is_variant_null(inner), F.lit(True)), f"{path}.{f.name}"
+            if not f.nullable:
+                out.append((f"{at} (missing)", has.startswith("OBJECT") & ~there))
+            out += [(p, there & bad) for p, bad in _misfits(inner, f.dataType, at)]
+        return out
+    if isinstance(kind, T.ArrayType | T.MapType):
+        array = isinstance(kind, T.ArrayType)
+        of, required, start = (kind.elementType, not kind.containsNull, "ARRAY") if array else (kind.valueType, not kind.valueContainsNull, "OBJECT")
+        items = F.try_variant_get(v, "$", "array<variant>") if array else F.map_values(F.try_variant_get(v, "$", "map<string,variant>"))
+        none = lambda i: F.coalesce(F.is_variant_null(i), F.lit(True))
+        any_ = lambda bad: F.coalesce(F.exists(items, bad), F.lit(False))
+        out = [(path, ~has.startswith(start))]
+        if required:
+            out.append((f"{path}[*] (missing)", any_(none)))
+        names = [p for p, _ in _misfits(v, of, f"{path}[*]")]
+        nth = lambda n: lambda i: ~none(i) & _misfits(i, of, path)[n][1]
+        return out + [(p, any_(nth(n))) for n, p in enumerate(names)]
+    if isinstance(kind, T.StringType):
+        return []  # any value has a text
+    if isinstance(kind, T.BooleanType):
+        return [(path, has != "BOOLEAN")]
+    whole = isinstance(kind, T.IntegralType)
+    fits = (has == "BIGINT") if whole else has.rlike(_NUMBERS) if isinstance(kind, T.NumericType) else (has == "STRING")
+    return [(path, ~fits | F.try_variant_get(v, "$", kind.simpleString()).isNull())]
+
+
+def json_misfits(column: str, schema: str | T.StructType) -> Column:
+    """The paths at which a JSON text does not fit a schema, from ``$``; empty for one that fits and for NULL."""
+    want = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    c = F.col(column)
+    v = F.try_parse_json(c)
+    found = [("$", v.isNull()), *((p, v.isNotNull() & bad) for p, bad in _misfits(v, want, "$"))]
+    paths = F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(p)) for p, bad in found]), lambda x: x.isNotNull())
+    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(paths)
+
+
 @check
 def has_valid_json_schema(column: str, schema: str) -> Column:
-    """schema: DDL; a NOT NULL field must be there. A field that the text has but that parses to null has another type."""
-    fields = T.StructType.fromDDL(schema)
-    c = F.col(column)
-    parsed = F.from_json(c, re.sub(r"(?i)\s+not\s+null", "", schema), {"mode": "PERMISSIVE"})
-    bad = F.try_parse_json(c).isNull()
-    for f in fields:
-        text = F.get_json_object(c, f"$.{f.name}")
-        bad = bad | (text.isNotNull() & (text != "null") & parsed[f.name].isNull())
-        if not f.nullable:
-            bad = bad | parsed[f.name].isNull()
-    return c.isNotNull() & bad
+    """schema: DDL with structs, arrays and maps at any depth; a NOT NULL field must be there, and what is there must be of its type."""
+    return F.size(json_misfits(column, schema)) > 0

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltwork.functions.checks import differs
-from siltwork.operators.dataset_checks import aggregate
+from siltwork.operators.dataset_checks import aggregated
 
 
 def compare_datasets(
@@ -37,9 +37,9 @@ def compare_datasets(
 
 def aggr_matches_dataset(df: DataFrame, ref: DataFrame, column: str, ref_column: str | None = None, *, aggr_type: str = "count", group_by: Sequence[str] = (), ref_group_by: Sequence[str] | None = None, abs_tolerance: float | None = None, rel_tolerance: float | None = None) -> DataFrame:
     """(group, value, ref_value) of the groups where the same aggregate of two tables differs or is missing in one."""
-    a = df.groupBy(*group_by).agg(aggregate(aggr_type, column).alias("value"))
+    a = aggregated(df, list(group_by), aggr_type, column, "value")
     names = list(ref_group_by or group_by)
-    b = ref.groupBy(*[F.col(r).alias(f"_ref_{k}") for k, r in zip(group_by, names, strict=True)]).agg(aggregate(aggr_type, ref_column or column).alias("ref_value"))
+    b = aggregated(ref.withColumns({f"_ref_{k}": F.col(r) for k, r in zip(group_by, names, strict=True)}), [f"_ref_{k}" for k in group_by], aggr_type, ref_column or column, "ref_value")
     if not group_by:  # two rows
         a, b, on = a.withColumn("_one", F.lit(1)), b.withColumn("_two", F.lit(1)), [F.col("_one") == F.col("_two")]
     else:

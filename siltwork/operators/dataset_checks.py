@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -21,13 +22,65 @@ def check(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 
 def aggregate(aggr_type: str, column: str) -> Column:
-    """One of count, count_distinct, sum, avg, min, max, stddev, median over a column or ``*``."""
+    """One of count, count_distinct, sum, avg, min, max, stddev over a column or ``*``; medians are no plain aggregate here (``aggregated``)."""
     if column == "*":
         return F.count("*")
-    kinds = {"count": F.count, "count_distinct": F.countDistinct, "sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "stddev": F.stddev, "median": F.median}
+    kinds = {"count": F.count, "count_distinct": F.countDistinct, "sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "stddev": F.stddev}
     return kinds[aggr_type](F.expr(column))
 
 
+def _histogram(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """(keys, _x, _n): each group's different values; NULL and NaN are none."""
+    rows = df.select(*keys, value.cast("double").alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    return rows.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
+
+
+def _middles(histogram: DataFrame, keys: Sequence[str], into: str) -> DataFrame:
+    """(keys, into): the median of each group of a histogram, by rank selection.
+
+    The different values are put in order over all tasks, by group and value, so a large group lies in many partitions.
+    A row for each group and partition tells how many values come before it, and so which one or two partitions hold the
+    group's middle ranks; only these slices are counted through. No task sees all values of a group, nor of the table.
+    """
+    ranged = histogram.repartitionByRange(*keys, "_x").withColumn("_p", F.spark_partition_id())
+    ranged = written(ranged, "ranks")  # the numbers of partitions hold for all that follows
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = F.coalesce(F.sum("_m").over(group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = ranged.groupBy(*keys, "_p").agg(F.sum("_n").alias("_m"))
+    sizes = sizes.withColumns({"_before": before, "_total": F.sum("_m").over(group)})
+    sizes = sizes.withColumns({"_low": F.expr("(_total - 1) div 2"), "_high": F.expr("_total div 2")})
+    wanted = sizes.where((F.col("_before") <= F.col("_high")) & (F.col("_before") + F.col("_m") > F.col("_low")))
+    wanted = wanted.select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_p").alias("_w_p"), "_before", "_low", "_high")
+    slices = ranged.join(wanted, [ranged["_p"] == wanted["_w_p"], *[ranged[k].eqNullSafe(wanted[f"_w_{k}"]) for k in keys]])
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_p").orderBy("_x"))
+    placed = slices.withColumn("_upto", upto)
+    at = lambda rank: F.max(F.when((F.col("_upto") > F.col(rank)) & (F.col("_upto") - F.col("_n") <= F.col(rank)), F.col("_x")))
+    return placed.groupBy(*keys).agg(((at("_low") + at("_high")) / 2).alias(into))
+
+
+def medians(df: DataFrame, keys: Sequence[str], column: str | Column, into: str = "_value") -> DataFrame:
+    """(keys, into): exact medians of groups, NULL keys too; a group without values has NULL."""
+    value = F.expr(column) if isinstance(column, str) else column
+    found = _middles(_histogram(df, keys, value), keys, into)
+    if not keys:
+        return found
+    groups = df.select(*[F.col(k).alias(f"_g_{k}") for k in keys]).distinct()
+    return groups.join(found, [groups[f"_g_{k}"].eqNullSafe(found[k]) for k in keys], "left").select(*[F.col(f"_g_{k}").alias(k) for k in keys], into)
+
+
+def exact_median(values: DataFrame, column: str) -> float | None:
+    """The median of a column, nulls and NaN left out; of an even number of values the mean of the middle two, which for two infinities of unlike sign is NaN."""
+    found = _middles(_histogram(values, [], F.col(column)), [], "m").first()
+    return found[0] if found else None
+
+
+def aggregated(df: DataFrame, keys: Sequence[str], aggr_type: str, column: str, into: str = "_value") -> DataFrame:
+    """(keys, into): an aggregate of groups, or one row without keys."""
+    if aggr_type == "median" and column != "*":
+        return medians(df, keys, column, into)
+    return df.groupBy(*keys).agg(aggregate(aggr_type, column).alias(into))
+
+
 def _marked(df: DataFrame, bad: DataFrame, keys: Sequence[str], into: str, *, null_safe: bool = True) -> DataFrame:
     """df with ``into`` true on the rows whose keys are in bad (keys, distinct)."""
     marks = bad.select(*[F.col(k).alias(f"_bad_{k}") for k in keys]).withColumn("_bad", F.lit(True))
@@ -59,10 +112,9 @@ def foreign_key(df: DataFrame, into: str, columns: Sequence[str], ref: DataFrame
 
 
 def _aggregated(df: DataFrame, into: str, column: str, aggr_type: str, group_by: Sequence[str] | None, fails: Callable[[Column], Column]) -> DataFrame:
-    value = aggregate(aggr_type, column)
+    groups = aggregated(df, list(group_by or ()), aggr_type, column)
     if not group_by:  # one row: a value that the plan reads once, no join
-        return df.withColumn(into, df.agg(F.coalesce(fails(value), F.lit(False))).scalar())
-    groups = df.groupBy(*group_by).agg(value.alias("_value"))
+        return df.withColumn(into, F.coalesce(groups.agg(F.first(F.coalesce(fails(F.col("_value")), F.lit(False)))).scalar(), F.lit(False)))
     return _marked(df, groups.where(fails(F.col("_value"))), list(group_by), into)
 
 
@@ -86,56 +138,16 @@ def is_aggr_not_equal(df: DataFrame, into: str, column: str, limit: float, aggr_
     return _aggregated(df, into, column, aggr_type, group_by, lambda v: ~differs(v, F.lit(limit), abs_tolerance, rel_tolerance))
 
 
-#: Values between the bounds of a median that are sorted at once.
-FEW_VALUES = 10_000
-
-
-def exact_median(values: DataFrame, column: str) -> float | None:
-    """The median of a column, nulls and NaN left out; exact, without one task that sees all values.
-
-    Each round sketches the quantiles of what lies between two bounds, counts what lies below them, and takes narrower
-    bounds, until few values are left between them: two rounds for millions of rows, three for trillions.
-    """
-    x = F.col(column).cast("double")
-    rows = values.select(x.alias("x")).where(x.isNotNull() & ~F.isnan(x))
-    n = rows.count()
-    if not n:
-        return None
-    ranks, low, high, below = ((n - 1) // 2, n // 2), None, None, 0
-    inside, left = rows, n
-    while left > FEW_VALUES:
-        at = [(ranks[0] - below) / left - 0.001, (ranks[1] - below) / left + 0.001]
-        a, b = inside.agg(F.percentile_approx("x", [max(at[0], 0.0), min(at[1], 1.0)], 10_000)).first()[0]
-        under, between = rows.agg(F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, b))).first()
-        if a == b or not under <= ranks[0] <= ranks[1] < under + between or between >= left:
-            if a == b and under <= ranks[0] <= ranks[1] < under + between:
-                return float(a)  # one value that occurs often
-            a, b = (low, high) if low is not None else rows.agg(F.min("x"), F.max("x")).first()
-            middle = a + (b - a) / 2  # the sketch did not narrow: halve
-            under, between = rows.agg(F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, middle))).first()
-            if ranks[1] < under + between:
-                b = middle
-            elif ranks[0] >= under + between:
-                under += between
-                a = rows.where(F.col("x") > middle).agg(F.min("x")).first()[0]
-                between = rows.agg(F.count_if(F.col("x").between(a, b))).first()[0]
-            else:  # the two middle values are on either side
-                return (rows.where(F.col("x") <= middle).agg(F.max("x")).first()[0] + rows.where(F.col("x") > middle).agg(F.min("x")).first()[0]) / 2
-            if a == b:
-                return float(a)
-        low, high, below, left = a, b, under, between
-        inside = rows.where(F.col("x").between(low, high))
-    found = sorted(r[0] for r in inside.collect())
-    return (found[ranks[0] - below] + found[ranks[1] - below]) / 2
-
-
 @check
 def has_no_outliers(df: DataFrame, into: str, column: str, threshold: float = 3.5) -> DataFrame:
     """Modified z-score ``0.6745 * |x - median| / MAD`` over the threshold, by exact medians."""
-    values = written(df.select(F.col(column).cast("double").alias("x")), "outliers")
-    m = exact_median(values, "x")
-    mad = None if m is None else exact_median(values.select(F.abs(F.col("x") - m).alias("x")), "x")
-    if not mad:
+    counts = written(_histogram(df, [], F.col(column)), "outliers")
+    m = _middles(counts, [], "m").first()
+    # Deviations come from the different values, not from the rows again.
+    off = None if m is None else counts.select(F.abs(F.col("_x") - m[0]).alias("_x"), "_n").where(~F.isnan("_x")).groupBy("_x").agg(F.sum("_n").alias("_n"))
+    mad = None if off is None else _middles(off, [], "m").first()
+    m, mad = (None if r is None else r[0] for r in (m, mad))
+    if not mad or not (math.isfinite(m) and math.isfinite(mad)):  # no spread, or none that can be measured
         return df.withColumn(into, F.lit(False))
     return df.withColumn(into, F.coalesce(0.6745 * F.abs(F.col(column) - m) / mad > threshold, F.lit(False)))
 
@@ -149,7 +161,7 @@ def has_no_aggr_outliers(
     The window without a partition is over one row for each bucket.
     """
     bucket = F.date_trunc(time_interval, F.col(time_column).cast("timestamp"))
-    buckets = df.where(F.col(time_column).isNotNull()).groupBy(bucket.alias("_bucket")).agg(aggregate(aggr_type, column).alias("_value"))
+    buckets = aggregated(df.where(F.col(time_column).isNotNull()).withColumn("_bucket", bucket), ["_bucket"], aggr_type, column)
     before = Window.orderBy("_bucket").rowsBetween(-lookback_num_intervals, -1)
     base = buckets.withColumns({"_mean": F.avg("_value").over(before), "_sd": F.stddev("_value").over(before), "_n": F.count("_value").over(before)})
     bad = base.where((F.col("_n") >= warmup_num_intervals) & (F.abs(F.col("_value") - F.col("_mean")) > sigma * F.col("_sd")))
@@ -215,6 +227,28 @@ def sql_query(df: DataFrame, into: str, query: str, condition_column: str, merge
     return _marked(df, bad.select(*merge_columns).distinct(), list(merge_columns), into)
 
 
+#: Rows of a code table up to which it is broadcast.
+BROADCAST_CODES = 100_000
+
+
+@check
+def is_valid_code(df: DataFrame, into: str, column: str, ref: DataFrame, code_column: str, country_column: str | None = None, ref_country_column: str | None = None, case_sensitive: bool = True) -> DataFrame:
+    """Rows whose code is not in a code table, or is there under another country than the row's; NULL codes and countries pass.
+
+    The table is counted first: up to BROADCAST_CODES rows it goes to the rows, a larger one is joined by a shuffle.
+    """
+    fold = (lambda c: c) if case_sensitive else F.lower
+    parts = [(column, code_column), *([(country_column, ref_country_column)] if country_column else [])]
+    codes = ref.select(*[fold(F.col(r).cast("string")).alias(f"_code{i}") for i, (_, r) in enumerate(parts)]).dropna().distinct().withColumn("_there", F.lit(True))
+    if codes.count() <= BROADCAST_CODES:
+        codes = F.broadcast(codes)
+    known = F.lit(True)
+    for c, _ in parts:
+        known = known & F.col(c).isNotNull()
+    found = df.join(codes, [fold(F.col(c).cast("string")) == F.col(f"_code{i}") for i, (c, _) in enumerate(parts)], "left")
+    return found.withColumn(into, F.col("_there").isNull() & known).drop("_there", *[f"_code{i}" for i in range(len(parts))])
+
+
 @check
 def dup_over_partition(df: DataFrame, into: str, columns: Sequence[str]) -> DataFrame:
     """``count(*) over (partition by ...) > 1``, written as a group of the keys and a join back."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.functions.checks import fails
-from siltwork.operators import dataset_checks
+from siltwork.operators import compare, dataset_checks
 from siltwork.plans.queries import ORACLE_SQL, QUERIES, oracle, register
 from siltwork.sources.entities import frame, query
 
@@ -21,6 +21,10 @@ INPUTS = {
         CASE WHEN o_orderkey % 29 = 0 THEN '12:00' WHEN o_orderkey % 31 = 0 THEN NULL ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING), ' 10:11:12') END AS time_text FROM {orders}""",
     "ships": "SELECT l_orderkey * 10 + l_linenumber AS id, CAST(l_shipdate AS DATE) AS shipped, CAST(o_orderdate AS DATE) AS ordered FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey",
     "events": "SELECT event_id AS id, ts, props, CASE WHEN event_id % 11 = 0 THEN 'no json' WHEN event_id % 13 = 0 THEN '{{\"z\": 1}}' WHEN event_id % 17 = 0 THEN NULL ELSE props END AS doc FROM {events}",
+    "nested": """SELECT event_id AS id, CASE event_id % 9 WHEN 0 THEN concat('{{"a": {{"b": ', CAST(user_id AS STRING), '}}, "c": [{{"d": 2.5}}, {{"d": 1, "e": "x"}}], "m": {{"k": true}}}}') WHEN 1 THEN '{{"a": {{"b": "x"}}, "c": []}}' WHEN 2 THEN '{{"a": {{}}, "c": []}}'
+        WHEN 3 THEN '{{"a": {{"b": 1}}, "c": [{{"d": 1}}, {{"d": true}}]}}' WHEN 4 THEN '{{"a": {{"b": 1}}, "c": [{{"e": "no d"}}]}}' WHEN 5 THEN '{{"c": [{{"d": 0}}], "m": {{"k": 1}}}}' WHEN 6 THEN '{{"a": null, "c": [null], "more": [1, {{}}]}}' WHEN 7 THEN '{{"a": {{"b": 5000000000}}, "c": 7}}' ELSE concat('{{"c": [], "a": {{"b": ', CAST(event_id AS STRING)) END AS doc FROM {events}""",
+    "places": """SELECT c_custkey AS id, concat(substr(r_name, 1, 2), '-', CASE WHEN c_custkey % 5 = 0 THEN 'ZZZ' WHEN c_custkey % 7 = 0 THEN lower(substr(n_name, 1, 3)) ELSE substr(n_name, 1, 3) END) AS subdivision, CASE WHEN c_custkey % 11 = 0 THEN 'QQ' WHEN c_custkey % 13 = 0 THEN NULL ELSE substr(r_name, 1, 2) END AS country,
+        lpad(CAST(c_nationkey * 4 + c_custkey % 3 AS STRING), 3, '0') AS number FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
     "people": """SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN concat('user', CAST(c_custkey AS STRING), '@example.com') WHEN 1 THEN concat('user', CAST(c_custkey AS STRING), '.example.com') WHEN 2 THEN 'a@b' END AS email,
         CASE c_custkey % 3 WHEN 0 THEN concat('123e4567-e89b-12d3-a456-', lpad(CAST(c_custkey AS STRING), 12, '0')) WHEN 1 THEN concat('123e4567-e89b-92d3-c456-', lpad(CAST(c_custkey AS STRING), 12, '0')) ELSE 'none' END AS uuid,
         CASE c_custkey % 4 WHEN 0 THEN concat('123-45-', lpad(CAST(1 + c_custkey % 9999 AS STRING), 4, '0')) WHEN 1 THEN '000-12-3456' WHEN 2 THEN '12-345-6789' END AS ssn,
@@ -80,6 +84,7 @@ ROW: list[tuple[str, str, dict[str, Any], str]] = [
     ("has_json_keys", "events", {"column": "doc", "keys": ["k"]}, "doc IS NOT NULL AND NOT (json_valid(doc) AND doc <> '{{\"z\": 1}}')"),
     ("is_valid_ipv6_address", "people", {"column": "ip6"}, "id % 4 = 2"),
     ("is_ipv6_address_in_cidr", "people", {"column": "ip6", "cidr_block": "2001:db8::/32"}, "id % 4 IN (1, 2)"),
+    ("has_valid_json_schema__nested", "nested", {"column": "doc", "schema": "a STRUCT<b: INT NOT NULL>, c ARRAY<STRUCT<d: DOUBLE NOT NULL, e: STRING>> NOT NULL, m MAP<STRING, BOOLEAN>"}, "id % 9 NOT IN (0, 6)"),
     ("has_valid_json_schema", "events", {"column": "doc", "schema": "k BIGINT NOT NULL"}, "doc IS NOT NULL AND NOT (json_valid(doc) AND doc <> '{{\"z\": 1}}')"),
 ]
 
@@ -153,6 +158,41 @@ def is_aggr_not_equal(spark, sf_dir):
     return dataset_checks.is_aggr_not_equal(_events(spark, sf_dir), "failed", "event_id", 66, "count", ["user_id"], abs_tolerance=5).select("event_id", "failed")
 
 
+@register("is_aggr_not_greater_than__median", "SELECT event_id, m > 50 AS failed FROM {events} JOIN (SELECT user_id AS u, median(value) AS m FROM {events} GROUP BY 1) ON user_id = u")
+def is_aggr_not_greater_than_median(spark, sf_dir):
+    """Exact medians of groups by rank selection."""
+    return dataset_checks.is_aggr_not_greater_than(frame(spark, sf_dir, "events").select("event_id", "user_id", "value"), "failed", "value", 50, "median", ["user_id"]).select("event_id", "failed")
+
+
+@register("is_aggr_not_less_than__median", "SELECT l_orderkey, l_linenumber, l_partkey, m < 30000 AS failed FROM {lineitem}, (SELECT median(l_extendedprice) AS m FROM {lineitem})")
+def is_aggr_not_less_than_median(spark, sf_dir):
+    rows = frame(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return dataset_checks.is_aggr_not_less_than(rows, "failed", "l_extendedprice", 30000, "median").drop("l_extendedprice")
+
+
+@register("aggr_matches_dataset__median", "SELECT coalesce(a.user_id, b.user_id) AS user_id, a.m AS value, b.m AS ref_value FROM (SELECT user_id, median(value) AS m FROM {events} GROUP BY 1) a FULL JOIN (SELECT user_id, median(value) AS m FROM {events} WHERE event_id % 7 <> 0 GROUP BY 1) b ON a.user_id = b.user_id WHERE a.m IS DISTINCT FROM b.m")
+def aggr_matches_dataset_median(spark, sf_dir):
+    rows = frame(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return compare.aggr_matches_dataset(rows, rows.where("event_id % 7 <> 0"), "value", aggr_type="median", group_by=["user_id"])
+
+
+#: A code table: each nation's letters under its region's, and numbers.
+CODES = "SELECT substr(r_name, 1, 2) AS country, concat(substr(r_name, 1, 2), '-', substr(n_name, 1, 3)) AS subdivision, lpad(CAST(n_nationkey * 4 AS STRING), 3, '0') AS number FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"
+
+
+@register("is_valid_code__subdivision", f"SELECT p.id, country IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ({CODES}) c WHERE c.subdivision = p.subdivision AND c.country = p.country) AS failed FROM ({INPUTS['places']}) p")
+def is_valid_code_subdivision(spark, sf_dir):
+    """Subdivisions by a code table, with the row's country."""
+    rows = dataset_checks.is_valid_code(query(spark, sf_dir, INPUTS["places"]), "failed", "subdivision", query(spark, sf_dir, CODES), "subdivision", "country", "country")
+    return rows.select("id", "failed")
+
+
+@register("is_valid_code__numeric", f"SELECT p.id, p.number NOT IN (SELECT number FROM ({CODES})) AS failed FROM ({INPUTS['places']}) p")
+def is_valid_code_numeric(spark, sf_dir):
+    """Numeric codes by a code table."""
+    return dataset_checks.is_valid_code(query(spark, sf_dir, INPUTS["places"]), "failed", "number", query(spark, sf_dir, CODES), "number").select("id", "failed")
+
+
 @register("has_no_outliers", "SELECT l_orderkey, l_linenumber, l_partkey, 0.6745 * abs(l_extendedprice - m) / mad > 1.5 AS failed FROM {lineitem}, (SELECT m, median(abs(l_extendedprice - m)) AS mad FROM {lineitem}, (SELECT median(l_extendedprice) AS m FROM {lineitem}) GROUP BY m)")
 def has_no_outliers(spark, sf_dir):
     return dataset_checks.has_no_outliers(frame(spark, sf_dir, "lineitem"), "failed", "l_extendedprice", 1.5).select("l_orderkey", "l_linenumber", "l_partkey", "failed")
