@@ -3,15 +3,18 @@
 A source's documents, in the order of a hash, are cut into blocks. With a share a/d of the slots, block k of a
 source (from 0) is released at slot ``floor(k * d / a)`` and due by slot ``ceil((k + 1) * d / a)``; in each slot
 the released block with the earliest deadline goes first. Shares are whole numbers over d, so releases and
-deadlines repeat every d slots: one period is scheduled (an aggregate over d slots, whose size is a parameter)
-and every block finds its slot by its number in its period, ``period * d + slot``, by a join with d rows. As long
-as every source lasts, each has had its target number of blocks at any slot, to less than one block. What a source
-has beyond keeps its slots; the slots of one that has run out stay empty.
+deadlines repeat every d slots: one period is scheduled and every block finds its slot by its number in its period,
+``period * d + slot``, by a join with d rows. As long as every source lasts, each has had its share of the blocks at
+any slot, to less than one block. What a source has beyond keeps its slots; the slots of one that has run out stay empty.
+
+The period follows the smallest weight: it is so long that the source of the least target has LEAST_SLOTS slots in it
+and each share differs from its target by less than one slot a period, between PERIOD and MOST_SLOTS slots. Targets
+further apart than the longest period can tell get one slot each, and the rest goes by weight.
 
 A source's order is cut into ranges of the hash, so a hot source is ranked in many tasks: rows before a range are
 a sum of counts. Rows are never dropped. A null source is a source of its own; repeated rows get a place each;
-ties of the hash are broken by doc_id. An empty table gives no rows. A table with columns that begin with _mix is
-refused. The schedule itself is made in one task, in time that grows with the square of the number of sources.
+ties of the hash are broken by doc_id. An empty table gives no rows. Columns may have any names. The schedule itself is
+made in one task, in a time that grows with the slots of a period times the sources.
 """
 
 from __future__ import annotations
@@ -25,8 +28,10 @@ from siltwork.llm.common import kept
 
 #: Documents in a block.
 BLOCK = 16
-#: Slots in a period of the schedule that go by weight; each source has one more.
-PERIOD = 1000
+#: Slots in a period of the schedule, at least and at most, and slots that the source of the least target has in it.
+PERIOD, MOST_SLOTS, LEAST_SLOTS = 1000, 1 << 16, 4
+#: Given weights become whole numbers of the largest one's size.
+_UNITS = 10**9
 #: Rows of one source that one range of the hash holds, about.
 RANGE_ROWS = 4096
 #: Sources up to which their shares and slots are broadcast; more are joined by a shuffle, if Spark finds them large.
@@ -39,25 +44,36 @@ def _hash(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def shares(counts: DataFrame, weights: dict[str, float] | None = None, period: int = PERIOD) -> DataFrame:
-    """(source, share): whole numbers, one at least, that sum to the period, by largest remainder.
-
-    counts: (source, n). Without weights, a source's target is in proportion to the root of its rows. The period must
-    have more slots than there are sources; callers add one for each source to the slots that go by weight.
-    """
+def weighed(counts: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """(source, w): target weights as whole numbers, from (source, n). Without weights in proportion to the root of a source's rows; sources that weights don't name have 1."""
     if weights is None:
         target = F.floor(F.sqrt(F.col("n").cast("double")) * 1000)
     else:
-        target = reduce(lambda out, x: F.when(F.col("source") == x[0], F.lit(int(1000 * x[1]))).otherwise(out), weights.items(), F.lit(1000))
-    rows = counts.select("source", target.alias("w"))
+        if any(not w >= 0 for w in weights.values()):
+            raise ValueError("weights are numbers of zero or more")
+        unit = _UNITS / max([1.0, *weights.values()])
+        of = lambda w: F.lit(max(1, round(w * unit))).cast("long")
+        target = reduce(lambda out, x: F.when(F.col("source") == x[0], of(x[1])).otherwise(out), weights.items(), of(1))
+    return counts.select("source", F.greatest(target, F.lit(1)).cast("long").alias("w"))
+
+
+def period_of(weights: DataFrame, period: int = PERIOD, most: int = MOST_SLOTS) -> int:
+    """Slots of a period for weights (source, w): as many as the smallest needs, within bounds, and one a source at least."""
+    n, total, least = weights.agg(F.count("*"), F.sum("w"), F.min("w")).first()
+    return max(period, min(most, -(-LEAST_SLOTS * total // least)), 2 * n) if n else period
+
+
+def shares(weights: DataFrame, period: int) -> DataFrame:
+    """(source, share): whole numbers, one at least, that sum to the period, by largest remainder; of weights (source, w)."""
     whole = Window.partitionBy(F.lit(0))
-    # Each source has one slot; the rest goes by weight, what rounding leaves to the largest remainders.
-    free = F.lit(period) - F.count("*").over(whole)
-    rows = rows.withColumn("total", F.sum("w").over(whole)).withColumn("free", free)
+    rows = weights.withColumns({"total": F.sum("w").over(whole), "least": F.min("w").over(whole), "n": F.count("*").over(whole)})
+    # If the period is too short for the smallest target, each source has one slot first.
+    rows = rows.withColumn("one", F.when(F.col("least") * period < F.col("total"), 1).otherwise(0))
+    rows = rows.withColumn("free", F.lit(period) - F.col("one") * F.col("n"))
     rows = rows.withColumn("floor", F.expr("(w * free) div total"))
     rows = rows.withColumn("left", F.expr("(w * free) % total")).withColumn("short", F.col("free") - F.sum("floor").over(whole))
-    nth = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("left"), "source"))
-    return rows.withColumn("nth", nth).select("source", (1 + F.col("floor") + (F.col("nth") <= F.col("short")).cast("long")).alias("share"))
+    nth = F.row_number().over(whole.orderBy(F.desc("left"), "source"))
+    return rows.withColumn("nth", nth).select("source", (F.col("one") + F.col("floor") + (F.col("nth") <= F.col("short")).cast("long")).alias("share"))
 
 
 def schedule(share: DataFrame, period: int = PERIOD) -> DataFrame:
@@ -85,11 +101,11 @@ def _source() -> Column:
 
 
 def _shares_of(docs: DataFrame, weights: dict[str, float] | None, period: int) -> tuple[DataFrame, int, int, DataFrame]:
-    """(rows of each source, sources, the period that holds them, their shares of it)."""
+    """(rows of each source, sources, the period, their shares of it)."""
     counts = kept(docs.groupBy(_source().alias("source")).agg(F.count("*").alias("n")))
-    sources = counts.count()
-    period += sources
-    return counts, sources, period, shares(counts, weights, period)
+    of = weighed(counts, weights)
+    period = period_of(of, period)
+    return counts, counts.count(), period, shares(of, period)
 
 
 def targets(docs: DataFrame, *, weights: dict[str, float] | None = None, period: int = PERIOD) -> dict[str, int]:
@@ -97,17 +113,9 @@ def targets(docs: DataFrame, *, weights: dict[str, float] | None = None, period:
     return {r["source"]: r["share"] for r in _shares_of(docs, weights, period)[3].collect()}
 
 
-def source_order() -> list[Column]:
-    """Keys that sort each source's documents in their scheduled order, from doc_id alone: files need not keep it."""
-    return [_hash(F.col("doc_id")), F.col("doc_id")]
-
-
-def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """docs with a struct _mix: block (its number in its source), place (row in the block), slot, release, deadline."""
-    taken = [c for c in docs.columns if c.lower().startswith("_mix")]
-    if taken:
-        raise ValueError(f"columns that begin with _mix are this operator's: {', '.join(taken)}")
-    rows = docs.withColumns({"_mix_source": _source(), "_mix_hash": _hash(F.col("doc_id"))})
+def placed(docs: DataFrame, *, weights: dict[str, float] | None = None, block: int = BLOCK, period: int = PERIOD, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """(_doc, _mix): each row as a struct, and its block (number in its source), place (row in the block), slot, release and deadline."""
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), _source().alias("_mix_source"), _hash(F.col("doc_id")).alias("_mix_hash"))
     counts, sources, period, share = _shares_of(docs, weights, period)
     small = F.broadcast if sources <= BROADCAST_SOURCES else lambda df: df
     plan = kept(schedule(share, period))
@@ -120,34 +128,35 @@ def scheduled(docs: DataFrame, *, weights: dict[str, float] | None = None, block
     sizes = rows.groupBy("_mix_source", "_mix_range").agg(F.count("*").alias("_mix_n"))
     before = Window.partitionBy("_mix_source").orderBy("_mix_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_mix_source", "_mix_range", F.coalesce(F.sum("_mix_n").over(before), F.lit(0)).alias("_mix_before"))
-    nth = F.row_number().over(Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_hash", "doc_id")) - 1
+    nth = F.row_number().over(Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_hash", "_doc.doc_id")) - 1
     ranked = rows.join(sizes, ["_mix_source", "_mix_range"]).withColumn("_mix_rank", F.col("_mix_before") + nth)
     ranked = ranked.withColumn("_mix_block", F.expr(f"_mix_rank div {block}L"))
     ranked = ranked.withColumn("_mix_in", F.expr("_mix_block % _mix_share")).join(small(slots.drop("_mix_share")), ["_mix_source", "_mix_in"])
     mix = F.expr(f"""named_struct(
         'block', _mix_block, 'place', _mix_rank % {block}L, 'slot', (_mix_block div _mix_share) * {period} + _mix_slot,
         'release', (_mix_block * {period}) div _mix_share, 'deadline', ((_mix_block + 1) * {period} + _mix_share - 1) div _mix_share)""")
-    return ranked.select(*docs.columns, mix.alias("_mix"))
+    return ranked.select("_doc", mix.alias("_mix"))
 
 
 def mixing_schedule(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, source and its place in the schedule."""
-    return scheduled(docs.select("doc_id", "source"), **options).select("doc_id", "source", "_mix.block", "_mix.place", "_mix.slot", "_mix.release", "_mix.deadline")
+    return placed(docs.select("doc_id", "source"), **options).select("_doc.doc_id", "_doc.source", "_mix.block", "_mix.place", "_mix.slot", "_mix.release", "_mix.deadline")
 
 
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
-    """docs, all of them, in the order of the schedule: over the partitions and in each."""
+    """docs, all of them, in the order of the schedule: over the partitions and in each, so over the files that they are written to and in each."""
     order = ["_mix.slot", "_mix.place"]
-    return scheduled(docs, **options).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    return placed(docs, **options).repartitionByRange(*order).sortWithinPartitions(*order).select("_doc.*")
 
 
 SCHEDULE_SQL = f"""
 WITH RECURSIVE rows AS (
   SELECT doc_id, source, coalesce(source, chr(0)) AS s, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
-counts AS (SELECT s, CAST(floor(sqrt(CAST(count(*) AS DOUBLE)) * 1000) AS BIGINT) AS w FROM rows GROUP BY s),
-sums AS (SELECT count(*) AS k, CAST(sum(w) AS BIGINT) AS total, {PERIOD} + count(*) AS d FROM counts),
-parts AS (SELECT s, d, (w * (d - k)) // total AS whole, (w * (d - k)) % total AS rest, d - k AS free FROM counts, sums),
-shares AS (SELECT s, d, 1 + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, s) <= free - sum(whole) OVER () THEN 1 ELSE 0 END AS share FROM parts),
+counts AS (SELECT s, greatest(CAST(floor(sqrt(CAST(count(*) AS DOUBLE)) * 1000) AS BIGINT), 1) AS w FROM rows GROUP BY s),
+sums AS (SELECT count(*) AS k, CAST(sum(w) AS BIGINT) AS total, min(w) AS least, greatest({PERIOD}, least({MOST_SLOTS}, ({LEAST_SLOTS} * CAST(sum(w) AS BIGINT) + min(w) - 1) // min(w)), 2 * count(*)) AS d FROM counts),
+ones AS (SELECT *, CASE WHEN least * d < total THEN 1 ELSE 0 END AS one FROM sums),
+parts AS (SELECT s, d, one, (w * (d - one * k)) // total AS whole, (w * (d - one * k)) % total AS rest, d - one * k AS free FROM counts, ones),
+shares AS (SELECT s, d, one + whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, s) <= free - sum(whole) OVER () THEN 1 ELSE 0 END AS share FROM parts),
 listed AS (SELECT max(d) AS d, list(s ORDER BY s) AS ss, list(CAST(share AS BIGINT) ORDER BY s) AS aa FROM shares),
 deal(t, had, pick) AS (
   SELECT CAST(-1 AS BIGINT), list_transform(aa, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM listed

@@ -11,11 +11,15 @@ The keys are used in two rounds. The first takes the first segments' keys: of th
 the one whose sketch is nearest, looked for among a few hundred in the order of sketches, and candidates are verified on
 the shingles themselves. This joins up most of a large group of near copies at some comparisons a text. The second round
 takes all keys, each with the component that its text has so far, and verifies all pairs of near sketches of one key but
-those within one component, which can't change the outcome. Texts with equal sketches are verified against the one of
+those within one component, which can't change the outcome. A group of many texts around the bound has many such pairs
+that don't link, so pairs are not written one by one: what the first round's candidates join, verified or not, is a loose
+group, which is cut into blocks of a bounded number of texts and bytes, and a text with near sketches in a block is sent
+there once, whatever their number. There all its pairs with the block's texts are counted in one go. Texts with equal sketches are verified against the one of
 them with the smallest hash, which stands for all in the pairs: their sets are alike but for a few shingles.
 
 A null text is empty; texts without a word are equal. A text of fewer than five words is one shingle. Repeated rows and
-equal texts are one class. A null id counts as the smallest. Columns may have any names. An empty table gives no rows.
+equal texts are one class. What stays is told by id and text: different texts of one id, or without one, are documents of
+their own. A null id counts as the smallest. Columns may have any names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -47,6 +51,8 @@ BLOCK = 1 << 20
 #: Sketches of a key among which the first round looks for the nearest, and the segments whose keys it takes.
 BLOCK_ROWS = 256
 FIRST_SEGMENTS = 1
+#: Texts and bytes of shingles of a block of a loose group, about.
+BLOCK_SETS, BLOCK_BYTES = 256, 1 << 22
 _HASHES = -(-2 * WORD * SEGMENTS // 64)
 
 
@@ -93,18 +99,22 @@ def long_simhash(hashes: np.ndarray) -> np.ndarray:
     return np.concatenate([np.packbits(bits[:64], bitorder="little").view("<u8"), words @ (np.uint64(1) << np.arange(2 * WORD, dtype=np.uint64))])
 
 
-ROWS = "id long, same long, sketch long, words binary, shingles binary"
+ROWS = "id long, text_hash long, same long, sketch long, words binary, shingles binary"
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """docs (id, text) -> (id, same: a hash of the set of shingles, sketch, words, shingles: 32 bits of each)."""
+    """docs (id, text) -> (id, text_hash, same: a hash of the set of shingles, sketch, words, shingles: 32 bits of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for whole in batches:
             for lo in range(0, len(whole), 1000):
                 batch = whole.slice(lo, 1000)
-                data, offsets = byte_columns(batch.column(1))
+                data, offsets = byte_columns(batch.column(2))
                 data, same, sketch, words, sets = data.tobytes(), [], [], [], []
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                     found = shingles(data[a:b], hashes)
@@ -114,9 +124,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     words.append(fp[1:].astype("<u8").tobytes())
                     sets.append(np.unique((found >> np.uint64(32)).astype("<u4")).tobytes())
                 both = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (same, sketch)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *both, pa.array(words, pa.binary()), pa.array(sets, pa.binary())], names=["id", "same", "sketch", "words", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *both, pa.array(words, pa.binary()), pa.array(sets, pa.binary())], names=["id", "text_hash", "same", "sketch", "words", "shingles"])
 
-    return docs.select("id", F.col("text").cast("binary").alias("text")).mapInArrow(run, ROWS)
+    return docs.select("id", text_hash().alias("text_hash"), F.col("text").cast("binary").alias("text")).mapInArrow(run, ROWS)
 
 
 def segment_keys(words: np.ndarray, segments: int = SEGMENTS) -> tuple[np.ndarray, np.ndarray]:
@@ -211,14 +221,75 @@ def pairs_between(keys: np.ndarray, sketches: np.ndarray, roots: np.ndarray, bit
             lo = hi
 
 
-def _near_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for keys, sketches, roots in whole_keys(batches):
-        for a, b in pairs_between(keys, sketches.view(np.uint64), roots, SKETCH_BITS):
-            yield link_batch(a, b)
+def _near_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets (key, sketch, root, block) -> (a, block): a sketch with the block of a near one, of the other's root or alone; the smaller goes to the larger."""
+    for keys, sketches, roots, blocks in whole_keys(batches):
+        sketches = sketches.view(np.uint64)
+        order = np.argsort(sketches, kind="stable")
+        known, at = sketches[order], blocks[order]
+        for a, b in pairs_between(keys, sketches, roots, SKETCH_BITS):
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            to = at[np.searchsorted(known, high)]
+            some = np.unique(np.stack([low.view(np.int64), to], 1), axis=0) if len(low) else np.zeros((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(some[:, k])) for k in (0, 1)], names=["a", "block"])
 
 
-def in_buckets(keys: DataFrame, near: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(near, "a long, b long")
+def _alike_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, comes, same, root, shingles) by block, its own texts first -> (a, b): links of those that come with the block's, one for each root."""
+    num, den = SIMILARITY
+    held: list[tuple[int, int, np.ndarray]] = []
+    block, index = None, None
+    for batch in batches:
+        a, b = [], []
+        for of, comes, same, root, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            x = np.frombuffer(data, "<u4")
+            if of != block:
+                block, held, index = of, [], None
+            if not comes:
+                held.append((same, root, x))
+                continue
+            if not held:
+                continue
+            if index is None:
+                owner = np.repeat(np.arange(len(held)), [len(y) for _, _, y in held])
+                tokens = np.concatenate([y for _, _, y in held])
+                order = np.argsort(tokens, kind="stable")
+                index = tokens[order], owner[order], np.array([len(y) for _, _, y in held])
+            tokens, owner, sizes = index
+            lo, hi = np.searchsorted(tokens, x, "left"), np.searchsorted(tokens, x, "right")
+            n = hi - lo
+            at = np.repeat(lo - (n.cumsum() - n), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(held))
+            found: dict[int | None, int] = {}
+            for i in np.flatnonzero(den * both >= num * (len(x) + sizes - both)).tolist():
+                other, its = held[i][:2]
+                if other != same and (root is None or its != root):
+                    found.setdefault(other if its is None else its, other)
+            a += [same] * len(found)
+            b += found.values()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def in_blocks(classes: DataFrame, rows: DataFrame, root: DataFrame, loose: DataFrame) -> DataFrame:
+    """(a, b): verified links between texts with near sketches of one key that root (node, root) does not join; loose (node, root): the loose groups."""
+    sizes = rows.groupBy("same").agg(F.max(F.length("shingles")).alias("bytes"))
+    of = classes.join(root.withColumnRenamed("node", "same"), "same", "left").join(loose.select(F.col("node").alias("same"), F.col("root").alias("loose")), "same", "left").join(sizes, "same")
+    of = of.withColumn("loose", F.coalesce("loose", "same"))
+    need = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("bytes") / BLOCK_BYTES))
+    # Only groups of more than one block have a row here.
+    cut = of.groupBy("loose").agg(need.alias("blocks")).where("blocks > 1")
+    labelled = of.join(cut, "loose", "left").withColumn("block", F.xxhash64("loose", F.pmod(F.xxhash64("sketch"), F.coalesce("blocks", F.lit(1)))))
+    labelled = stored(labelled.select("sketch", "same", "words", "root", "block"))
+    sent = stored(in_buckets(keyed(labelled.select("sketch", "words", "root", "block"), SEGMENTS), _near_blocks, "a long, block long").distinct())
+    there = labelled.join(sent.select("block").distinct().hint("shuffle_hash"), "block", "left_semi")
+    come = sent.join(labelled.select(F.col("sketch").alias("a"), "same", "root"), "a")
+    need = there.select("block", F.lit(False).alias("comes"), "same", "root").union(come.select("block", F.lit(True), "same", "root"))
+    sets = rows.select("same", "shingles").dropDuplicates(["same"]).hint("merge")
+    return need.join(sets, "same").select("block", "comes", "same", "root", "shingles").repartition("block").sortWithinPartitions("block", "comes").mapInArrow(_alike_in_blocks, "a long, b long")
+
+
+def in_buckets(keys: DataFrame, near: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str = "a long, b long") -> DataFrame:
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(near, schema)
 
 
 def of_sketches(near: DataFrame, classes: DataFrame) -> DataFrame:
@@ -261,23 +332,21 @@ def links(rows: DataFrame) -> DataFrame:
     close = in_buckets(keyed(classes.select("sketch", "words"), FIRST_SEGMENTS), _nearest)
     first = stored(of_sketches(close, classes).union(twins))
     known = stored(verified(first, sets_of(first, rows)))
-    root = stored(smallest_reachable(known))
-    labelled = stored(classes.join(root.withColumnRenamed("node", "same"), "same", "left").select("sketch", "words", "root"))
-    rest = stored(of_sketches(in_buckets(keyed(labelled, SEGMENTS), _near_others), classes))
-    return known.union(verified(rest, sets_of(rest, rows)))
+    root, loose = stored(smallest_reachable(known)), stored(smallest_reachable(first))
+    return known.union(in_blocks(classes, rows, root, loose))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The document of each component of alike texts that has the smallest doc_id; of repeated rows of it, one. A null id is the smallest."""
-    smallest = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    rows = stored(fingerprints(docs.select(smallest.cast("long").alias("id"), "text")))
+    """Of each component of alike texts the document with the smallest doc_id, of several texts under that id one; of repeated rows of it, one. A null id is the smallest."""
+    smallest = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("long")
+    rows = stored(fingerprints(docs.select(smallest.alias("id"), "text")))
     roots = smallest_reachable(links(rows))
-    classes = rows.groupBy("same").agg(F.min("id").alias("least"))
+    classes = rows.groupBy("same").agg(F.min(F.struct("id", "text_hash")).alias("least"))
     of = classes.join(roots.withColumnRenamed("node", "same"), "same", "left").select(F.coalesce("root", "same").alias("root"), "least")
-    stay = of.groupBy("root").agg(F.min("least").alias("id")).select("id").distinct()
-    # The ids that stay grow with the corpus: they are hashed in the partitions of a shuffle, never broadcast.
-    copies = rows.groupBy("id").agg(F.count("*").alias("copies")).join(stay, "id", "left_semi")
-    key, n = unused(docs.columns, "_stays"), unused(docs.columns, "_copies")
-    found = docs.join(stored(copies.select(F.col("id").alias(key), F.col("copies").alias(n))).hint("shuffle_hash"), smallest == F.col(key))
+    stay = of.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    # What stays grows with the corpus: it is hashed in the partitions of a shuffle, never broadcast.
+    copies = rows.groupBy("id", "text_hash").agg(F.count("*").alias("copies")).join(stay, ["id", "text_hash"], "left_semi")
+    key, of, n = (unused(docs.columns, c) for c in ("_stays", "_text_hash", "_copies"))
+    found = docs.join(stored(copies.select(F.col("id").alias(key), F.col("text_hash").alias(of), F.col("copies").alias(n))).hint("shuffle_hash"), (smallest == F.col(key)) & (text_hash() == F.col(of)))
     once = found.where(F.col(n) == 1).select(*docs.columns)
-    return once.union(found.where(F.col(n) > 1).dropDuplicates([key]).select(*docs.columns))
+    return once.union(found.where(F.col(n) > 1).dropDuplicates([key, of]).select(*docs.columns))

@@ -28,12 +28,13 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltwork.llm.common import stored
@@ -43,8 +44,8 @@ WINDOW = 2048
 END_ID = 1
 #: Queues that one level of the deal has at most; with more, groups of so many are the queues of the level above.
 GROUP = 64
-#: A level's targets are whole numbers that sum to about this at most.
-UNITS = 1 << 16
+#: A level's targets are whole numbers that sum to about this at most, and a phase has so many windows at most: products stay within 63 bits.
+UNITS, PHASE = 1 << 30, 1 << 21
 #: Words whose ids a Python worker remembers before it starts anew.
 MEMORY_WORDS = 400_000
 
@@ -127,33 +128,67 @@ def word_ids(path: str) -> WordIds:
     return _TOKENIZERS[path]
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """docs with each row's place in the Parquet files that they are read from: ``_file`` (the number that Spark's writer gave the file) and ``_row``.
+
+    What is not read from files is written to some first.
+    """
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        docs = stored(docs)
+    at = docs.metadataColumn("_metadata")
+    number = F.regexp_extract(at["file_name"], r"part-(\d+)", 1)
+    return docs.select("doc_id", "source", "text", F.coalesce(number.try_cast("long"), F.lit(0)).alias("_file"), at["row_index"].alias("_row"))
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, source, part, place (tokens of its source before it in its part), n, ids (two bytes each, or four for a large vocabulary)."""
+    """doc_id, source, part, place (tokens of its source before it in its part), n, ids (two bytes each, or four for a large vocabulary).
+
+    A part is what a task reads; with ``in_file_order`` it is a run of rows of one file, and parts are in the files' order.
+    """
+    ordered = "_row" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before, coder = TaskContext.get().partitionId(), {}, word_ids(path)
+        part, before, coder, last = TaskContext.get().partitionId(), {}, word_ids(path), None
         end = end_id.to_bytes(coder.kind.itemsize, "little")
         for whole in batches:
             for lo in range(0, len(whole), 1000):
                 batch = whole.slice(lo, 1000)
                 data, offsets = byte_columns(batch.column(2))
                 data = data.tobytes()
-                sources, place, n, ids = batch.column(1).to_pylist(), [], [], []
-                for source, found in zip(sources, coder.encode([data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]), strict=True):
+                sources, place, n, ids, parts = batch.column(1).to_pylist(), [], [], [], []
+                rows = zip(*(batch.column(k).to_pylist() for k in (3, 4)), strict=True) if ordered else repeat(None)
+                for source, row, found in zip(sources, rows, coder.encode([data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]), strict=False):
+                    if row is not None:
+                        if last != (row[0], row[1] - 1):
+                            part, before = row[0] << 40 | row[1], {}
+                        last = row
+                    parts.append(part)
                     ids.append(found + end)
                     n.append(len(ids[-1]) // len(end))
                     place.append(before.get(source, 0))
                     before[source] = place[-1] + n[-1]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([part] * len(n), pa.int64()), pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "source", "part", "place", "n", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts, pa.int64()), pa.array(place, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "source", "part", "place", "n", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("source"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("\0")).alias("source"), F.col("text").cast("binary").alias("text"), *(["_file", "_row"] if ordered else []))
     return rows.mapInArrow(run, "doc_id long, source string, part long, place long, n long, ids binary")
 
 
 def tempered(totals: list[int]) -> list[int]:
-    """Default targets: in proportion to the root of a source's tokens, in thousandths."""
-    roots = [math.isqrt(t * 10_000) for t in totals]
-    return [max(1, round(1000 * r / max(sum(roots), 1))) for r in roots]
+    """Default targets: in proportion to the root of a source's tokens, to six binary digits behind the point."""
+    return [max(1, math.isqrt(t << 12)) for t in totals]
+
+
+def whole_weights(weights: dict[str, float], names: list[str]) -> list[int]:
+    """Given weights as whole numbers, the largest of them of 2^40; others count as 1. The least is one unit."""
+    given = [weights.get(x, 1) for x in names]
+    if any(not w >= 0 for w in given):
+        raise ValueError("weights are numbers of zero or more")
+    if all(isinstance(w, int) for w in given):
+        return [max(1, w) for w in given]
+    unit = (1 << 40) / max([*given, 1e-300])
+    return [max(1, round(w * unit)) for w in given]
 
 
 def plan(totals: list[int], weights: list[int], window: int = WINDOW) -> list[dict]:
@@ -174,7 +209,7 @@ def plan(totals: list[int], weights: list[int], window: int = WINDOW) -> list[di
         den, cum = sum(shares.values()), [0, *accumulate(shares.values())]
         given = lambda i, k: window * k * cum[i + 1] // den - window * k * cum[i] // den  # noqa: B023, E731
         left = [totals[q] - taken[q] for q in live]
-        k = min((r + 1) * den // (window * weights[q]) for q, r in zip(live, left, strict=True))
+        k = min(PHASE, *((r + 1) * den // (window * weights[q]) for q, r in zip(live, left, strict=True)))
         while k and any(given(i, k) > r for i, r in enumerate(left)):
             k -= 1
         if k:
@@ -273,13 +308,14 @@ class Deal:
         return doc, inside, length, sequence, offset
 
 
-def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, order: list[Column] | None = None, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, path: str, *, weights: dict[str, float] | None = None, by_files: bool = False, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece of a document. weights: a source's target share of each window's tokens; others get 1.
 
-    order: keys by which each source's documents queue, at the price of a shuffle; without it, as they are read.
+    by_files: docs are read from Parquet files, and each source's documents queue in the order of the files and of the rows
+    in each, as what wrote them had them; no shuffle is needed for it. Without it they queue as tasks read them.
     """
-    if order:
-        docs = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    if by_files:
+        docs = in_file_order(docs)
     tokens = stored(tokenized(docs, path, end_id))
     parts = tokens.groupBy("source", "part").agg(F.sum("n").alias("n"))
     # A row for each source goes to the driver, and comes back with its queue's number.
@@ -287,7 +323,7 @@ def pack(docs: DataFrame, path: str, *, weights: dict[str, int] | None = None, o
     for r in parts.groupBy("source").agg(F.sum("n").alias("n")).orderBy("source").toLocalIterator():
         names.append(r["source"])
         totals.append(r["n"])
-    target = tempered(totals) if weights is None else [max(1, int(weights.get(x, 1))) for x in names]
+    target = tempered(totals) if weights is None else whole_weights(weights, names)
     deal = Deal(totals, target, window) if names else None
     queues = docs.sparkSession.createDataFrame(list(zip(names, range(len(names)), strict=True)), "source string, queue long")
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -218,10 +218,13 @@ def test_stages_follow_one_another(spark, sf_dir):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept
 
 
-def test_packed_windows_follow_the_mixing(spark, sf_dir):
+def test_packed_windows_follow_the_mixing(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     placed = mixing.mixing_schedule(docs).toPandas().sort_values(["slot", "place"])
-    got = corpus_pipeline.packing(spark, docs.orderBy(F.desc("doc_id")), sf_dir).toPandas().sort_values(["sequence_id", "offset"])
+    mixed = str(tmp_path / "mixed")
+    corpus_pipeline.mixing(spark, docs, sf_dir).write.parquet(mixed)
+    packed = lambda at: corpus_pipeline.packing(spark, spark.read.parquet(at), sf_dir).toPandas().sort_values(["sequence_id", "offset"])
+    got = packed(mixed)
     first = got[got.start == 0]
     for source, rows in placed.groupby("source"):
         assert first[first.source == source].doc_id.tolist() == rows.doc_id.tolist()
@@ -229,3 +232,35 @@ def test_packed_windows_follow_the_mixing(spark, sf_dir):
     window = got[got.sequence_id == 0].groupby("source").length.sum()
     for source, n in window.items():
         assert abs(n - packing.WINDOW * share[source] / sum(share.values())) <= 1
+    # Without the stage, or with another schedule, the windows hold other documents.
+    other = str(tmp_path / "other")
+    docs.orderBy(F.desc("doc_id")).write.parquet(other)
+    plain, turned = packed(f"{sf_dir}/documents.parquet"), packed(other)
+    key = ["doc_id", "start", "sequence_id", "offset"]
+    assert not got[key].reset_index(drop=True).equals(plain[key].reset_index(drop=True))
+    assert not plain[key].reset_index(drop=True).equals(turned[key].reset_index(drop=True))
+
+
+def test_the_whole_pipeline_against_its_parts_by_hand(spark, sf_dir):
+    """What run() packs is what plain code makes of the documents that stay: whole, redacted, in windows without gaps."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    known = {r.doc_id: r.text for r in stages["language_id"](spark, docs, sf_dir).collect()}
+    assert len(known) > 0.9 * docs.count() and all((t or "").strip() for t in known.values())
+    one = stages["near_dedup"](spark, spark.createDataFrame(list(known.items()), "doc_id long, text string").withColumns({c: F.lit("x") for c in ("lang", "source")}), sf_dir)
+    kept = {r.doc_id: r.text for r in one.collect()}
+    shingles = lambda t: {tuple(w[i : i + 5]) for w in [t.lower().split()] for i in range(max(len(w) - 4, 1))}
+    sets = {k: shingles(t) for k, t in kept.items()}
+    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(alike) <= 2  # keys find 97 of 100 pairs at the bound
+    clean = {r.doc_id: r.text for r in stages["pii"](spark, docs.where(F.col("doc_id").isin(list(kept))), sf_dir).collect()}
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    size = {k: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for k, t in clean.items()}
+    got = corpus_pipeline.run(spark, sf_dir).toPandas().sort_values(["sequence_id", "offset"])
+    assert got.groupby("doc_id").length.sum().to_dict() == size
+    for n, rows in got.groupby("sequence_id"):
+        assert rows.offset.tolist() == [0, *rows.length.cumsum().tolist()[:-1]]
+        assert rows.length.sum() == packing.WINDOW or n == got.sequence_id.max()

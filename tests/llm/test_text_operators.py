@@ -414,6 +414,27 @@ def test_near_copies_of_odd_rows(odd):
     assert simhash.near_duplicates(empty(odd)).count() == 0
 
 
+def test_different_texts_of_one_id_or_none_stay(spark):
+    texts = ["one text of some words here", "another one with its own words", "a third that is like no other", "and the fourth one differs too", "the fifth of them all is this"]
+    rows = [(1, texts[0], "a"), (1, texts[1], "b"), (None, texts[2], "c"), (None, texts[3], "d"), (5, texts[4], "e"), (1, texts[0], "f"), (7, texts[3], "g"), (None, texts[2], "h")]
+    got = neardup.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r.text for r in got) == sorted(texts)
+    assert {(r.doc_id, r.text) for r in got} == {(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (5, texts[4])}
+
+
+def test_blocks_of_a_loose_group_lose_no_link(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in range(300)]
+    texts = [" ".join(f"x{n}y{k}" if k in set(rng.integers(0, 300, 7).tolist()) else w for k, w in enumerate(base)) for n in range(200)]
+    rows = neardup.stored(neardup.fingerprints(spark.createDataFrame(list(enumerate(texts)), "id long, text string")))
+    components = []
+    for size in (4, 10_000):
+        monkeypatch.setattr(neardup, "BLOCK_SETS", size)
+        of = {r.node: r.root for r in simhash.smallest_reachable(neardup.links(rows)).collect()}
+        components.append(of)
+    assert components[0] == components[1] and len(components[0]) > 50
+
+
 def brute_shingles(text):
     words = [w for w in re.split(r"[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
     return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1 if words else 0))}
@@ -514,22 +535,48 @@ def test_each_source_keeps_to_its_target(spark):
     assert len(got) == 12000 and ((got.slot >= got.release) & (got.slot < got.deadline)).all()
     blocks = got.drop_duplicates("slot").sort_values("slot")
     share = {"a": 3 / 6, "b": 2 / 6, "c": 1 / 6}
-    # Whole numbers over the period: 60 slots by weight, and one for each source.
-    granted = {s: int((blocks[blocks.slot < 63].source == s).sum()) for s in share}
-    assert sum(granted.values()) == 63 and all(abs(granted[s] - 60 * w - 1) < 1 for s, w in share.items())
+    granted = {s: int((blocks[blocks.slot < 60].source == s).sum()) for s in share}
+    assert granted == {"a": 30, "b": 20, "c": 10}
     until = min(blocks[blocks.source == s].slot.max() for s in share)
     for s, w in share.items():
         had = (blocks[blocks.slot <= until].source == s).cumsum().to_numpy()
         at = blocks[blocks.slot <= until].slot.to_numpy() + 1
-        assert (np.abs(had - w * at) < 1 + np.abs(w - granted[s] / 63) * at + 1e-9).all()
+        assert (np.abs(had - w * at) < 1 + 1e-9).all()
     assert (got.groupby(["source", "block"]).size() <= 10).all()
 
 
+def test_the_period_follows_the_smallest_weight(spark):
+    counts = spark.createDataFrame([("big", 10**6), ("small", 10**6)], "source string, n long")
+    of = mixing.weighed(counts, {"big": 0.9999, "small": 0.0001})
+    period = mixing.period_of(of)
+    got = {r.source: r.share for r in mixing.shares(of, period).collect()}
+    assert period == 40_000 and got == {"big": 39_996, "small": 4}
+    docs = spark.createDataFrame([(i, "big" if i % 50 else "small") for i in range(3000)], "doc_id long, source string")
+    slots = mixing.mixing_schedule(docs, weights={"big": 0.002, "small": 0.0001}, block=2).toPandas()
+    small, big = (slots[slots.source == s].slot for s in ("small", "big"))
+    for n in range(1, 20):  # one of twenty-one slots, to less than one block
+        assert abs((small < 21 * n).sum() / 2 - n) <= 1 and abs((big < 21 * n).sum() / 2 - 20 * n) <= 1
+
+
+def test_targets_of_twenty_thousand_sources(spark):
+    counts = spark.range(20_001).select(F.concat(F.lit("s"), "id").alias("source"), F.when(F.col("id") == 0, 10**9).otherwise(1).cast("long").alias("n"))
+    of = mixing.weighed(counts)
+    period = mixing.period_of(of)
+    got = {r.source: r.share for r in mixing.shares(of, period).collect()}
+    root = 10**4.5
+    assert sum(got.values()) == period and abs(got["s0"] - period * root / (root + 20_000)) < 1
+    assert {got[f"s{k}"] for k in range(1, 20_001)} <= {1, 2}
+
+
 def test_mixing_of_odd_rows(odd):
     got = mixing.mixing_schedule(odd).toPandas()
     assert len(got) == 9 and not got.duplicated(["slot", "place"]).any()
     out = mixing.in_mixed_order(odd)
     assert out.columns == odd.columns and out.count() == 9
+    clashing = odd.withColumns({"_mix": F.lit(1), "_mix_source": F.lit("x"), "_doc": F.lit(2), "_metadata": F.lit("y")})
+    mixed = mixing.in_mixed_order(clashing)
+    assert mixed.columns == clashing.columns and mixed.count() == 9
+    assert packing.pack(mixed, public_tokenizers.path("word_bpe_49k.json"), by_files=True).select("doc_id").distinct().count() == packing.pack(odd, public_tokenizers.path("word_bpe_49k.json")).select("doc_id").distinct().count()
     assert mixing.mixing_schedule(empty(odd)).count() == 0
 
 
@@ -690,6 +737,24 @@ def test_hundreds_of_sources_keep_their_targets():
     assert (np.abs(had - target) < 2048 / 8).all()  # a group's stream is at most one of its windows off
 
 
+def test_twenty_thousand_sources_keep_their_targets():
+    totals = [10**9, *[10_000] * 20_000]
+    target = packing.tempered(totals)
+    deal = packing.Deal(totals, target, 2048)
+    until = 5000
+    first = np.array([0, 1, 12_345])
+    doc, at, n, window, offset = deal.pieces(first, np.zeros(3, np.int64), np.array([10**6, 10_000, 10_000]))
+    had = np.bincount(doc, weights=np.where(window < until, n, 0), minlength=3)
+    want = np.array(target)[first] / sum(target) * 2048 * until
+    # A level's stream is at most one of its windows off, of which the source has its share.
+    assert (np.abs(had - want) <= 3 + 2048 * np.array([1, 1 / 64, 1 / 64])).all() and want[0] > 150_000
+
+
+def test_given_weights_may_be_fractions():
+    got = packing.whole_weights({"a": 0.9999, "b": 0.0001}, ["a", "b"])
+    assert abs(got[0] / got[1] - 9999) < 1e-3 and packing.whole_weights({"a": 3}, ["a", "b"]) == [3, 1]
+
+
 def test_more_sources_than_a_level_holds(spark, tokenizer):
     rows = [(i, f"document {i} of its source, with some words", f"s{i % 130}") for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
