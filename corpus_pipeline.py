@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltwork.llm.common import stored, table
 from siltwork.llm.langid import keep_known_language
-from siltwork.llm.mixing import in_mixed_order, source_order, targets
+from siltwork.llm.mixing import in_mixed_order, targets
 from siltwork.llm.neardup import keep_one_of_each
 from siltwork.llm.packing import pack
 from siltwork.llm.pii import without_personal_data
@@ -40,8 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Files don't keep the order that mixing decided: its shares and each source's order are derived from the same functions.
-    return pack(docs, public_tokenizers.path(VOCABULARY), weights=targets(docs), order=source_order())
+    # The windows hold the shares by which mixing scheduled, and each source's documents queue in the order of the files that it wrote.
+    return pack(docs, public_tokenizers.path(VOCABULARY), weights=targets(docs), by_files=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
