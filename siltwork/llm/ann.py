@@ -9,9 +9,10 @@ of the whole code is reranked by the cosine of the original vectors in double pr
 the least that holds nearly all true neighbours of the sample's queries; a query that finds too few rows within it
 probes with the next radius, at last all.
 
-Rows are dealt into shards of a bounded size by their place in the table and queries into blocks; a task indexes one
-shard and answers one block of queries from it, and a query's best of all shards are merged. Equal vectors are equal
-rows of an index, never pairs; a hot vector or id is spread over all shards.
+Rows stay in the tasks that read them: a bounded block of queries is broadcast to all of them (``scan``), and a task
+takes its rows in shards of a bounded size, indexes each and answers the block's queries from it. It keeps a query's best
+so far and sends only these, so what is shuffled grows with the queries, by a fixed number of tasks. Equal vectors are
+equal rows of an index, never pairs; a hot vector or id lies wherever the table has it.
 
 Vectors that are null, zero, or hold null or non-finite components take no part; finite ones of any size do, as each
 is scaled by a power of two first, which changes no cosine. Ties go to the smaller vec_id. A repeated vec_id is a
@@ -27,16 +28,19 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltwork.llm.scan import BLOCK_BYTES, in_place
+
 BITS, PARTS = 64, 4
 WIDTH = BITS // PARTS
 #: Vectors that the rotation and the radius are learned from, at most.
 SAMPLE = 4096
 #: Share of the sample's true neighbours that must lie within the radius.
 RECALL = 0.985
-SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
+SHARD_ROWS = 8192
 NEIGHBOURS, EVERY = 5, 50
 
 
@@ -133,10 +137,11 @@ def cosine(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (x * q).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((q * q).sum()))
 
 
-def _search(hasher: Hasher, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, marks: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(query_id, query_hash, vec_id, score) of each query's k best rows of one shard."""
+def _search(hasher: Hasher, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(place of the query, vec_id, score) of each query's k best rows of one shard."""
     unit = unit_rows(x)
-    index, codes, unit_queries = MultiIndex(hasher.codes(unit)), hasher.codes(unit_rows(queries)), unit_rows(queries)
+    unit_queries = unit_rows(queries)
+    index, codes = MultiIndex(hasher.codes(unit)), hasher.codes(unit_queries)
     for i, query_id in enumerate(query_ids):
         radius = hasher.radius
         while True:
@@ -152,11 +157,44 @@ def _search(hasher: Hasher, ids: np.ndarray, x: np.ndarray, query_ids: np.ndarra
             rows = rows[rough >= np.partition(rough, -k)[-k] - 1e-9]
         scores = cosine(x[rows], queries[i])
         order = np.lexsort((ids[rows], -scores))[:k]
-        yield np.full(len(order), query_id), np.full(len(order), marks[i]), ids[rows][order], scores[order]
+        yield np.full(len(order), i), ids[rows][order], scores[order]
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+def _shards(batches: Iterator[pa.RecordBatch], d: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of so many rows at a time."""
+    ids, x, held = [], [], 0
+    for batch in batches:
+        flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
+        keys = batch.column(0).to_numpy()
+        for lo in range(0, len(keys), size):
+            ids.append(keys[lo : lo + size])
+            x.append(flat[lo : lo + size])
+            held += len(ids[-1])
+            if held >= size:
+                yield np.concatenate(ids), np.concatenate(x)
+                ids, x, held = [], [], 0
+    if held:
+        yield np.concatenate(ids), np.concatenate(x)
+
+
+def _answers(hasher: Hasher | None, d: int, k: int, size: int):
+    def run(block: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = block.value
+        if not len(asked) or hasher is None:
+            return
+        query_ids, marks = asked.column("id").to_numpy(), asked.column("mark").to_numpy()
+        queries = asked.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d)
+        best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        for ids, x in _shards(batches, d, size):
+            at, found, scores = (np.concatenate(c) for c in zip(best, *_search(hasher, ids, x, query_ids, queries, k), strict=True))
+            order = np.lexsort((found, -scores, at))
+            start = np.flatnonzero(np.diff(at[order], prepend=-1))
+            nth = np.arange(len(order)) - np.repeat(start, np.diff(start, append=len(order)))
+            first = order[nth < k]
+            best = [at[first], found[first], scores[first]]
+        yield pa.RecordBatch.from_arrays([pa.array(query_ids[best[0]]), pa.array(marks[best[0]]), pa.array(best[1]), pa.array(best[2])], names=["query_id", "query_hash", "vec_id", "score"])
+
+    return run
 
 
 def usable(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -166,42 +204,17 @@ def usable(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding"
     return vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & F.coalesce(fine, F.lit(False))).select(F.col(key).cast("long").alias("id"), x.alias("x"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = batch.column(3)
-        flat, ends = x.flatten().to_numpy(zero_copy_only=False).astype("<f8"), np.concatenate([[0], np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-        data = flat.tobytes()
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *batch.columns[4:], pa.array([data[8 * a : 8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())], names=["shard", "id", "mark", "block", "query", "x"])
-
-
-def nearest(vectors: DataFrame, *, k: int = NEIGHBOURS, every: int = EVERY, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+def nearest(vectors: DataFrame, *, k: int = NEIGHBOURS, every: int = EVERY, key: str = "vec_id", vector: str = "embedding", shard_rows: int = SHARD_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, query_hash, rank, vec_id, score): the k nearest found of each row whose id is divisible by ``every``."""
-    spark = vectors.sparkSession
     rows = usable(vectors, key=key, vector=vector)
     # Vectors of another length than the most frequent one can't be compared with its.
-    sizes = rows.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n"), F.count_if(F.col("id") % every == 0).alias("q")).orderBy(F.desc("n"), "d").limit(1).collect()
-    d, n, q = sizes[0] if sizes else (1, 0, 0)
+    sizes = rows.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
+    d = sizes[0]["d"] if sizes else 1
     rows = rows.where(F.size("x") == d)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow().column("x").combine_chunks()
     hasher = learn(sample.flatten().to_numpy().reshape(-1, d), k) if len(sample) else None
-    shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-q // block_queries))
-    place, mark = F.xxhash64(F.monotonically_increasing_id()), F.xxhash64("x")
-    # A shard goes to each block's task and a block to each shard's: both are of bounded size.
-    base = rows.select(F.pmod(place, F.lit(shards)).cast("int").alias("shard"), "id", F.lit(0).cast("long").alias("mark"), "x", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(False).alias("query"))
-    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "x"])
-    asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "id", mark.alias("mark"), "x", F.pmod(F.xxhash64("id", "x"), F.lit(blocks)).cast("int").alias("block"), F.lit(True).alias("query"))
-    together = base.union(asked).mapInArrow(_packed, "shard int, id long, mark long, block int, query boolean, x binary")
-    shared = spark.sparkContext.broadcast(hasher)
-
-    def task(table: pa.Table) -> pa.Table:
-        query = table.column("query").combine_chunks()
-        of = [table.filter(query), table.filter(pa.compute.invert(query))]
-        (query_ids, queries), (ids, x) = ((t.column("id").to_numpy(), _matrix(t.column("x").combine_chunks())) for t in of)
-        found = list(_search(shared.value, ids, x, query_ids, of[0].column("mark").to_numpy(), queries, k)) if len(ids) and len(query_ids) else []
-        columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 3 + [np.zeros(0)]
-        return pa.table({**{n: c.astype(np.int64) for n, c in zip(("query_id", "query_hash", "vec_id"), columns, strict=False)}, "score": columns[3]})
-
-    found = together.groupBy("shard", "block").applyInArrow(task, "query_id long, query_hash long, vec_id long, score double")
+    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "x"]).select("id", F.xxhash64("x").alias("mark"), "x")
+    found = in_place(rows, asked, _answers(hasher, d, k, shard_rows), "query_id long, query_hash long, vec_id long, score double", row_bytes=8 * d + 16, block_bytes=block_bytes)
     # The limit on the rank is applied in each task before the shuffle, so a query's rows stay few.
     rank = F.row_number().over(Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_hash")

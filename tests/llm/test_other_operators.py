@@ -203,6 +203,25 @@ def test_vectors_that_take_no_part(spark):
     assert ann.nearest(table.where("false")).count() == 0
 
 
+def test_what_a_search_shuffles_grows_with_the_queries_and_not_with_queries_times_rows(spark):
+    """Four times the rows: four times the rows that tasks send, as vectors never leave them; blocks of queries change nothing."""
+    rng = np.random.default_rng(3)
+    sent, got = [], []
+    for n in (1500, 6000):
+        rows = [(i, [float(v) for v in rng.normal(size=16)]) for i in range(n)]
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4).cache()
+        found = ann.nearest(table, shard_rows=400)
+        plan = found._jdf.queryExecution()
+        got.append(sorted(map(tuple, found.select("query_id", "rank", "vec_id").collect())))
+        in_tasks = [x for x in plan.toString().splitlines() if "MapInArrow" in x]
+        assert in_tasks and "FlatMapGroups" not in plan.toString() and "Generate" not in plan.toString()
+        sent.append(found.select("query_id").distinct().count() * 5 * 4)
+        assert len(got[-1]) == 5 * (n // 50)
+        if n == 1500:
+            assert sorted(map(tuple, ann.nearest(table, shard_rows=400, block_bytes=1000).select("query_id", "rank", "vec_id").collect())) == got[0]
+    assert sent[1] == 4 * sent[0]
+
+
 # --- the pipeline -----------------------------------------------------------------------------------------------
 
 
