@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from siltwork.llm.collocation import allowed, bitmap_of
 from siltwork.llm.common import stored, unused
 from siltwork.llm.components import smallest_reachable
 from siltwork.llm.langid import byte_columns
@@ -283,8 +284,8 @@ def in_blocks(classes: DataFrame, rows: DataFrame, root: DataFrame, loose: DataF
     sent = stored(in_buckets(keyed(labelled.select("sketch", "words", "root", "block"), SEGMENTS), _near_blocks, "a long, block long").distinct())
     there = labelled.join(sent.select("block").distinct().hint("shuffle_hash"), "block", "left_semi")
     come = sent.join(labelled.select(F.col("sketch").alias("a"), "same", "root"), "a")
-    need = there.select("block", F.lit(False).alias("comes"), "same", "root").union(come.select("block", F.lit(True), "same", "root"))
-    sets = rows.select("same", "shingles").dropDuplicates(["same"]).hint("merge")
+    need = stored(there.select("block", F.lit(False).alias("comes"), "same", "root").union(come.select("block", F.lit(True), "same", "root")))
+    sets = wanted_sets(rows, need).hint("merge")
     return need.join(sets, "same").select("block", "comes", "same", "root", "shingles").repartition("block").sortWithinPartitions("block", "comes").mapInArrow(_alike_in_blocks, "a long, b long")
 
 
@@ -310,10 +311,27 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
 
 
+def wanted_sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(same, shingles) of the sets that nodes (same) name, each different set once.
+
+    Few sets are candidates, so a bitmap of bounded size, two bits a set, holds back most of the others where they are
+    read; what it lets pass is hashed together and joined exactly.
+    """
+    nodes = stored(nodes.select("same").distinct())
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap_of(nodes.select(F.col("same").alias("key"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(allowed(bitmap, batch.column(0).to_numpy().view(np.uint64))))
+
+    some = rows.select("same", "shingles").mapInArrow(run, "same long, shingles binary")
+    return some.dropDuplicates(["same"]).join(nodes.hint("shuffle_hash"), "same", "left_semi")
+
+
 def sets_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(same, shingles) of all that pairs (a, b) name. All shingles are shuffled for it, each different set once."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("same")).distinct()
-    return rows.select("same", "shingles").dropDuplicates(["same"]).join(nodes.hint("shuffle_hash"), "same", "left_semi")
+    """(same, shingles) of all that pairs (a, b) name."""
+    return wanted_sets(rows, pairs.select(F.explode(F.array("a", "b")).alias("same")))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
