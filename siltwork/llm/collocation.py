@@ -8,7 +8,8 @@ The documents are dealt into a few shards, each a set of tasks; the fewer, the n
 one, and the fewer phrases pass that are not frequent. If a phrase occurs ``support`` times in all, then
 ``support / shards`` times in one of them at least, so each shard is mined completely at this lowered support, level by
 level: of the phrases of k words only those are counted whose two parts of k - 1 words are frequent in some shard. The
-locally frequent phrases of all shards are united, and a last pass over the texts counts them, all exactly. A shard is as
+locally frequent phrases of all shards are united, less those whose hash does not reach the support in all shards
+together, and a last pass over the texts counts them, all exactly. A shard is as
 large as its share of the corpus and is never held in one task: its tasks count what they read, and a shuffle adds the
 counts of a shard up. What is frequent goes to the tasks as a bitmap of two bits a phrase whose size is bounded
 (``MOST_BITS``). It can let a phrase pass that is not frequent, which costs a row, but holds back none that is. When a
@@ -251,7 +252,10 @@ def phrase_counts(docs: DataFrame, *, longest: int = LONGEST, support: int = SUP
     local, parts = -(-support // shards), []
     for k in range(1, longest + 1):
         counts = rows.mapInArrow(_mine(k, shards, parts[-1] if parts else None), "key long, shard int, n long")
-        found = counts.groupBy("key", "shard").agg(F.sum("n").alias("n")).where(F.col("n") >= local).select("key")
+        each = [F.sum(F.when(F.col("shard") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(shards)]
+        # Frequent in a shard; and as all shards' counts of a hash meet here, not below the support in all.
+        frequent_in_one = F.greatest(*[F.col(f"n{i}") for i in range(shards)], F.lit(0)) >= local
+        found = counts.groupBy("key").agg(*each).where(frequent_in_one & (sum(F.col(f"n{i}") for i in range(shards)) >= support)).select("key")
         parts.append(spark.sparkContext.broadcast(bitmap_of(stored(found))))
     counted = rows.mapInArrow(_count(longest, parts), "lang string, phrase string, words int, n long")
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where((F.col("f") >= support) | (F.col("words") == 0))
