@@ -57,7 +57,7 @@ _LOWER = bytes(range(256)).lower()
 _FACTORS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of an odd number and of its inverse, modulo 2^64."""
     return tuple(np.concatenate([np.ones(1, np.uint64), np.full(n, f, np.uint64)]).cumprod(dtype=np.uint64) for f in (factor, pow(factor, -1, 1 << 64)))
@@ -217,15 +217,19 @@ def _count(longest: int, parts: list[Broadcast]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps = [np.frombuffer(p.value, np.uint8) for p in parts]
-        counts: dict[tuple[str, int, str], int] = {}
+        counts: dict[str, dict[str, int]] = {}
 
-        def sent() -> pa.RecordBatch:
-            columns = list(zip(*counts, strict=True)) if counts else [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[2], pa.string()), pa.array(columns[1], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["lang", "phrase", "words", "n"])
+        def sent() -> Iterator[pa.RecordBatch]:
+            for lang in list(counts):
+                found = counts.pop(lang)
+                phrases = list(found)
+                size = [p.count(" ") + 1 if p else 0 for p in phrases]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(phrases, pa.string()), pa.array(size, pa.int32()), pa.array(found.values(), pa.int64())], names=["lang", "phrase", "words", "n"])
 
         for lang, words in by_language(batches):
+            of = counts.setdefault(lang, {})
             if len(words.start):
-                counts[lang, 0, ""] = counts.get((lang, 0, ""), 0) + len(words.start)
+                of[""] = of.get("", 0) + len(words.start)
             for k in range(1, longest + 1):
                 at = frequent(words, k, None if k == 1 else bitmaps[k - 2])
                 at = at[allowed(bitmaps[k - 1], words.phrases(k)[at])]
@@ -235,12 +239,11 @@ def _count(longest: int, parts: list[Broadcast]):
                 new = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
                 start = np.flatnonzero(np.concatenate([[True], new])) if len(key) else np.zeros(0, np.int64)
                 for i, n in zip(at[start].tolist(), np.diff(start, append=len(key)).tolist(), strict=True):
-                    of = (lang, k, words.text(i, k))
-                    counts[of] = counts.get(of, 0) + n
-            if len(counts) > HELD // 2:
-                yield sent()
-                counts = {}
-        yield sent()
+                    phrase = words.text(i, k)
+                    of[phrase] = of.get(phrase, 0) + n
+            if sum(map(len, counts.values())) > HELD // 4:
+                yield from sent()
+        yield from sent()
 
     return run
 
