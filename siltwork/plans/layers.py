@@ -7,12 +7,12 @@ from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltwork.operators import audit, changes, conform, control, deltas, merge, scd2
 from siltwork.operators.gate import GateResult, Rule, gate_log, quality_gate, quarantine_dedup, quarantined, scoped
-from siltwork.sources import history, tables
+from siltwork.sources import buckets, history, tables
 from siltwork.sources.commits import Commits, Run
 from siltwork.sources.scratch import written
 
@@ -61,6 +61,8 @@ def gold_merge(target: DataFrame, source: DataFrame, entity: Entity, ts: str) ->
 #: Layers whose rows pass a gate, and the logs that hold what it kept back.
 QUARANTINE = {"silver": "quarantine", "gold": "quarantine_gold", "summary": "quarantine_summary"}
 REPLAY = "replay"
+#: Tables with one row a key.
+BUCKETED = ("silver", "gold")
 
 
 @dataclass
@@ -72,12 +74,16 @@ class Layers:
     they seen, all at once, and only then has the layer read its range. A run that a crash cut short is done again from
     the same range and writes over what it left. A failure is told in the audit log at once.
 
-    gates: rules of ``gold`` and ``summary``; Silver's rules are given to the run.
+    Bronze's current rows, Silver and Gold lie in hash buckets of the keys: a run reads and writes those that its changes
+    reach, and refers to the others where they are.
+
+    gates: rules of ``gold`` and ``summary``; Silver's rules are given to the run. per_bucket: rows that a bucket should hold.
     """
 
     root: str
     entity: Entity = ORDERS
     gates: Mapping[str, Sequence[Rule]] = field(default_factory=dict)
+    per_bucket: int = buckets.ROWS
 
     @property
     def commits(self) -> Commits:
@@ -92,7 +98,10 @@ class Layers:
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """silver, gold, summary or summary_state as the last finished run left it."""
-        return tables.read_snapshot(spark, self.path(name), self.commits.version(spark, name))[0]
+        return self._at(spark, name, self.commits.version(spark, name))
+
+    def _at(self, spark: SparkSession, name: str, version: int) -> DataFrame:
+        return buckets.read(spark, self.path(name), version) if name in BUCKETED else tables.read_snapshot(spark, self.path(name), version)[0]
 
     def history(self, spark: SparkSession) -> DataFrame:
         """Bronze's whole history."""
@@ -134,8 +143,22 @@ class Layers:
         run.versions[table] = tables.write_version(rows, self.path(table), self.commits.next_version(spark, table), redo=True)
         return run.versions[table]
 
+    def _load(self, spark: SparkSession, run: Run, table: str, rows: DataFrame) -> int:
+        """A whole table with one row a key, in buckets."""
+        run.versions[table] = buckets.create(rows, self.path(table), self.entity.keys, self.commits.next_version(spark, table), per_bucket=self.per_bucket, redo=True)
+        return run.versions[table]
+
+    def _merge(self, spark: SparkSession, run: Run, table: str, rows: DataFrame, gone: Column) -> DataFrame:
+        """Upserts and deletes by key into the buckets that they reach; what these held before. Metrics are logged after the write."""
+        keys, path = self.entity.keys, self.path(table)
+        into = buckets.reach(spark, path, rows, self.commits.version(spark, table))
+        run.versions[table] = buckets.replace(into, merge.apply_changes(into.rows, rows, keys, gone), path, self.commits.next_version(spark, table), redo=True)
+        metrics = merge.merge_metrics(into.rows, rows, keys, gone)
+        run.lines.setdefault("audit_log", []).append(audit.merge_entries(metrics, f"{table}.{self.entity.name}", run.ts, run_id=run.run_id))
+        return into.rows
+
     def _written(self, spark: SparkSession, run: Run, table: str) -> DataFrame:
-        return tables.read_snapshot(spark, self.path(table), run.versions[table])[0]
+        return self._at(spark, table, run.versions[table])
 
     # --- the first load -----------------------------------------------------------------------------------------
 
@@ -144,7 +167,7 @@ class Layers:
         e = self.entity
         if self.watermark(spark, "bronze") is None:
             with self._run(spark, "bronze", version, ts, "bootstrap") as run:
-                run.versions["bronze"] = history.create(scd2.bootstrap(snapshot.select(*e.business), e.business, ts), self.path("bronze"), 0, redo=True)
+                run.versions["bronze"] = history.create(scd2.bootstrap(snapshot.select(*e.business), e.business, ts), self.path("bronze"), 0, keys=e.keys, per_bucket=self.per_bucket, redo=True)
                 run.notes["rows"] = str(history.current(spark, self.path("bronze"), 0)[0].count())
         bronze = self.commits.version(spark, "bronze")
         if self.watermark(spark, "silver") is None:
@@ -153,14 +176,14 @@ class Layers:
                 good = self._gate(run, "silver", now, rules, "bootstrap")
                 rows = conform.silver_bootstrap(good, e.business, ts)
                 self._drift(spark, run, "silver", rows)
-                self._write(spark, run, "silver", rows)
+                self._load(spark, run, "silver", rows)
                 run.notes["rows"] = str(self._written(spark, run, "silver").count())
         if self.watermark(spark, "gold") is None:
             silver = self.commits.version(spark, "silver")
             with self._run(spark, "gold", silver, ts, "bootstrap") as run:
-                rows, _ = tables.read_snapshot(spark, self.path("silver"), silver)
+                rows = self._at(spark, "silver", silver)
                 good = self._gate(run, "gold", conform.gold_rows(rows, e.gold, e.formulas or {}, ts), self.gates.get("gold", ()), "bootstrap")
-                self._write(spark, run, "gold", good)
+                self._load(spark, run, "gold", good)
                 gold = self._written(spark, run, "gold")
                 run.notes["rows"] = str(gold.count())
                 self._write(spark, run, "summary_state", deltas.state_of(gold, deltas.STATUS, deltas.status_measures()))
@@ -177,8 +200,7 @@ class Layers:
         feed = changes.read_changes(spark.read.parquet(self.path("staging")), mark, to_version)
         with self._run(spark, "bronze", to_version, ts, "scd2") as run:
             before = self.commits.version(spark, "bronze")
-            now, _ = history.current(spark, self.path("bronze"), before)
-            run.versions["bronze"] = history.append(scd2.run(now, feed, e.keys, e.business, ts), self.path("bronze"), before + 1, redo=True)
+            run.versions["bronze"] = history.run(spark, self.path("bronze"), feed, e.keys, e.business, ts, before, before + 1, redo=True)
             run.notes["rows"] = str(history.changes(spark, self.path("bronze"), before, before + 1).count())
         return run.versions["bronze"]
 
@@ -195,19 +217,14 @@ class Layers:
         return run.versions["silver"]
 
     def _merge_silver(self, spark: SparkSession, run: Run, rows: DataFrame) -> None:
-        """Rows that passed, with whether they are current, into Silver; its metrics are logged after the write."""
-        e, gone = self.entity, ~F.col(scd2.CURRENT)
+        """Rows that passed, with whether they are current, into Silver."""
         target = self.table(spark, "silver")
         self._drift(spark, run, "silver", rows.select(*target.columns))
         moved = rows.withColumn(changes.CHANGE_TYPE, F.when(F.col(scd2.CURRENT), changes.UPDATE).otherwise(changes.DELETE))
         version = self.commits.next_version(spark, "silver")
         # What changed is written before the version that has it, so no version is without its changes.
         moved.write.mode("overwrite").parquet(f"{self.path('silver_changes')}/v={version}")
-        self._write(spark, run, "silver", merge.apply_changes(target, rows, e.keys, gone))
-        self._merged(run, merge.merge_metrics(target, rows, e.keys, gone), f"silver.{e.name}")
-
-    def _merged(self, run: Run, metrics: DataFrame, table: str) -> None:
-        run.lines.setdefault("audit_log", []).append(audit.merge_entries(metrics, table, run.ts, run_id=run.run_id))
+        self._merge(spark, run, "silver", rows, ~F.col(scd2.CURRENT))
 
     def run_gold(self, spark: SparkSession, ts: str) -> int | None:
         """Silver's changes through Gold's gate into Gold, and by signed changes into the table that is derived from it."""
@@ -220,9 +237,8 @@ class Layers:
             source = changes.latest_per_key(moved, e.keys, [F.col("v").desc()]).drop("v")
             source = conform.gold_rows(source, [*e.gold, changes.CHANGE_TYPE], e.formulas or {}, ts)
             good = self._gate(run, "gold", source, self.gates.get("gold", ()), "incremental", f"{changes.CHANGE_TYPE} <> '{changes.DELETE}'")
-            target, gone = self.table(spark, "gold"), F.col(changes.CHANGE_TYPE) == changes.DELETE
-            self._write(spark, run, "gold", merge.apply_changes(target, good, e.keys, gone))
-            self._merged(run, merge.merge_metrics(target, good, e.keys, gone), f"gold.{e.name}")
+            gone = F.col(changes.CHANGE_TYPE) == changes.DELETE
+            target = self._merge(spark, run, "gold", good, gone)
             state = self.table(spark, "summary_state")
             touched = deltas.folded(state, deltas.of_merge(target, good, e.keys, gone), deltas.STATUS, deltas.status_measures())
             self._write(spark, run, "summary_state", deltas.replaced(state, touched, deltas.STATUS))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltwork.operators import changes, scd2
+from siltwork.operators import changes
 from siltwork.plans.layers import Entity
 from siltwork.sources import history, tables
 
@@ -23,7 +23,7 @@ def incremental_apply(spark: SparkSession, feed_path: str, schema: T.StructType,
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        done = tables.versions(spark, history_path)
+        done = history.versions(spark, history_path)
         if number + 1 in done:  # written before the checkpoint was
             return
         held = [v for v in tables.versions(spark, marks) if v <= number]
@@ -32,8 +32,7 @@ def incremental_apply(spark: SparkSession, feed_path: str, schema: T.StructType,
         if number + 1 not in tables.versions(spark, marks):
             top = fresh.agg(F.coalesce(F.max(changes.VERSION), F.lit(last)).cast("long").alias("version"))
             tables.write_version(top, marks, number + 1)
-        now, _ = history.current(spark, history_path, max(v for v in done if v <= number))
-        history.append(scd2.run(now, fresh, entity.keys, entity.business, ts), history_path, number + 1)
+        history.run(spark, history_path, fresh, entity.keys, entity.business, ts, max(v for v in done if v <= number), number + 1, redo=True)
 
     stream = spark.readStream.schema(schema).parquet(feed_path)
     query = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(apply).start()

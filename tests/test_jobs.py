@@ -8,7 +8,7 @@ from siltwork.functions import checks
 from siltwork.operators import changes, conform, control, dataset_checks, deltas, gate, merge, scd2
 from siltwork.plans.layers import ORDERS, Layers
 from siltwork.plans.queries import ORDER_RULES
-from siltwork.sources import commits, history, tables
+from siltwork.sources import buckets, commits, history, tables
 from siltwork.sources.scratch import written
 from siltwork.streaming.incremental import incremental_apply
 
@@ -457,3 +457,51 @@ def test_outliers_without_spread(spark):
     same = spark.range(5).withColumn("x", F.lit(1.0))
     assert not any(r.bad for r in dataset_checks.has_no_outliers(same, "bad", "x").collect())
     assert dataset_checks.has_no_outliers(same.limit(0), "bad", "x").count() == 0
+
+
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_merges_write_only_the_buckets_that_changes_reach(spark, tmp_path):
+    """Bronze, Silver and Gold of many keys in many buckets: a run of two changed keys writes two buckets and refers to the rest."""
+    many = spark.range(4000).selectExpr("concat('K-', id) AS order_id", "concat('name ', id) AS customer_name", "'pending' AS status", "CAST(id + 1 AS DOUBLE) AS amount")
+    job = Layers(str(tmp_path / "job"), per_bucket=100)
+    tables.write_changes(feed(spark, ("K-7", "name 7", "completed", 8.0, "update_postimage", 1), ("K-8", "name 8", "pending", 9.0, "delete", 1)), job.path("staging"))
+    job.bootstrap(spark, many, 0, T[0])
+    job.run(spark, 1, T[1])
+    for name in ("bronze", "silver", "gold"):
+        first, then = (tmp_path / "job" / name / f"v={n}" for n in (0, 1))
+        assert len(list(first.glob("_bucket=*"))) == 40 and len(list(then.glob("_bucket=*"))) <= 2
+        assert size_of(then) < size_of(first) / 5
+    for name in ("silver", "gold"):
+        now = {r.order_id: r.status for r in job.table(spark, name).collect()}
+        assert len(now) == 3999 and now["K-7"] == "completed" and "K-8" not in now and now["K-3999"] == "pending"
+    assert job.history(spark).count() == 4001 and scd2.current_rows(job.history(spark)).count() == 3999
+    assert {r.status: r.order_count for r in job.table(spark, "summary").collect()} == {"pending": 3998, "completed": 1}
+
+
+def test_buckets_empty_grow_and_keep_null_keys(spark, three, tmp_path):
+    at = str(tmp_path / "t")
+    gone = F.col("_change_type") == "delete"
+
+    def merged(batch, n):
+        into = buckets.reach(spark, at, batch, n)
+        return buckets.replace(into, merge.apply_changes(into.rows, batch, KEYS, gone), at)
+
+    assert buckets.create(three.unionByName(rows(spark, (None, "nobody", "pending", 1.0))), at, KEYS, per_bucket=1) == 0
+    n = merged(feed(spark, (None, "somebody", "pending", 2.0, "update_postimage", 1), ("ORD-001", "Alice Johnson", "pending", 150.0, "delete", 1)), 0)
+    assert {(r.order_id, r.customer_name) for r in buckets.read(spark, at, n).collect()} == {("ORD-002", "Bob Smith"), ("ORD-003", "Carol White"), (None, "somebody")}
+    assert buckets.read(spark, at, 0).count() == 4  # older versions stay as they were
+    # No change reaches nothing, and a crash before the layout leaves no version.
+    n = merged(feed(spark).limit(0), n)
+    assert buckets.read(spark, at).count() == 3 and not list((tmp_path / "t" / f"v={n}").glob("_bucket=*"))
+    tables.write_version(three, at, n + 1)
+    assert buckets.versions(spark, at) == [0, 1, 2] and buckets.read(spark, at).count() == 3
+    # All rows go, the table is empty and comes back.
+    n = merged(feed(spark, *[(k, "x", "s", 0.0, "delete", 2) for k in ("ORD-002", "ORD-003", None)]), n)
+    assert n == 4 and buckets.read(spark, at).count() == 0 and buckets.read(spark, at).columns == three.columns
+    n = merged(feed(spark, *[(f"N-{i}", "x", "s", float(i), "insert", 3) for i in range(60)]), n)
+    assert buckets.layout(spark, at, n).n == 4 and buckets.layout(spark, at, n).outgrown
+    n = merged(feed(spark, ("N-0", "y", "s", 0.0, "update_postimage", 4)), n)
+    assert buckets.layout(spark, at, n).n == 60 and {(r.order_id, r.customer_name) for r in buckets.read(spark, at).collect()} == {("N-0", "y"), *[(f"N-{i}", "x") for i in range(1, 60)]}
