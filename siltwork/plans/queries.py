@@ -426,6 +426,17 @@ def compare_datasets(spark, sf_dir):
     return rows.select("order_id", "status", F.coalesce(F.get_json_object("changed", "$.amount").isNotNull(), F.lit(False)).alias("amount_changed"))
 
 
+ORACLE_SQL["compare_by_digest"] = ORACLE_SQL["compare_datasets"]
+
+
+@register("compare_by_digest")
+def compare_by_digest(spark, sf_dir):
+    """The same differences, of which only ranges of keys with one are joined."""
+    ord_ = frame(spark, sf_dir, "ord")
+    rows = compare.compare_by_digest(ord_, written(scd2.current_rows(history1(spark, sf_dir)).select(*BUSINESS), "compared"), KEYS)
+    return rows.select("order_id", "status", F.coalesce(F.get_json_object("changed", "$.amount").isNotNull(), F.lit(False)).alias("amount_changed"))
+
+
 @register("aggr_matches_dataset", "SELECT coalesce(a.status, b.status) AS status, a.n AS value, b.n AS ref_value FROM (SELECT status, count(*) AS n FROM {ord} GROUP BY 1) a FULL JOIN (SELECT status, count(*) AS n FROM {merged} GROUP BY 1) b ON a.status = b.status WHERE a.n IS DISTINCT FROM b.n")
 def aggr_matches_dataset(spark, sf_dir):
     now = scd2.current_rows(history1(spark, sf_dir)).select(*BUSINESS)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltwork.functions import checks
-from siltwork.operators import changes, conform, control, dataset_checks, deltas, gate, merge, scd2
+from siltwork.operators import changes, compare, conform, control, dataset_checks, deltas, gate, merge, scd2
 from siltwork.plans.layers import ORDERS, Layers
 from siltwork.plans.queries import ORDER_RULES
 from siltwork.sources import buckets, commits, history, tables
@@ -505,3 +505,23 @@ def test_buckets_empty_grow_and_keep_null_keys(spark, three, tmp_path):
     assert buckets.layout(spark, at, n).n == 4 and buckets.layout(spark, at, n).outgrown
     n = merged(feed(spark, ("N-0", "y", "s", 0.0, "update_postimage", 4)), n)
     assert buckets.layout(spark, at, n).n == 60 and {(r.order_id, r.customer_name) for r in buckets.read(spark, at).collect()} == {("N-0", "y"), *[(f"N-{i}", "x") for i in range(1, 60)]}
+
+
+def test_digests_lead_to_the_rows_that_differ(spark, tmp_path):
+    many = spark.range(20000).selectExpr("concat('K-', id) AS order_id", "CASE WHEN id % 5 = 0 THEN NULL ELSE concat('n', id) END AS customer_name", "CASE WHEN id % 5 = 1 THEN NULL ELSE 'pending' END AS status", "CAST(id AS DOUBLE) AS amount")
+    many = written(many.unionByName(rows(spark, (None, "nobody", "s", 1.0), ("Z", None, "moved", 0.0))), "left")
+    other = many.withColumn("amount", F.when(F.col("order_id") == "K-77", F.lit(0.5)).otherwise(F.col("amount"))).where("order_id IS NULL OR order_id <> 'K-88'")
+    # NULL and a value that change places are told, and so is the row without a key.
+    other = other.withColumns({"customer_name": F.when(F.col("order_id") == "Z", F.col("status")).otherwise(F.col("customer_name")), "status": F.when(F.col("order_id") == "Z", F.lit(None)).otherwise(F.col("status"))})
+    other = written(other.withColumn("amount", F.when(F.col("order_id").isNull(), 2.0).otherwise(F.col("amount"))).unionByName(rows(spark, ("new", "x", "s", 1.0))).repartition(3), "right")
+    want = compare.compare_datasets(many, other, KEYS).collect()
+    assert len(want) == 5
+    assert sorted(map(str, compare.compare_by_digest(many, other, KEYS).collect())) == sorted(map(str, want))
+    a, b = compare.differing(many, other, KEYS)
+    assert a.count() <= 12 and b.count() <= 12 and a.columns == many.columns
+    a, b = compare.differing(many, many.repartition(5), KEYS)
+    assert a.count() == b.count() == 0
+    assert compare.compare_by_digest(many, other, KEYS, exclude_columns=["amount", "customer_name", "status"]).count() == 2
+    assert compare.compare_by_digest(many, many.limit(0), KEYS, ranges=4).count() == 20002
+    tolerant = compare.compare_by_digest(many, many.withColumn("amount", F.col("amount") + 0.001), KEYS, ranges=4, abs_tolerance=0.01)
+    assert tolerant.count() == 0
