@@ -93,7 +93,7 @@ class Layers:
         return f"{self.root}/{name}"
 
     def log(self, spark: SparkSession, name: str) -> DataFrame | None:
-        """A log's rows: quarantine, quarantine_gold, quarantine_summary, gate_log, audit_log, refresh_log, schema_log, resolved."""
+        """A log's rows: quarantine, quarantine_gold, quarantine_summary, gate_log, audit_log, refresh_log, schema_log, resolved, late_changes."""
         return self.commits.read(spark, name)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
@@ -193,17 +193,31 @@ class Layers:
 
     def run_bronze(self, spark: SparkSession, to_version: int, ts: str) -> int | None:
         """Staging's changes up to a version into the history; None if there is nothing to read."""
-        e, mark = self.entity, self.watermark(spark, "bronze")
+        mark = self.watermark(spark, "bronze")
         control.check_bootstrap(bool(tables.versions(spark, self.path("bronze"))), mark)
         if mark is not None and mark >= to_version:
             return None
-        feed = changes.read_changes(spark.read.parquet(self.path("staging")), mark, to_version)
+        return self.run_feed(spark, changes.read_changes(spark.read.parquet(self.path("staging")), mark, to_version), to_version, ts)
+
+    def run_feed(self, spark: SparkSession, feed: DataFrame, to_version: int, ts: str, *, batch: str | None = None) -> int:
+        """Changes after Bronze's watermark, up to a version, into the history. batch: the name of a stream's batch, held in the marker."""
+        e = self.entity
         with self._run(spark, "bronze", to_version, ts, "scd2") as run:
+            if batch is not None:
+                run.notes["batch"] = batch
             before = self.commits.version(spark, "bronze")
             run.versions["bronze"] = history.run(spark, self.path("bronze"), feed, e.keys, e.business, ts, before, before + 1, redo=True)
             run.notes["rows"] = str(history.changes(spark, self.path("bronze"), before, before + 1).count())
         return run.versions["bronze"]
 
+    def log_late(self, spark: SparkSession, rows: DataFrame, batch: str, ts: str) -> None:
+        """Changes that a stream's batch brought after their version had been passed; told once a batch."""
+        run = Run(f"late-{batch}", "late", len(self.commits.all(spark)), ts)
+        if any(r.run_id == run.run_id for r in self.commits.all(spark)):
+            return
+        self.commits.log(run, "late_changes", rows.withColumns({"_batch": F.lit(batch), "_seen_at": F.lit(ts).cast("timestamp")}))
+        self.commits.mark(spark, run)
+
     def run_silver(self, spark: SparkSession, ts: str, rules: Sequence[Rule] = ()) -> int | None:
         """Bronze's changes through the gate into Silver; rows that fail are in quarantine, and Silver keeps what it had of them."""
         e, mark, to = self.entity, self.watermark(spark, "silver"), self.commits.version(spark, "bronze")

@@ -17,6 +17,7 @@ from siltwork.sources.entities import SQL as ENTITIES
 from siltwork.sources.entities import frame, plain_sql, query
 from siltwork.sources.scratch import scratch_path, written
 from siltwork.streaming.incremental import incremental_apply
+from siltwork.streaming.layered import stream_layers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -643,6 +644,17 @@ def layered_run(spark, sf_dir):
     return layered(spark, sf_dir).table(spark, "gold").select("order_id", "customer_name", "status", amount())
 
 
+@register("stream_layers", LAYERED)
+def stream_layers_(spark, sf_dir):
+    """Gold after the feed has come as a stream through all layers and gates."""
+    job, feed, mark = Layers(scratch_path(spark, "layers")), scratch_path(spark, "stream_feed"), scratch_path(spark, "stream_mark")
+    job.bootstrap(spark, frame(spark, sf_dir, "ord"), 0, T0)
+    rows = frame(spark, sf_dir, "feed")
+    rows.write.parquet(feed)
+    stream_layers(spark, feed, rows.schema, job, mark, T1, CAP_RULES)
+    return job.table(spark, "gold").select("order_id", "customer_name", "status", amount())
+
+
 @register("layered_summary", (SUMMARY % "ord").replace("{ord}", f"({LAYERED})"))
 def layered_summary(spark, sf_dir):
     """The derived table after the run, which signed changes brought there, equals one built from Gold."""

@@ -11,6 +11,7 @@ from siltwork.plans.queries import ORDER_RULES
 from siltwork.sources import buckets, commits, history, tables
 from siltwork.sources.scratch import written
 from siltwork.streaming.incremental import incremental_apply
+from siltwork.streaming.layered import stream_layers
 
 KEYS, COLUMNS = list(ORDERS.keys), list(ORDERS.business)
 ROW = "order_id string, customer_name string, status string, amount double"
@@ -525,3 +526,30 @@ def test_digests_lead_to_the_rows_that_differ(spark, tmp_path):
     assert compare.compare_by_digest(many, many.limit(0), KEYS, ranges=4).count() == 20002
     tolerant = compare.compare_by_digest(many, many.withColumn("amount", F.col("amount") + 0.001), KEYS, ranges=4, abs_tolerance=0.01)
     assert tolerant.count() == 0
+
+
+def test_a_stream_through_the_layers_equals_the_batch_job(spark, three, tmp_path, monkeypatch):
+    """Two batches, the second with a late change and killed before Gold: tables, quarantines and logs are the batch job's, the late row is told once."""
+    gates = {"gold": [gate.Rule("cap", "sql_expression", {"expression": "amount < 500", "columns": ["amount"]})]}
+    first = feed(spark, ("ORD-002", "Bob Smith", "refunded", 75.5, "update_postimage", 1), ("ORD-004", "", "pending", 4.0, "insert", 2))
+    second = feed(spark, ("ORD-003", "Carol White", "pending", 200.0, "delete", 3), ("ORD-005", "Eve", "completed", 900.0, "insert", 3))
+    late = feed(spark, ("ORD-001", "Alice Johnson", "lost", 150.0, "update_postimage", 2))
+    batch, streamed = (Layers(str(tmp_path / n), gates=gates) for n in ("batch", "streamed"))
+    tables.write_changes(first.unionByName(second), batch.path("staging"))
+    for job in (batch, streamed):
+        job.bootstrap(spark, three, 0, T[0], ORDER_RULES)
+    batch.run(spark, 2, T[1], ORDER_RULES)
+    batch.run(spark, 3, T[2], ORDER_RULES)
+    source, mark = str(tmp_path / "source"), str(tmp_path / "mark")
+    go = lambda ts: stream_layers(spark, source, first.schema, streamed, mark, ts, ORDER_RULES)
+    first.coalesce(1).write.parquet(source)
+    go(T[1])
+    second.unionByName(late).coalesce(1).write.mode("append").parquet(source)
+    with monkeypatch.context() as m:
+        m.setattr(Layers, "run_gold", lambda *_: (_ for _ in ()).throw(Killed("the driver is gone")))
+        with pytest.raises(Exception, match="the driver is gone"):
+            go(T[2])
+    go(T[2])
+    assert everything(spark, streamed) == everything(spark, batch)
+    assert [(r.order_id, r._commit_version) for r in streamed.log(spark, "late_changes").collect()] == [("ORD-001", 2)]
+    assert streamed.watermark(spark, "bronze") == 3
