@@ -54,6 +54,8 @@ BLOCK_ROWS = 256
 FIRST_SEGMENTS = 1
 #: Texts and bytes of shingles of a block of a loose group, about.
 BLOCK_SETS, BLOCK_BYTES = 256, 1 << 22
+#: Blocks that a row names at once, as a logarithm: a bit for each in a long.
+BLOCK_SET = 6
 _HASHES = -(-2 * WORD * SEGMENTS // 64)
 
 
@@ -222,17 +224,42 @@ def pairs_between(keys: np.ndarray, sketches: np.ndarray, roots: np.ndarray, bit
             lo = hi
 
 
+def block_of(group: Column, part: Column) -> Column:
+    """The number of a group's block: a hash of the group and of the set of 64 parts, then the part in the set."""
+    return F.shiftleft(F.xxhash64(group, F.expr("part div 64")), BLOCK_SET).bitwiseOR(part % (1 << BLOCK_SET))
+
+
+def _sent_to(come: list[np.ndarray], blocks: list[np.ndarray]) -> pa.RecordBatch:
+    """(a, blocks, bits): each sketch once for each set of 64 blocks, a bit for each of these that it goes to."""
+    a, to = np.concatenate(come).view(np.int64), np.concatenate(blocks)
+    of, bits = to >> BLOCK_SET, np.uint64(1) << (to & ((1 << BLOCK_SET) - 1)).astype(np.uint64)
+    order = np.lexsort((of, a))
+    a, of, bits = a[order], of[order], bits[order]
+    start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (of[1:] != of[:-1])])) if len(a) else np.zeros(0, np.int64)
+    bits = np.bitwise_or.reduceat(bits, start) if len(a) else bits
+    return pa.RecordBatch.from_arrays([pa.array(a[start]), pa.array(of[start]), pa.array(bits.view(np.int64))], names=["a", "blocks", "bits"])
+
+
 def _near_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Buckets (key, sketch, root, block) -> (a, block): a sketch with the block of a near one, of the other's root or alone; the smaller goes to the larger."""
+    """Buckets (key, sketch, root, block) -> (a, blocks, bits): a sketch with the blocks of near ones, of another root or alone.
+
+    A text without a root goes to one that has one, else the smaller to the larger.
+    """
+    come, to, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     for keys, sketches, roots, blocks in whole_keys(batches):
         sketches = sketches.view(np.uint64)
         order = np.argsort(sketches, kind="stable")
-        known, at = sketches[order], blocks[order]
+        known, at, alone = sketches[order], blocks[order], roots[order] == NO_NUMBER
         for a, b in pairs_between(keys, sketches, roots, SKETCH_BITS):
-            low, high = np.minimum(a, b), np.maximum(a, b)
-            to = at[np.searchsorted(known, high)]
-            some = np.unique(np.stack([low.view(np.int64), to], 1), axis=0) if len(low) else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(some[:, k])) for k in (0, 1)], names=["a", "block"])
+            i, j = np.searchsorted(known, a), np.searchsorted(known, b)
+            goes = np.where(alone[i] == alone[j], a < b, alone[i])
+            come.append(np.where(goes, a, b))
+            to.append(at[np.where(goes, j, i)])
+            held += len(a)
+            if held > BLOCK:
+                yield _sent_to(come, to)
+                come, to, held = come[:1], to[:1], 0
+    yield _sent_to(come, to)
 
 
 def _alike_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,9 +306,13 @@ def in_blocks(classes: DataFrame, rows: DataFrame, root: DataFrame, loose: DataF
     need = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("bytes") / BLOCK_BYTES))
     # Only groups of more than one block have a row here.
     cut = of.groupBy("loose").agg(need.alias("blocks")).where("blocks > 1")
-    labelled = of.join(cut, "loose", "left").withColumn("block", F.xxhash64("loose", F.pmod(F.xxhash64("sketch"), F.coalesce("blocks", F.lit(1)))))
+    labelled = of.join(cut, "loose", "left").withColumn("part", F.pmod(F.xxhash64("sketch"), F.coalesce("blocks", F.lit(1)))).withColumn("block", block_of(F.col("loose"), F.col("part")))
     labelled = stored(labelled.select("sketch", "same", "words", "root", "block"))
-    sent = stored(in_buckets(keyed(labelled.select("sketch", "words", "root", "block"), SEGMENTS), _near_blocks, "a long, block long").distinct())
+    # A text meets the same near ones under many keys: sets of blocks are added up as bits before they are told apart.
+    near = in_buckets(keyed(labelled.select("sketch", "words", "root", "block"), SEGMENTS), _near_blocks, "a long, blocks long, bits long")
+    near = near.groupBy("a", "blocks").agg(F.bit_or("bits").alias("bits"))
+    one = F.explode(F.expr(f"filter(sequence(0, {(1 << BLOCK_SET) - 1}), i -> shiftright(bits, i) & 1 = 1)"))
+    sent = stored(near.select("a", "blocks", one.alias("part")).select("a", F.shiftleft("blocks", BLOCK_SET).bitwiseOR(F.col("part").cast("long")).alias("block")))
     there = labelled.join(sent.select("block").distinct().hint("shuffle_hash"), "block", "left_semi")
     come = sent.join(labelled.select(F.col("sketch").alias("a"), "same", "root"), "a")
     need = stored(there.select("block", F.lit(False).alias("comes"), "same", "root").union(come.select("block", F.lit(True), "same", "root")))
