@@ -381,8 +381,11 @@ def links(rows: DataFrame) -> DataFrame:
     close = in_buckets(keyed(classes.select("sketch", "words"), FIRST_SEGMENTS), _nearest)
     first = stored(of_sketches(close, classes).union(twins))
     known = stored(verified(first, sets_of(first, rows)))
-    root, loose = stored(smallest_reachable(known)), stored(smallest_reachable(first))
-    return known.union(in_blocks(classes, rows, root, loose))
+    root = stored(smallest_reachable(known))
+    # The verified pairs are among the first ones, so both further searches start from the stars that they make.
+    stars = root.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    loose = stored(smallest_reachable(stars.union(first)))
+    return stars.union(in_blocks(classes, rows, root, loose))
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
