@@ -132,35 +132,56 @@ class Parameters:
 
 def _sums(index: np.ndarray, grad: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rows, the gradients of each summed); by sorting, which is many times faster than np.add.at."""
-    order = np.argsort(index, kind="stable")
-    rows = index[order]
+    # Numbers of 16 bits are sorted by their digits, in a fifth of the time.
+    order = np.argsort(index.astype(np.uint16) if index.max(initial=0) < 1 << 16 else index, kind="stable")
+    rows = index.take(order)
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[first], np.add.reduceat(grad[order], first, axis=0)
+    return rows[first], np.add.reduceat(grad.take(order, 0), first, axis=0)
+
+
+def _add(p: Parameters, square: Parameters, name: str, rows: np.ndarray, full: np.ndarray, rate: float) -> None:
+    of = getattr(square, name)
+    total = of.take(rows, 0) + full * full
+    of[rows] = total
+    np.sqrt(total, out=total)
+    total += 1e-6
+    getattr(p, name)[rows] -= rate * full / total
 
 
 def nce_step(p: Parameters, square: Parameters, before: np.ndarray, before2: np.ndarray, token: np.ndarray, noise: np.ndarray, log_kq: np.ndarray, rate: float = RATE) -> None:
     """One AdaGrad step on a batch; noise: words drawn from the unigrams, log_kq: log of their number times their probability."""
-    u, v = p.context[before], p.context[before2]
+    size, d = len(token), p.context.shape[1]
+    u, v = p.context.take(before, 0), p.context.take(before2, 0)
     q = u * p.place[0] + v * p.place[1]
-    t, n = p.target[token], p.target[noise]
+    t, n = p.target.take(token, 0), p.target.take(noise, 0)
     # Each token against its share of the batch's noise words: their weight is that of len(noise) draws.
     true = (q * t).sum(1) + p.bias[token] - log_kq[token]
-    false = q @ n.T + p.bias[noise] - log_kq[noise]
     g_true = 1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1
-    np.exp(-np.clip(false, -30, 30, out=false), out=false)
-    g_false = np.reciprocal(false + 1)
-    g_q = g_true[:, None] * t + g_false @ n
-    size = len(token)
-    for name, index, grad in (
-        ("target", np.concatenate([token, noise]), np.concatenate([g_true[:, None] * q, g_false.T @ q])),
-        ("context", np.concatenate([before, before2]), np.concatenate([g_q * p.place[0], g_q * p.place[1]])),
-        ("bias", np.concatenate([token, noise]), np.concatenate([g_true, g_false.sum(0)])),
-    ):
-        rows, full = _sums(index, grad.astype(np.float32) / size)
-        total = getattr(square, name)[rows] + full * full
-        getattr(square, name)[rows] = total
-        getattr(p, name)[rows] -= rate * full / (np.sqrt(total) + 1e-6)
-    place = np.stack([(g_q * u).sum(0), (g_q * v).sum(0)]).astype(np.float32) / size
+    # The large matrix is made once and changed where it is.
+    false = q @ -n.T
+    false -= p.bias[noise] - log_kq[noise]
+    np.clip(false, -30, 30, out=false)
+    np.exp(false, out=false)
+    false += 1
+    g_false = np.reciprocal(false, out=false)
+    g_q = g_true[:, None] * t
+    g_q += g_false @ n
+    # Target and bias have the same rows; so have the two places' words in context.
+    grad = np.empty((size + len(noise), d + 1), np.float32)
+    np.multiply(g_true[:, None], q, out=grad[:size, :d])
+    grad[size:, :d] = g_false.T @ q
+    grad[:size, d], grad[size:, d] = g_true, g_false.sum(0)
+    grad /= size
+    of_token, full = _sums(np.concatenate([token, noise]), grad)
+    grad = np.empty((2 * size, d), np.float32)
+    np.multiply(g_q, p.place[0], out=grad[:size])
+    np.multiply(g_q, p.place[1], out=grad[size:])
+    grad /= size
+    of_before, around = _sums(np.concatenate([before, before2]), grad)
+    place = np.stack([np.einsum("ij,ij->j", g_q, u), np.einsum("ij,ij->j", g_q, v)]).astype(np.float32) / size
+    _add(p, square, "target", of_token, full[:, :d], rate)
+    _add(p, square, "bias", of_token, full[:, d], rate)
+    _add(p, square, "context", of_before, around, rate)
     square.place += place * place
     p.place -= rate * place / (np.sqrt(square.place) + 1e-6)
 
@@ -269,7 +290,9 @@ def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimension
 
             for batch in batches:
                 for text in _texts(batch.column(0)):
-                    ids = np.array([end, end, *map(symbols.__getitem__, words_of(text)), end])
+                    found = words_of(text)
+                    ids = np.full(len(found) + 3, end, np.int64)
+                    ids[2:-1] = np.fromiter(map(symbols.__getitem__, found), np.int64, len(found))
                     at = np.arange(round_, len(ids) - 2, rounds)
                     if len(at):
                         held.append(np.stack([ids[at], ids[at + 1], ids[at + 2]], 1))
