@@ -8,15 +8,16 @@ The documents are dealt into a few shards, each a set of tasks; the fewer, the n
 one, and the fewer phrases pass that are not frequent. If a phrase occurs ``support`` times in all, then
 ``support / shards`` times in one of them at least, so each shard is mined completely at this lowered support, level by
 level: of the phrases of k words only those are counted whose two parts of k - 1 words are frequent in some shard. The
-locally frequent phrases of all shards are united, less those whose hash does not reach the support in all shards
-together, and a last pass over the texts counts them, all exactly. A shard is as
+locally frequent phrases of all shards are united where the shards' counts meet: a candidate's parts are candidates, so
+every shard has counted all its occurrences, and the sum of the shards' counts is exact. A shard is as
 large as its share of the corpus and is never held in one task: its tasks count what they read, and a shuffle adds the
 counts of a shard up. What is frequent goes to the tasks as a bitmap of two bits a phrase whose size is bounded
 (``MOST_BITS``). It can let a phrase pass that is not frequent, which costs a row, but holds back none that is. When a
 corpus has more frequent phrases than the bitmap tells apart, the passes shuffle more and find the same.
 
-While mining, a phrase is the 64-bit hash of its words and language; in the last pass occurrences of one hash are one
-phrase only if a second hash agrees, and counts of tasks meet by the phrase itself.
+While mining, a phrase is 96 bits of two hashes of its words and language. A last pass over the texts gives the frequent
+ones their words: of the tasks that met a phrase one names it, told by a bitmap too, so a phrase is written about once
+and not by each task.
 
 Null texts are empty and have no words; a null lang is ``und``. Repeated rows count as often as they occur. Very long
 texts are read in parts, cut between pieces. Ties are broken by the phrase. An empty table gives no rows. Only text and
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ CHUNK, HELD = 1 << 19, 1 << 20
 #: Bits of a bitmap: so many a phrase, between these bounds (logarithms).
 BITS_A_PHRASE, LEAST_BITS, MOST_BITS = 16, 20, 28
 _BLOCK_BITS = 19
+#: Bits for the number of a task; beyond that, phrases are named by any.
+_TASK_BITS = 20
 NO_LANG = "und"
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
@@ -147,13 +150,13 @@ def allowed(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys and their counts."""
-    key, n = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key, kind="stable")
-    key, n = key[order], n[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[start], np.add.reduceat(n, start) if len(start) else n
+def summed(keys: list[np.ndarray], checks: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs of key and check and their counts; of two checks of one key a pair may come more than once."""
+    key, check, n = np.concatenate(keys), np.concatenate(checks), np.concatenate(counts)
+    order = np.argsort(key)
+    key, check, n = key[order], check[order], n[order]
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])])) if len(key) else np.zeros(0, np.int64)
+    return key[start], check[start], np.add.reduceat(n, start) if len(start) else n
 
 
 def frequent(words: Words, k: int, parts: np.ndarray | None) -> np.ndarray:
@@ -166,29 +169,37 @@ def frequent(words: Words, k: int, parts: np.ndarray | None) -> np.ndarray:
     return np.flatnonzero(fine)
 
 
-def _mine(k: int, shards: int, parts: Broadcast | None):
-    """Batches of (lang, text) -> (key, shard, n): a task's counts of phrases of k words."""
+def checks(words: Words, k: int, at: np.ndarray) -> np.ndarray:
+    """32 bits of a second hash of the phrases that begin there."""
+    return (words.phrases(k, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _mine(k: int, parts: Broadcast | None):
+    """Batches of (lang, text) -> (key, check, task, n): a task's counts of phrases of k words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() % shards
+        task = TaskContext.get().partitionId()
         bitmap = None if parts is None else np.frombuffer(parts.value, np.uint8)
-        keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        (keys, seconds, counts), held = map(list, none), 0
 
         def sent() -> pa.RecordBatch:
-            key, n = summed(keys, counts)
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), shard, np.int32)), pa.array(n)], names=["key", "shard", "n"])
+            key, check, n = summed(keys, seconds, counts)
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(check), pa.array(np.full(len(key), task, np.int32)), pa.array(n)], names=["key", "check", "task", "n"])
 
         for _, words in by_language(batches):
-            key, n = np.unique(words.phrases(k)[frequent(words, k, bitmap)], return_counts=True)
+            at = frequent(words, k, bitmap)
+            key, check, n = summed([words.phrases(k)[at]], [checks(words, k, at)], [np.ones(len(at), np.int64)])
             keys.append(key)
+            seconds.append(check)
             counts.append(n)
             held += len(key)
             if held > HELD:
-                key, n = summed(keys, counts)
-                keys, counts, held = [key], [n], len(key)
+                key, check, n = summed(keys, seconds, counts)
+                keys, seconds, counts, held = [key], [check], [n], len(key)
                 if held > HELD // 2:
                     yield sent()
-                    keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+                    (keys, seconds, counts), held = map(list, none), 0
         yield sent()
 
     return run
@@ -212,56 +223,90 @@ def bitmap_of(keys: DataFrame) -> bytes:
     return bytes(out)
 
 
-def _count(longest: int, parts: list[Broadcast]):
-    """Batches of (lang, text) -> (lang, phrase, words, n): a task's counts of the phrases in bitmaps; as phrase of no words, of all words."""
+def owned(keys: np.ndarray, task: np.ndarray) -> np.ndarray:
+    """What stands in a bitmap for phrases that a task names."""
+    return mixed(keys ^ (task.astype(np.uint64) + np.uint64(1)) * np.uint64(_FACTORS[0]))
+
+
+def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key, task = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(owned(key, task).view(np.int64))], names=["key"])
+
+
+def _named(longest: int, parts: list[Broadcast], by_owner: bool):
+    """Batches of (lang, text) -> (lang, phrase, words, key, check, n): the phrases in bitmaps, each once a task; as phrase of no words, n of all words.
+
+    by_owner: the bitmaps tell which task names a phrase, so others stay silent.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps = [np.frombuffer(p.value, np.uint8) for p in parts]
-        counts: dict[str, dict[str, int]] = {}
+        bitmaps, task = [np.frombuffer(p.value, np.uint8) for p in parts], TaskContext.get().partitionId()
+        seen: list[set[tuple[int, int]]] = [set() for _ in range(longest)]
+        total: dict[str, int] = {}
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            for lang in list(counts):
-                found = counts.pop(lang)
-                phrases = list(found)
-                size = [p.count(" ") + 1 if p else 0 for p in phrases]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(phrases, pa.string()), pa.array(size, pa.int32()), pa.array(found.values(), pa.int64())], names=["lang", "phrase", "words", "n"])
+        def batch(lang: list, phrase: list, size: list, key: list, check: list, n: list) -> pa.RecordBatch:
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip((lang, phrase, size, key, check, n), kinds, strict=True)], names=["lang", "phrase", "words", "key", "check", "n"])
 
         for lang, words in by_language(batches):
-            of = counts.setdefault(lang, {})
-            if len(words.start):
-                of[""] = of.get("", 0) + len(words.start)
+            total[lang] = total.get(lang, 0) + len(words.start)
             for k in range(1, longest + 1):
-                at = frequent(words, k, None if k == 1 else bitmaps[k - 2])
-                at = at[allowed(bitmaps[k - 1], words.phrases(k)[at])]
-                key, check = words.phrases(k)[at], words.phrases(k, 1)[at]
-                order = np.argsort(key, kind="stable")
-                key, check, at = key[order], check[order], at[order]
-                new = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
-                start = np.flatnonzero(np.concatenate([[True], new])) if len(key) else np.zeros(0, np.int64)
-                for i, n in zip(at[start].tolist(), np.diff(start, append=len(key)).tolist(), strict=True):
-                    phrase = words.text(i, k)
-                    of[phrase] = of.get(phrase, 0) + n
-            if sum(map(len, counts.values())) > HELD // 4:
-                yield from sent()
-        yield from sent()
+                at = frequent(words, k, None)
+                key = words.phrases(k)[at]
+                fine = allowed(bitmaps[k - 1], owned(key, np.array([task])) if by_owner else key)
+                at, key = at[fine], key[fine].view(np.int64)
+                check = checks(words, k, at)
+                new = [x for x in dict(zip(zip(key.tolist(), check.tolist(), strict=True), at.tolist(), strict=True)).items() if x[0] not in seen[k - 1]]
+                if sum(map(len, seen)) > HELD // 2:
+                    seen = [set() for _ in range(longest)]
+                seen[k - 1].update(x for x, _ in new)
+                if new:
+                    m = len(new)
+                    yield batch([lang] * m, [words.text(i, k) for _, i in new], [k] * m, [x for (x, _), _ in new], [y for (_, y), _ in new], [None] * m)
+        total = {lang: n for lang, n in total.items() if n}
+        m = len(total)
+        yield batch(list(total), [""] * m, [0] * m, [None] * m, [None] * m, list(total.values()))
 
     return run
 
 
+NAMED = "lang string, phrase string, words int, key long, check int, n long"
+
+
 def phrase_counts(docs: DataFrame, *, longest: int = LONGEST, support: int = SUPPORT, shards: int = SHARDS) -> DataFrame:
     """(lang, phrase, words, f) of all phrases of one to ``longest`` words that occur ``support`` times, and (lang, '', 0, all words)."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    local, parts = -(-support // shards), []
+    local, parts, levels = -(-support // shards), None, []
+    # One of the tasks that met a phrase, drawn by a hash, names it.
+    owner = F.hash("key", "task").bitwiseAND(0x7FFFFFFF >> _TASK_BITS << _TASK_BITS).bitwiseOR(F.col("task"))
     for k in range(1, longest + 1):
-        counts = rows.mapInArrow(_mine(k, shards, parts[-1] if parts else None), "key long, shard int, n long")
-        each = [F.sum(F.when(F.col("shard") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(shards)]
-        # Frequent in a shard; and as all shards' counts of a hash meet here, not below the support in all.
+        counts = rows.mapInArrow(_mine(k, parts), "key long, check int, task int, n long")
+        each = [F.sum(F.when(F.col("task") % shards == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(shards)]
+        # Frequent in a shard; and as all shards' counts of a phrase meet here, not below the support in all.
         frequent_in_one = F.greatest(*[F.col(f"n{i}") for i in range(shards)], F.lit(0)) >= local
-        found = counts.groupBy("key").agg(*each).where(frequent_in_one & (sum(F.col(f"n{i}") for i in range(shards)) >= support)).select("key")
-        parts.append(spark.sparkContext.broadcast(bitmap_of(stored(found))))
-    counted = rows.mapInArrow(_count(longest, parts), "lang string, phrase string, words int, n long")
-    return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where((F.col("f") >= support) | (F.col("words") == 0))
+        f = sum(F.col(f"n{i}") for i in range(shards))
+        found = counts.groupBy("key", "check").agg(*each, F.min(owner).alias("owner"))
+        found = found.where(frequent_in_one & (f >= support)).select("key", "check", f.alias("f"), F.col("owner").bitwiseAND((1 << _TASK_BITS) - 1).alias("task"))
+        levels.append(stored(found))
+        if k < longest:
+            parts = spark.sparkContext.broadcast(bitmap_of(levels[-1].select("key")))
+    known = reduce(DataFrame.union, [level.select("key", "check", F.lit(k).alias("words"), "f") for k, level in enumerate(levels, 1)])
+
+    def with_names(known: DataFrame, keys: list[DataFrame], by_owner: bool) -> tuple[DataFrame, DataFrame]:
+        named = stored(rows.mapInArrow(_named(longest, [spark.sparkContext.broadcast(bitmap_of(x)) for x in keys], by_owner), NAMED))
+        one = named.where("words > 0").groupBy("key", "check", "words").agg(F.first("lang").alias("lang"), F.first("phrase").alias("phrase"))
+        return stored(known.join(one, ["key", "check", "words"], "left")), named.where("words = 0")
+
+    found, total = with_names(known, [level.select("key", "task").mapInArrow(_owners, "key long") for level in levels], True)
+    # Should the texts have come in other partitions than before, what its task did not name is named by any.
+    missing = found.where("phrase IS NULL").select("key", "check", "words", "f")
+    if missing.limit(1).count():
+        more, _ = with_names(missing, [missing.where(F.col("words") == k).select("key") for k in range(1, longest + 1)], False)
+        found = found.where("phrase IS NOT NULL").unionByName(more)
+    total = total.groupBy("lang").agg(F.sum("n").alias("f")).select("lang", F.lit("").alias("phrase"), F.lit(0).alias("words"), "f")
+    return found.select("lang", "phrase", "words", "f").union(total)
 
 
 def collocations(docs: DataFrame, *, longest: int = LONGEST, support: int = SUPPORT, shards: int = SHARDS, top: int = TOP) -> DataFrame:
