@@ -11,7 +11,9 @@ level: of the phrases of k words only those are counted whose two parts of k - 1
 locally frequent phrases of all shards are united where the shards' counts meet: a candidate's parts are candidates, so
 every shard has counted all its occurrences, and the sum of the shards' counts is exact. A shard is as
 large as its share of the corpus and is never held in one task: its tasks count what they read, and a shuffle adds the
-counts of a shard up. What is frequent goes to the tasks as a bitmap of two bits a phrase whose size is bounded
+counts of a shard up. A task sends its counts sorted and in blocks, by the first bits of the hash; where the blocks meet,
+those of the same bits are merged, one after another. There are more blocks the more tasks there are, so a block's counts
+from all tasks stay about a sixteenth of what one task counts. What is frequent goes to the tasks as a bitmap of two bits a phrase whose size is bounded
 (``MOST_BITS``). It can let a phrase pass that is not frequent, which costs a row, but holds back none that is. When a
 corpus has more frequent phrases than the bitmap tells apart, the passes shuffle more and find the same.
 
@@ -50,6 +52,8 @@ BITS_A_PHRASE, LEAST_BITS, MOST_BITS = 16, 20, 28
 _BLOCK_BITS = 19
 #: Bits for the number of a task; beyond that, phrases are named by any.
 _TASK_BITS = 20
+#: Blocks of counts for each task, and at least (logarithms), and bytes of counts that are sent on at once, about.
+_BLOCKS_A_TASK, _LEAST_BLOCKS, _SENT = 4, 8, 1 << 22
 NO_LANG = "und"
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
@@ -174,19 +178,33 @@ def checks(words: Words, k: int, at: np.ndarray) -> np.ndarray:
     return (words.phrases(k, 1)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _mine(k: int, parts: Broadcast | None):
-    """Batches of (lang, text) -> (key, check, task, n): a task's counts of phrases of k words."""
+COUNTS = "block int, task int, keys binary, checks binary, counts binary"
+FOUND = "key long, check int, f long, task int"
+
+
+def blocks(key: np.ndarray, check: np.ndarray, n: np.ndarray, task: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Sorted counts as COUNTS: a row holds those whose keys have the same first bits."""
+    block = (key >> np.uint64(64 - bits)).astype(np.int32)
+    start = np.concatenate([np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))[: len(key)], [len(key)]])
+    some = max(_SENT * (len(start) - 1) // max(20 * len(key), 1), 1)
+    for lo in range(0, len(start) - 1, some):
+        of = start[lo : lo + some + 1]
+        part = slice(of[0], of[-1])
+        rows = [pa.array(block[of[:-1]]), pa.array(np.full(len(of) - 1, task, np.int32))]
+        for x in (key[part], check[part], n[part]):
+            offsets = ((of - of[0]) * x.itemsize).astype(np.int32)
+            rows.append(pa.Array.from_buffers(pa.binary(), len(of) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x))]))
+        yield pa.RecordBatch.from_arrays(rows, names=["block", "task", "keys", "checks", "counts"])
+
+
+def _mine(k: int, parts: Broadcast | None, bits: int):
+    """Batches of (lang, text) -> COUNTS: a task's counts of phrases of k words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         bitmap = None if parts is None else np.frombuffer(parts.value, np.uint8)
         none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         (keys, seconds, counts), held = map(list, none), 0
-
-        def sent() -> pa.RecordBatch:
-            key, check, n = summed(keys, seconds, counts)
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(check), pa.array(np.full(len(key), task, np.int32)), pa.array(n)], names=["key", "check", "task", "n"])
-
         for _, words in by_language(batches):
             at = frequent(words, k, bitmap)
             key, check, n = summed([words.phrases(k)[at]], [checks(words, k, at)], [np.ones(len(at), np.int64)])
@@ -198,9 +216,65 @@ def _mine(k: int, parts: Broadcast | None):
                 key, check, n = summed(keys, seconds, counts)
                 keys, seconds, counts, held = [key], [check], [n], len(key)
                 if held > HELD // 2:
-                    yield sent()
+                    yield from blocks(key, check, n, task, bits)
                     (keys, seconds, counts), held = map(list, none), 0
-        yield sent()
+        yield from blocks(*summed(keys, seconds, counts), task, bits)
+
+    return run
+
+
+def merged(rows: list[tuple[int, bytes, bytes, bytes]], shards: int, local: int, support: int, task_bits: int) -> tuple[np.ndarray, ...]:
+    """(key, check, f, task) of some blocks' (task, keys, checks, counts): what is frequent in a shard and in all, and a task that met it, drawn by a hash."""
+    key, check, n = (np.frombuffer(b"".join(r[i] for r in rows), kind) for i, kind in ((1, np.uint64), (2, np.int32), (3, np.int64)))
+    task = np.repeat(np.array([r[0] for r in rows], np.int32), [len(r[1]) // 8 for r in rows])
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    if (check[order][1:] != check[order][:-1])[same].any():
+        order = np.lexsort((check, key))
+    key, check, n, task = key[order], check[order], n[order], task[order]
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])]))
+    f = np.add.reduceat(n, start)
+    # As all shards' counts of a phrase meet here, those below the support in all are not frequent, whatever a shard has.
+    fine = f >= support
+    some = np.repeat(fine, np.diff(start, append=len(key)))
+    key, check, n, task, f = key[some], check[some], n[some], task[some], f[fine]
+    if not len(f):
+        return key, check, f, task
+    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (check[1:] != check[:-1])]))
+    most = reduce(np.maximum, [np.add.reduceat(np.where(task % shards == i, n, 0), start) for i in range(shards)])
+    bits, mask = np.uint64(task_bits), np.uint64((1 << task_bits) - 1)
+    owner = np.minimum.reduceat(owned(key, task) >> bits << bits | task.astype(np.uint64) & mask, start) & mask
+    fine = most >= local
+    start = start[fine]
+    return key[start], check[start], f[fine], owner[fine].astype(np.int32)
+
+
+def _merge(shards: int, local: int, support: int, task_bits: int):
+    """Batches of COUNTS in the order of the blocks -> FOUND."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, rows, size, found, held = None, [], 0, [], 0
+
+        def out() -> pa.RecordBatch:
+            key, check, f, task = map(np.concatenate, zip(*found, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(check), pa.array(f), pa.array(task)], names=["key", "check", "f", "task"])
+
+        for whole in batches:
+            for block, *row in zip(*(c.to_pylist() for c in whole.columns), strict=True):
+                # Small blocks are merged together.
+                if block != of and size > HELD // 16:
+                    found.append(merged(rows, shards, local, support, task_bits))
+                    rows, size, held = [], 0, held + len(found[-1][0])
+                    if held > HELD // 8:
+                        yield out()
+                        found, held = [], 0
+                of = block
+                rows.append(row)
+                size += len(row[1]) // 8
+        if rows:
+            found.append(merged(rows, shards, local, support, task_bits))
+        if found:
+            yield out()
 
     return run
 
@@ -279,17 +353,10 @@ def phrase_counts(docs: DataFrame, *, longest: int = LONGEST, support: int = SUP
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     local, parts, levels = -(-support // shards), None, []
-    # One of the tasks that met a phrase, drawn by a hash, names it.
-    owner = F.hash("key", "task").bitwiseAND(0x7FFFFFFF >> _TASK_BITS << _TASK_BITS).bitwiseOR(F.col("task"))
+    bits = max(rows.rdd.getNumPartitions().bit_length() + _BLOCKS_A_TASK, _LEAST_BLOCKS)
     for k in range(1, longest + 1):
-        counts = rows.mapInArrow(_mine(k, parts), "key long, check int, task int, n long")
-        each = [F.sum(F.when(F.col("task") % shards == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(shards)]
-        # Frequent in a shard; and as all shards' counts of a phrase meet here, not below the support in all.
-        frequent_in_one = F.greatest(*[F.col(f"n{i}") for i in range(shards)], F.lit(0)) >= local
-        f = sum(F.col(f"n{i}") for i in range(shards))
-        found = counts.groupBy("key", "check").agg(*each, F.min(owner).alias("owner"))
-        found = found.where(frequent_in_one & (f >= support)).select("key", "check", f.alias("f"), F.col("owner").bitwiseAND((1 << _TASK_BITS) - 1).alias("task"))
-        levels.append(stored(found))
+        counts = rows.mapInArrow(_mine(k, parts, bits), COUNTS).repartition("block").sortWithinPartitions("block")
+        levels.append(stored(counts.mapInArrow(_merge(shards, local, support, _TASK_BITS), FOUND)))
         if k < longest:
             parts = spark.sparkContext.broadcast(bitmap_of(levels[-1].select("key")))
     known = reduce(DataFrame.union, [level.select("key", "check", F.lit(k).alias("words"), "f") for k, level in enumerate(levels, 1)])
