@@ -33,6 +33,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,10 +53,12 @@ BATCH, NOISE, RATE = 2048, 128, 0.08
 HELD = 1 << 16
 #: Rows of the matrices that are averaged together, and the groups of partitions whose means are taken first.
 ROWS, GROUPS = 64, 256
-#: Words whose symbols a task remembers before it starts anew.
-MEMORY_WORDS = 500_000
+#: Texts whose words are found at once.
+TEXTS = 500
 _SPILL_WORDS = 400_000
 END = b"\n"
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_CRC = np.array([crc32(bytes([b])) ^ crc32(b"\0") for b in range(256)], np.uint32)
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -211,19 +214,45 @@ class Vocabulary:
         return np.concatenate([np.zeros(len(self.words)), np.log10(self.class_tokens + self.class_distinct + 1.0)])
 
 
-class _Symbols(dict):
-    """word -> symbol, remembered."""
+def word_classes(data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, classes: int) -> np.ndarray:
+    """word_class of the words that end before these bytes."""
+    crc = np.full(len(ends), 0xFFFFFFFF, np.uint32)
+    for back in range(ENDING, 0, -1):
+        at = np.flatnonzero(sizes >= back)
+        crc[at] = _CRC[(crc[at] ^ data[ends[at] - back]) & 255] ^ (crc[at] >> 8)
+    return ((crc ^ np.uint32(0xFFFFFFFF)) % np.uint32(classes)).astype(np.int64)
 
-    def __init__(self, vocab: Vocabulary):
-        super().__init__(vocab.words)
-        self.vocab = vocab
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMORY_WORDS:
-            self.clear()
-            self.update(self.vocab.words)
-        n = self[word] = self.vocab.symbol(word)
-        return n
+def symbols_of(column: pa.Array, words: pa.Array, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols of all texts' words, the number of words of each text); words: those of the model, by number."""
+    data, offsets = byte_columns(column)
+    data = np.frombuffer(data.tobytes().lower(), np.uint8)
+    inside = ~_SPACE[data]
+    # A word ends at a space and with its text.
+    before = np.concatenate([[False], inside])
+    before[offsets] = False
+    after = np.concatenate([inside, [False]])
+    after[offsets] = False
+    start, stop = np.flatnonzero(inside & ~before[:-1]), np.flatnonzero(inside & ~after[1:]) + 1
+    sizes = stop - start
+    ends, data = sizes.cumsum(), data[inside]
+    kind, width = (pa.binary(), np.int32) if len(data) < 1 << 31 else (pa.large_binary(), np.int64)
+    found = pa.Array.from_buffers(kind, len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(width)), pa.py_buffer(data)])
+    ids = pc.index_in(found, value_set=words.cast(kind)).fill_null(-1).to_numpy().astype(np.int64)
+    new = np.flatnonzero(ids < 0)
+    ids[new] = len(words) + word_classes(data, ends[new], sizes[new], classes)
+    return ids, np.diff(np.searchsorted(start, offsets))
+
+
+def windows_of(ids: np.ndarray, sizes: np.ndarray, end: int, first: int, step: int) -> np.ndarray:
+    """(word before that, word before, token) at places first, first + step, ... of each text, whose tokens are its words and its end."""
+    base = np.concatenate([[0], (sizes + 3).cumsum()])
+    path = np.full(base[-1], end, np.int64)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    path[np.arange(len(ids)) + 3 * text + 2] = ids
+    place = np.arange(len(path)) - np.repeat(base[:-1], sizes + 3)
+    at = np.flatnonzero((place % step == first % step) & (place >= first) & (place <= np.repeat(sizes, sizes + 3)))
+    return np.stack([path[at], path[at + 1], path[at + 2]], 1)
 
 
 def vocabulary(counts: DataFrame, model_words: int = MODEL_WORDS, frequent_words: int = FREQUENT_WORDS, classes: int = CLASSES) -> Vocabulary:
@@ -270,8 +299,8 @@ def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimension
         start = spark.sparkContext.broadcast(p)
 
         def run(batches: Iterator[pa.RecordBatch], start=start, round_=round_) -> Iterator[pa.RecordBatch]:
-            symbols = _Symbols(words.value)
-            end, top = symbols[END], len(words.value.unigram) - 1
+            known, classes = pa.array(words.value.words, pa.binary()), len(words.value.class_tokens)
+            end, top = words.value.words[END], len(words.value.unigram) - 1
             model = Parameters.of_rows(start.value.rows())
             square = Parameters.of_rows(np.full_like(model.rows(), 1e-3))
             rng = np.random.default_rng([round_, TaskContext.get().partitionId()])
@@ -289,15 +318,11 @@ def train(docs: DataFrame, vocab: Vocabulary, *, rounds: int = ROUNDS, dimension
                 held, waiting = [rows[n:]], len(rows) - n
 
             for batch in batches:
-                for text in _texts(batch.column(0)):
-                    found = words_of(text)
-                    ids = np.full(len(found) + 3, end, np.int64)
-                    ids[2:-1] = np.fromiter(map(symbols.__getitem__, found), np.int64, len(found))
-                    at = np.arange(round_, len(ids) - 2, rounds)
-                    if len(at):
-                        held.append(np.stack([ids[at], ids[at + 1], ids[at + 2]], 1))
-                        seen += len(at)
-                        waiting += len(at)
+                for lo in range(0, len(batch), TEXTS):
+                    some = windows_of(*symbols_of(batch.column(0).slice(lo, TEXTS), known, classes), end, round_, rounds)
+                    held.append(some)
+                    seen += len(some)
+                    waiting += len(some)
                     if waiting >= HELD:
                         steps(False)
             steps(True)
