@@ -158,14 +158,15 @@ def has_no_aggr_outliers(
 ) -> DataFrame:
     """Rows of time buckets whose aggregate is off the mean of the buckets before by more than sigma deviations.
 
-    The window without a partition is over one row for each bucket.
+    The window without a partition is over one row for each bucket. The buckets that fail are written first: their size
+    is known then, so the rows need no shuffle to meet a few of them.
     """
     bucket = F.date_trunc(time_interval, F.col(time_column).cast("timestamp"))
     buckets = aggregated(df.where(F.col(time_column).isNotNull()).withColumn("_bucket", bucket), ["_bucket"], aggr_type, column)
     before = Window.orderBy("_bucket").rowsBetween(-lookback_num_intervals, -1)
     base = buckets.withColumns({"_mean": F.avg("_value").over(before), "_sd": F.stddev("_value").over(before), "_n": F.count("_value").over(before)})
     bad = base.where((F.col("_n") >= warmup_num_intervals) & (F.abs(F.col("_value") - F.col("_mean")) > sigma * F.col("_sd")))
-    return _marked(df.withColumn("_bucket", bucket), bad, ["_bucket"], into, null_safe=False).drop("_bucket")
+    return _marked(df.withColumn("_bucket", bucket), written(bad.select("_bucket"), "buckets"), ["_bucket"], into, null_safe=False).drop("_bucket")
 
 
 def rolling_baseline(df: DataFrame, column: str, time_column: str, lookback: int, time_interval: str = "day") -> DataFrame:

@@ -7,8 +7,9 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from siltwork.operators import dataset_checks
 from siltwork.plans import queries as registry
-from siltwork.sources import scratch
+from siltwork.sources import keyed, scratch
 
 
 def blocks(spark):
@@ -39,7 +40,7 @@ def test_shuffles_of_a_written_frame_are_removed(spark):
 
 @pytest.fixture(scope="module")
 def odd_dir(tmp_path_factory, sf_dir):
-    """The small tables with an order of two customers, lines without an order or with NULL keys, a line that is there twice and an owner without a name."""
+    """The small tables with orders of two customers, lines without an order or a supplier or there twice, owners and parts without a name, missing or there twice."""
     at = str(tmp_path_factory.mktemp("odd"))
     c = duckdb.connect()
     for t in ("customer", "orders", "lineitem", "part", "supplier", "nation", "region"):
@@ -48,6 +49,11 @@ def odd_dir(tmp_path_factory, sf_dir):
     c.execute("INSERT INTO lineitem SELECT * REPLACE (l_extendedprice + 1 AS l_extendedprice, l_shipdate + INTERVAL 2 DAY AS l_shipdate) FROM lineitem WHERE l_orderkey % 9 = 1")
     c.execute("INSERT INTO lineitem SELECT * REPLACE (NULL AS l_suppkey, l_linenumber + 50 AS l_linenumber) FROM lineitem WHERE l_orderkey % 10 = 2")
     c.execute("INSERT INTO lineitem SELECT * REPLACE (90000000 + l_orderkey AS l_orderkey) FROM lineitem WHERE l_orderkey % 10 = 4")
+    c.execute("DELETE FROM customer WHERE c_custkey % 17 = 2")
+    c.execute("UPDATE customer SET c_name = NULL WHERE c_custkey % 11 = 1")
+    c.execute("DELETE FROM part WHERE p_partkey % 19 = 3")
+    c.execute("UPDATE part SET p_name = NULL WHERE p_partkey % 7 = 1")
+    c.execute("INSERT INTO part SELECT * FROM part WHERE p_partkey % 23 = 4")
     for t in ("customer", "orders", "lineitem", "part", "supplier", "nation", "region"):
         c.execute(f"COPY {t} TO '{at}/{t}.parquet' (FORMAT parquet)")
     return at
@@ -72,3 +78,31 @@ def test_exposure_by_changes_sends_each_line_few_times(spark, sf_dir):
     before = shuffled_rows(spark)
     registry.QUERIES["delta_owner_exposure"](spark, sf_dir).collect()
     assert shuffled_rows(spark) - before < 10 * lines
+
+
+def test_details_by_numbers_on_odd_rows(spark, odd_dir):
+    def rows(df):
+        named = [F.col(c).isNotNull().cast("string").alias(c) for c in ("owner_name", "asset_name")]
+        return sorted(map(str, df.select("transaction_id", F.col("trade_date").cast("string").alias("d"), "amount", *named).collect()))
+
+    got = rows(keyed.details(spark, odd_dir))
+    assert len(got) > 1000 and got == rows(registry.detail(spark, odd_dir))
+
+
+def test_gate_of_details_sends_each_line_few_times(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    before = shuffled_rows(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at a size where no table is small
+    try:
+        registry.QUERIES["gate_transaction_detail"](spark, sf_dir).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffled_rows(spark) - before < 12 * lines
+
+
+def test_rows_meet_the_buckets_that_fail_without_a_shuffle(spark):
+    day = F.expr("date_add(DATE'2024-01-01', CAST(id % 40 AS INT))")
+    rows = spark.range(4000).select(day.alias("d"), F.when(F.col("id") % 40 == 30, 1000).otherwise(F.col("id") % 5).alias("x"))
+    marked = dataset_checks.has_no_aggr_outliers(rows, "bad", "x", "d")
+    assert "SortMergeJoin" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert [str(r.d) for r in marked.where("bad").select("d").distinct().collect()] == ["2024-01-31"]
