@@ -103,6 +103,10 @@ def test_gate_of_details_sends_each_line_few_times(spark, sf_dir):
 def test_rows_meet_the_buckets_that_fail_without_a_shuffle(spark):
     day = F.expr("date_add(DATE'2024-01-01', CAST(id % 40 AS INT))")
     rows = spark.range(4000).select(day.alias("d"), F.when(F.col("id") % 40 == 30, 1000).otherwise(F.col("id") % 5).alias("x"))
-    marked = dataset_checks.has_no_aggr_outliers(rows, "bad", "x", "d")
-    assert "SortMergeJoin" not in marked._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")  # less than the rows take, more than the days that fail
+    try:
+        marked = dataset_checks.has_no_aggr_outliers(rows, "bad", "x", "d")
+        assert "SortMergeJoin" not in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [str(r.d) for r in marked.where("bad").select("d").distinct().collect()] == ["2024-01-31"]
